@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DAY_MICROS = 86_400_000_000
@@ -22,8 +22,12 @@ def expected_grid(devices: DataFrame, start: str, days: int, rows_per_day: int)
     offset = F.bround(F.col("sample") * (_DAY_MICROS / rows_per_day)).cast("long")
     ts = F.timestamp_micros(first_micros + F.col("day_number") * F.lit(_DAY_MICROS) + offset)
     return (
-        devices.withColumn("day_number", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).cast("long"))
-        .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(rows_per_day - 1))).cast("long"))
+        devices.withColumn("day_number", F.explode(_numbers(days)))
+        .withColumn("sample", F.explode(_numbers(rows_per_day)))
         .withColumn("ts", ts)
         .drop("day_number")
     )
+
+
+def _numbers(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))

@@ -32,14 +32,17 @@ def day_quality(cleaned: DataFrame, copies: str = "copies") -> DataFrame:
     """One quality record per `process_date`, from cleaned survivors that carry their copy count.
 
     `rows_total` and `duplicate_keys` are about raw rows and include those without a valid time;
-    the NULL counts are about cleaned readings and do not.
+    the NULL counts are about cleaned readings and do not. `off_date_rows` counts the readings of
+    another date than the processed one; it is not part of the stored record.
     """
     timed = F.col("ts").isNotNull()
+    off_date = F.col("event_date") != F.col("process_date").cast("date")
     return cleaned.groupBy("process_date").agg(
         F.sum(copies).alias("rows_total"),
         (F.sum(copies) - F.count(F.lit(1))).alias("duplicate_keys"),
         F.count_if(timed & F.col("power_w").isNull()).alias("null_power"),
         F.count_if(timed & F.col("soc_percent").isNull()).alias("null_soc"),
+        F.count_if(off_date).alias("off_date_rows"),
     )
 
 

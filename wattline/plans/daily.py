@@ -133,7 +133,8 @@ def run_days(
         on_date = F.col("event_date") == F.col("process_date").cast("date")
         if options.off_date == "late":
             _write_readings(readings.where(on_date), paths.silver, done, options)
-            _write_late(drop_untimed(stage).where(~on_date), paths.late, done)
+            with_late = {row["process_date"] for row in quality if row["off_date_rows"]}
+            _write_late(drop_untimed(stage).where(~on_date), paths.late, done, with_late)
             written = lake.read_silver(spark, paths.silver, done)
         else:
             _write_readings(readings, paths.silver, done, options)
@@ -150,22 +151,25 @@ def run_days(
 
 
 def merge_late(
-    spark: SparkSession, paths: LakePaths, event_date: str, duplicate_devices: str = "fail"
+    spark: SparkSession,
+    paths: LakePaths,
+    dates: Sequence[str],
+    duplicate_devices: str = "fail",
 ) -> None:
-    """Add the late rows of a date to it; a reading already there wins over a late one.
+    """Add the late rows of some dates to them; a reading already there wins over a late one.
 
-    To be called again after a later `run_days` of that date, which writes only the day's own rows.
-    The merged date is written to the work folder first, because it is read from the partitions
-    that it replaces.
+    To be called again after a later `run_days` of such a date, which writes only its own rows.
+    The merged dates are written to the work folder first, because they are read from the
+    partitions that they replace.
     """
     columns = schema.names(schema.SILVER)
     late = (
         spark.read.schema(LATE)
         .parquet(paths.late)
-        .where(F.col("event_date") == date.fromisoformat(event_date))
+        .where(F.col("event_date").isin([date.fromisoformat(d) for d in dates]))
     )
     late = enrich_capacity(late, read_devices(spark, paths.devices), duplicate_devices)
-    present = lake.read_silver(spark, paths.silver, [event_date])
+    present = lake.read_silver(spark, paths.silver, dates)
     both = present.select(*columns, F.lit("").alias("source_day")).unionByName(
         late.select(*columns, F.col("process_date").alias("source_day"))
     )
@@ -173,7 +177,7 @@ def merge_late(
     try:
         keep_first(both, schema.KEY, ["source_day"]).drop("source_day").write.parquet(stage_path)
         lake.write_silver(spark.read.schema(schema.SILVER).parquet(stage_path), paths.silver)
-        lake.write_gold(site_daily(lake.read_silver(spark, paths.silver, [event_date])), paths.gold)
+        lake.write_gold(site_daily(lake.read_silver(spark, paths.silver, dates)), paths.gold)
     finally:
         drop_dir(spark, stage_path)
 
@@ -201,16 +205,19 @@ def _write_readings(
         lake.write_silver(readings, base, options.max_records_per_file)
 
 
-def _write_late(rows: DataFrame, base: str, dates: Sequence[str]) -> None:
+def _write_late(rows: DataFrame, base: str, dates: Sequence[str], with_late: set[str]) -> None:
     """One folder per processed day, replaced whole: a re-run leaves no late row of the last one."""
-    columns = [c for c in schema.names(LATE) if c != "process_date"]
-    for day in dates:
+    if with_late:
         (
-            rows.where(F.col("process_date") == day)
-            .select(*columns)
+            rows.select(*schema.names(LATE))
+            .hint("rebalance", F.col("process_date"))
             .write.mode("overwrite")
-            .parquet(f"{base}/process_date={day}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("process_date")
+            .parquet(base)
         )
+    for day in set(dates) - with_late:
+        drop_dir(rows.sparkSession, f"{base}/process_date={day}")
 
 
 def _write_figures(
