@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 _DAY_MICROS = 86_400_000_000
 
 
-def expected_grid(devices: DataFrame, start: str, days: int, rows_per_day: int) -> DataFrame:
+def expected_grid(
+    devices: DataFrame, start: str, days: int, rows_per_day: int, spread: int | None = None
+) -> DataFrame:
     """`rows_per_day` evenly spaced instants on each of `days` dates, for every device row.
 
-    Both sequences are made inside each device's row, so there is no join and no shuffle.
+    Both sequences are made inside each device's row, so there is no join and no shuffle. A device
+    file of one partition would make the whole grid in one task: `spread` first deals the device
+    days out to that many tasks.
     """
     if days < 1 or rows_per_day < 1:
         raise ValueError("days and rows_per_day must be positive")
@@ -21,9 +25,11 @@ def expected_grid(devices: DataFrame, start: str, days: int, rows_per_day: int)
     first_micros = F.lit(int(first.timestamp()) * 1_000_000)
     offset = F.bround(F.col("sample") * (_DAY_MICROS / rows_per_day)).cast("long")
     ts = F.timestamp_micros(first_micros + F.col("day_number") * F.lit(_DAY_MICROS) + offset)
+    device_days = devices.withColumn("day_number", F.explode(_numbers(days)))
+    if spread:
+        device_days = device_days.repartition(spread)
     return (
-        devices.withColumn("day_number", F.explode(_numbers(days)))
-        .withColumn("sample", F.explode(_numbers(rows_per_day)))
+        device_days.withColumn("sample", F.explode(_numbers(rows_per_day)))
         .withColumn("ts", ts)
         .drop("day_number")
     )

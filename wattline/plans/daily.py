@@ -14,7 +14,7 @@ from wattline.operators.cleaning import clean_readings, drop_untimed, keep_first
 from wattline.operators.enrichment import enrich_capacity
 from wattline.operators.kpis import site_daily
 from wattline.operators.quality import day_quality
-from wattline.session import drop_dir, fresh_dir
+from wattline.session import drop_dir, fresh_dir, shuffle_sized_for
 from wattline.sources import lake
 from wattline.sources.bronze import read_raw_days
 from wattline.sources.devices import read_devices
@@ -117,39 +117,44 @@ def run_days(
     if options.off_date == "overwrite" and len(set(dates)) > 1:
         raise ValueError("off-date rows can overwrite other dates only in a run of one day")
     stage_path = fresh_dir(spark, "prepared")
+    raw = read_raw_days(spark, paths.raw, dates, options.layout)
     try:
-        raw = read_raw_days(spark, paths.raw, dates, options.layout)
-        prepared_readings(raw, _RUN_KEY).write.parquet(stage_path)
-        stage = spark.read.parquet(stage_path)
-        quality = day_quality(stage).collect()  # one row per requested day
-        if not quality:
-            return spark.createDataFrame([], schema.QUALITY)
-        done = sorted(row["process_date"] for row in quality)
-
-        devices = read_devices(spark, paths.devices)
-        readings = enrich_capacity(drop_untimed(stage), devices, options.duplicate_devices)
-        if options.duplicate_devices == "fan_out":
-            quality = _count_nulls_again(day_quality(stage), readings).collect()
-        on_date = F.col("event_date") == F.col("process_date").cast("date")
-        if options.off_date == "late":
-            _write_readings(readings.where(on_date), paths.silver, done, options)
-            with_late = {row["process_date"] for row in quality if row["off_date_rows"]}
-            _write_late(drop_untimed(stage).where(~on_date), paths.late, done, with_late)
-            written = lake.read_silver(spark, paths.silver, done)
-        else:
-            _write_readings(readings, paths.silver, done, options)
-            touched = drop_untimed(stage).select("event_date").distinct()
-            written = lake.read_silver(spark, paths.silver).join(touched, "event_date", "left_semi")
-        _write_figures(site_daily(written), paths.gold, done, options)
-        finished = spark.createDataFrame(
-            [tuple(row[c] for c in schema.names(schema.QUALITY)) for row in quality], schema.QUALITY
-        )
-        lake.write_quality(finished, paths.metrics)
-        return finished
+        with shuffle_sized_for(raw):
+            prepared_readings(raw, _RUN_KEY).write.parquet(stage_path)
+            return _write_days(spark, paths, spark.read.parquet(stage_path), options)
     finally:
         drop_dir(spark, stage_path)
 
 
+def _write_days(
+    spark: SparkSession, paths: LakePaths, stage: DataFrame, options: RunOptions
+) -> DataFrame:
+    quality = day_quality(stage).collect()  # one row per requested day
+    if not quality:
+        return spark.createDataFrame([], schema.QUALITY)
+    done = sorted(row["process_date"] for row in quality)
+    timed = drop_untimed(stage)
+    readings = enrich_capacity(timed, read_devices(spark, paths.devices), options.duplicate_devices)
+    if options.duplicate_devices == "fan_out":
+        quality = _count_nulls_again(day_quality(stage), readings).collect()
+    on_date = F.col("event_date") == F.col("process_date").cast("date")
+    if options.off_date == "late":
+        _write_readings(readings.where(on_date), paths.silver, done, options)
+        with_late = {row["process_date"] for row in quality if row["off_date_rows"]}
+        _write_late(timed.where(~on_date), paths.late, done, with_late)
+        written = lake.read_silver(spark, paths.silver, done)
+    else:
+        _write_readings(readings, paths.silver, done, options)
+        touched = timed.select("event_date").distinct()
+        written = lake.read_silver(spark, paths.silver).join(touched, "event_date", "left_semi")
+    _write_figures(site_daily(written), paths.gold, done, options)
+    finished = spark.createDataFrame(
+        [tuple(row[c] for c in schema.names(schema.QUALITY)) for row in quality], schema.QUALITY
+    )
+    lake.write_quality(finished, paths.metrics)
+    return finished
+
+
 def merge_late(
     spark: SparkSession,
     paths: LakePaths,

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Input bytes meant for one shuffle partition, and the most partitions a shuffle is given:
+# the number of shuffle blocks is map tasks times partitions.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_PARTITIONS = 20_000
 
 
 def build_session(app_name: str = "wattline", **settings: str) -> SparkSession:
@@ -51,3 +59,24 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that this run wrote, on whatever file system it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def shuffle_sized_for(
+    df: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int]:
+    """Raise the number of shuffle partitions to suit the size of `df`'s input, then restore it.
+
+    Adaptive execution merges small partitions of an aggregation but never splits large ones, so
+    the number must be high enough at the start. The size is what the optimizer knows from the
+    file listing; nothing is scanned.
+    """
+    spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(setting)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = max(int(configured), min(MAX_PARTITIONS, math.ceil(size / bytes_per_partition)))
+    spark.conf.set(setting, wanted)
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(setting, configured)
