@@ -1,0 +1,299 @@
+from datetime import date
+from pathlib import Path
+
+import pytest
+from conftest import plan_of, rows_of
+from pyspark.sql import functions as F
+
+from wattline import schema
+from wattline.operators.enrichment import DuplicateDevices
+from wattline.operators.kpis import site_daily
+from wattline.operators.quality import written_layout
+from wattline.plans import daily
+from wattline.plans.daily import (
+    LakePaths,
+    RunOptions,
+    dates_between,
+    merge_late,
+    prepared_readings,
+    run_day,
+    run_days,
+    silver_readings,
+)
+from wattline.sources import lake
+from wattline.sources.bronze import read_raw_day, read_raw_days, write_bronze
+from wattline.sources.devices import read_devices
+
+DAYS = ["2025-08-01", "2025-08-02", "2025-08-03"]
+
+
+def fill(raw, day, sites=("01", "S2"), power=1.0, off_date=()):
+    """Four clocks for each site's device; `off_date` are dates of additional readings."""
+    for site in sites:
+        rows = [
+            raw.reading(day, f"0{h}:00:00", f"D{site}", site, power_w=power + h, energy_wh=power,
+                        temperature_c=20.0, soc_percent=50.0, status="OK")
+            for h in range(4)
+        ]
+        rows += [
+            raw.reading(other, "23:00:00", f"D{site}", site, power_w=77.0, energy_wh=7.0, status="OK")
+            for other in off_date
+        ]
+        raw.lines(day, site, f"D{site}", *rows, rows[0])
+
+
+def state(spark, paths):
+    return (
+        rows_of(lake.read_silver(spark, paths.silver)),
+        rows_of(lake.read_gold(spark, paths.gold)),
+        rows_of(lake.read_quality(spark, paths.metrics)),
+    )
+
+
+def test_days_together_equal_days_one_by_one(spark, raw, tmp_path):
+    for i, day in enumerate(DAYS):
+        fill(raw, day, power=float(i), off_date=DAYS[:1])
+    together = raw.paths
+    one_by_one = LakePaths(together.raw, *[f"{tmp_path}/other/{x}" for x in ("s", "g", "m")],
+                           devices=together.devices, late=f"{tmp_path}/other/late")
+    run_days(spark, together, DAYS)
+    for day in DAYS:
+        run_day(spark, one_by_one, day)
+    assert state(spark, together) == state(spark, one_by_one)
+    assert rows_of(spark.read.parquet(together.late)) == rows_of(spark.read.parquet(one_by_one.late))
+    assert rows_of(lake.read_quality(spark, together.metrics))[0].startswith(
+        "Row(duplicate_keys=2, null_power=0, null_soc=2, process_date='2025-08-01', rows_total=12)"
+    )
+
+
+def test_rerun_changes_nothing(spark, raw):
+    for day in DAYS:
+        fill(raw, day, off_date=["2025-07-01"])
+    run_days(spark, raw.paths, DAYS)
+    before = state(spark, raw.paths)
+    run_day(spark, raw.paths, DAYS[1])
+    run_days(spark, raw.paths, DAYS)
+    assert state(spark, raw.paths) == before
+    assert spark.read.parquet(raw.paths.late).count() == 6
+
+
+def test_rerun_without_late_rows_removes_them(spark, raw):
+    fill(raw, DAYS[0], off_date=["2025-07-01"])
+    fill(raw, DAYS[1], off_date=["2025-07-01"])
+    run_days(spark, raw.paths, DAYS[:2])
+    fill(raw, DAYS[0])
+    run_day(spark, raw.paths, DAYS[0])
+    assert {str(r.process_date) for r in spark.read.parquet(raw.paths.late).collect()} == {DAYS[1]}
+
+
+def test_late_rows_do_not_touch_other_dates_until_merged(spark, raw):
+    fill(raw, DAYS[0], power=5.0)
+    fill(raw, DAYS[1], off_date=[DAYS[0]])
+    run_day(spark, raw.paths, DAYS[0])
+    first_day = rows_of(lake.read_silver(spark, raw.paths.silver, DAYS[:1]))
+    run_day(spark, raw.paths, DAYS[1])
+    assert rows_of(lake.read_silver(spark, raw.paths.silver, DAYS[:1])) == first_day
+    for _ in range(2):
+        merge_late(spark, raw.paths, DAYS[:1])
+        merged = lake.read_silver(spark, raw.paths.silver, DAYS[:1])
+        assert merged.count() == len(first_day) + 2
+        gold = lake.read_gold(spark, raw.paths.gold, DAYS[:1])
+        assert {r.peak_power_w for r in gold.collect()} == {77.0}
+    assert lake.read_silver(spark, raw.paths.silver, DAYS[1:2]).count() == 8
+
+
+def test_merge_keeps_the_reading_already_there(spark, raw):
+    fill(raw, DAYS[0], power=5.0, off_date=[DAYS[0]])
+    fill(raw, DAYS[1], off_date=[DAYS[0], "2025-06-01"])
+    run_days(spark, raw.paths, DAYS[:2])
+    before = rows_of(lake.read_silver(spark, raw.paths.silver, DAYS[:1]))
+    merge_late(spark, raw.paths, [DAYS[0], "2025-06-01"])
+    assert rows_of(lake.read_silver(spark, raw.paths.silver, DAYS[:1])) == before
+    assert lake.read_silver(spark, raw.paths.silver, ["2025-06-01"]).count() == 2
+
+
+def test_overwriting_other_dates_is_for_one_day(spark, raw):
+    with pytest.raises(ValueError):
+        run_days(spark, raw.paths, DAYS, RunOptions(off_date="overwrite"))
+    with pytest.raises(ValueError):
+        RunOptions(off_date="overwrite", stale_sites="drop")
+
+
+@pytest.mark.parametrize("rule, left", [("keep", {"01", "S2"}), ("drop", {"01"})])
+def test_site_missing_on_rerun(spark, raw, rule, left):
+    fill(raw, DAYS[0])
+    fill(raw, DAYS[1])
+    options = RunOptions(stale_sites=rule)
+    run_days(spark, raw.paths, DAYS[:2], options)
+    next(Path(raw.paths.raw).glob("2025/08/01/S2/*.jsonl")).write_text("")
+    run_day(spark, raw.paths, DAYS[0], options)
+    for read, base in ((lake.read_silver, raw.paths.silver), (lake.read_gold, raw.paths.gold)):
+        assert {r.site_id for r in read(spark, base, DAYS[:1]).collect()} == left
+        assert {r.site_id for r in read(spark, base, DAYS[1:2]).collect()} == {"01", "S2"}
+
+
+def test_day_without_files_writes_nothing(spark, raw):
+    raw.devices("")
+    assert read_raw_day(spark, raw.paths.raw, DAYS[0]).schema.simpleString() == (
+        spark.createDataFrame([], schema.TELEMETRY).schema.simpleString()
+    )
+    assert run_day(spark, raw.paths, DAYS[0]).count() == 0
+    assert not any(Path(p).exists() for p in (raw.paths.silver, raw.paths.gold, raw.paths.metrics, raw.paths.late))
+
+
+def test_no_dates(spark, raw):
+    assert run_days(spark, raw.paths, []).count() == 0
+
+
+def test_day_without_valid_times(spark, raw):
+    raw.lines(DAYS[0], "S", "d", {"ts_utc": "x", "device_id": "a"}, {"ts_utc": "y", "device_id": "a"}, "junk")
+    assert [tuple(r) for r in run_day(spark, raw.paths, DAYS[0]).collect()] == [(DAYS[0], 3, 1, 0, 0)]
+    assert lake.read_silver(spark, raw.paths.silver, DAYS[:1]).count() == 0
+
+
+def test_only_files_one_level_below_the_day_are_read(spark, raw):
+    fill(raw, DAYS[0])
+    base = Path(raw.paths.raw) / "2025/08/01"
+    line = '{"ts_utc":"2025-08-01T09:00:00Z","device_id":"x"}\n'
+    (base / "direct.jsonl").write_text(line)
+    (base / "01" / "other.txt").write_text(line)
+    (base / "01" / "deep").mkdir()
+    (base / "01" / "deep" / "x.jsonl").write_text(line)
+    rows = read_raw_days(spark, raw.paths.raw, DAYS)
+    assert rows.count() == 10
+    assert {r.process_date for r in rows.collect()} == {DAYS[0]}
+
+
+def test_repeated_device_stops_the_run_before_any_write(spark, raw):
+    raw.devices("device_id,site_id,device_type,capacity_kwh\nD01,01,battery,1\nD01,01,battery,2\n")
+    fill(raw, DAYS[0])
+    with pytest.raises(DuplicateDevices):
+        run_day(spark, raw.paths, DAYS[0])
+    assert not Path(raw.paths.silver).exists()
+    run_day(spark, raw.paths, DAYS[0], RunOptions(duplicate_devices="keep_one"))
+    assert lake.read_silver(spark, raw.paths.silver).count() == 8
+    raw.lines(DAYS[0], "01", "D01", raw.reading(DAYS[0], "01:00:00", "D01", "01", energy_wh=3.0))
+    quality = run_day(spark, raw.paths, DAYS[0], RunOptions(duplicate_devices="fan_out")).first()
+    assert (quality.rows_total, quality.null_power, quality.null_soc) == (6, 2, 2)
+    assert lake.read_gold(spark, raw.paths.gold).where("site_id = '01'").first().energy_wh_total == 6.0
+
+
+def test_figures_equal_those_of_the_lazy_chain(spark, raw):
+    fill(raw, DAYS[0])
+    run_day(spark, raw.paths, DAYS[0])
+    chain = silver_readings(
+        read_raw_day(spark, raw.paths.raw, DAYS[0]), read_devices(spark, raw.paths.devices)
+    )
+    assert rows_of(chain) == rows_of(lake.read_silver(spark, raw.paths.silver))
+    assert rows_of(site_daily(chain)) == rows_of(lake.read_gold(spark, raw.paths.gold))
+
+
+def test_raw_text_is_read_once_and_the_stage_is_removed(spark, raw, monkeypatch):
+    fill(raw, DAYS[0])
+    plans, stages = [], []
+    prepare, fresh = daily.prepared_readings, daily.fresh_dir
+    monkeypatch.setattr(daily, "prepared_readings", lambda *a: plans.append(prepare(*a)) or plans[-1])
+    monkeypatch.setattr(daily, "fresh_dir", lambda *a: stages.append(fresh(*a)) or stages[-1])
+    seen = []
+    write = lake.write_silver
+    monkeypatch.setattr(lake, "write_silver", lambda df, *a: seen.append(plan_of(df)) or write(df, *a))
+    run_day(spark, raw.paths, DAYS[0])
+    assert len(plans) == 1 and plan_of(plans[0]).count("FileScan json") == 1
+    assert "json" not in seen[0] and seen[0].count("FileScan parquet") == 1
+    assert stages and not Path(stages[0].removeprefix("file:")).exists()
+
+
+def test_session_zone_does_not_change_the_result(spark, raw, settings):
+    raw.lines("2025-03-09", "S", "d",
+              raw.reading("2025-03-09", "02:30:00", "D1", "S", power_w=1.0),
+              raw.reading("2025-03-09", "03:30:00", "D1", "S", power_w=2.0),
+              raw.reading("2025-03-09", "23:30:00", "D1", "S", power_w=3.0))
+    settings(spark__sql__session__timeZone="America/New_York")
+    assert run_day(spark, raw.paths, "2025-03-09").first().duplicate_keys == 0
+    silver = lake.read_silver(spark, raw.paths.silver)
+    assert silver.count() == 3
+    assert {r.event_date for r in silver.collect()} == {date(2025, 3, 9)}
+
+
+def test_site_names_stay_text(spark, raw):
+    fill(raw, DAYS[0], sites=("01", "1"))
+    run_day(spark, raw.paths, DAYS[0])
+    assert {r.site_id for r in lake.read_silver(spark, raw.paths.silver).collect()} == {"01", "1"}
+    assert {r.site_id for r in lake.read_gold(spark, raw.paths.gold).collect()} == {"01", "1"}
+
+
+def test_blank_site_is_no_site(spark, raw):
+    raw.lines(DAYS[0], "S", "d", raw.reading(DAYS[0], "00:00:00", "a", "", energy_wh=1.0),
+              raw.reading(DAYS[0], "00:00:01", "a", None, energy_wh=2.0))
+    run_day(spark, raw.paths, DAYS[0])
+    assert [(r.site_id, r.energy_wh_total) for r in lake.read_gold(spark, raw.paths.gold).collect()] == [(None, 3.0)]
+
+
+def test_keyed_raw_folders(spark, raw, tmp_path):
+    for day in DAYS:
+        fill(raw, day)
+    rows = read_raw_days(spark, raw.paths.raw, DAYS)
+    keyed = f"{tmp_path}/keyed"
+    write_bronze(rows, keyed)
+    assert rows_of(read_raw_days(spark, keyed, DAYS, "keyed")) == rows_of(rows)
+    assert rows_of(read_raw_day(spark, keyed, DAYS[1], "keyed")) == rows_of(
+        read_raw_day(spark, raw.paths.raw, DAYS[1])
+    )
+    assert '"voltage_v":null' in next(Path(keyed).rglob("*.json")).read_text()
+
+
+def silver_rows(spark, n):
+    """One hot site with almost all rows of a date, and twenty small ones."""
+    site = F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 20))
+    rows = spark.range(0, n, 1, 8).select(
+        F.col("id").cast("string").alias("device_id"), site.alias("site_id"),
+        F.lit(date(2025, 8, 1)).alias("event_date"), F.rand(1).alias("power_w"), F.rand(2).alias("energy_wh"),
+    )
+    fields = [f.split() for f in schema.SILVER.split(", ")]
+    return rows.select(*[
+        F.col(n) if n in rows.columns else F.lit(None).cast(k).alias(n) for n, k in fields
+    ])
+
+
+def test_one_file_per_site_day_and_several_for_a_hot_one(spark, settings, tmp_path):
+    lake.write_silver(silver_rows(spark, 20_000), f"{tmp_path}/small")
+    layout = written_layout(lake.read_silver(spark, f"{tmp_path}/small")).first()
+    assert layout.files == layout.folders > 2
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB")
+    lake.write_silver(silver_rows(spark, 200_000), f"{tmp_path}/hot")
+    assert len(list(Path(f"{tmp_path}/hot/event_date=2025-08-01/site_id=hot").glob("*.parquet"))) > 3
+    assert lake.read_silver(spark, f"{tmp_path}/hot").count() == 200_000
+
+
+def test_records_per_file(spark, tmp_path):
+    lake.write_silver(silver_rows(spark, 5_000), str(tmp_path), max_records_per_file=1000)
+    assert len(list(tmp_path.glob("event_date=2025-08-01/site_id=hot/*.parquet"))) >= 5
+
+
+def test_date_scan_prunes_partitions_and_columns(spark, raw):
+    for day in DAYS:
+        fill(raw, day)
+    run_days(spark, raw.paths, DAYS)
+    whole = lake.read_silver(spark, raw.paths.silver).where(F.col("event_date") == date(2025, 8, 1))
+    plan = plan_of(whole.select("power_w"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "ReadSchema: struct<power_w:double>" in plan
+    some = lake.read_silver(spark, raw.paths.silver, DAYS[:1])
+    assert rows_of(some) == rows_of(whole)
+    assert all("event_date=2025-08-01" in f for f in some.inputFiles())
+    assert lake.read_silver(spark, raw.paths.silver, ["2020-01-01"]).count() == 0
+
+
+def test_figures_take_one_shuffle(spark, raw):
+    fill(raw, DAYS[0])
+    run_day(spark, raw.paths, DAYS[0])
+    plan = plan_of(site_daily(lake.read_silver(spark, raw.paths.silver, DAYS[:1])))
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_prepared_rows_take_one_shuffle(spark, raw):
+    fill(raw, DAYS[0])
+    assert plan_of(prepared_readings(read_raw_day(spark, raw.paths.raw, DAYS[0]))).count("Exchange") == 1
+
+
+def test_dates_between():
+    assert dates_between("2024-02-28", 3) == ["2024-02-28", "2024-02-29", "2024-03-01"]
