@@ -1,0 +1,79 @@
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import plan_of
+
+from wattline.operators.cleaning import with_event_time
+from wattline.operators.grid import expected_grid
+from wattline.operators.kpis import site_daily
+from wattline.operators.quality import status_counts
+from wattline.plans import checks
+
+
+@pytest.fixture
+def readings(spark):
+    rows = [
+        ("a", "2025-08-01T00:00:00Z", None, 101.0, "OK"),
+        ("a", "2025-08-01T00:00:00Z", 1.0, None, None),
+        ("b", "2025-08-01T00:00:00Z", 1.0, -0.1, "ok"),
+        ("b", "2025-08-02T00:00:00Z", 1.0, 50.0, "OK"),
+        ("b", "2025-08-02T00:00:00Z", 1.0, 50.0, "OK"),
+        ("b", "2025-08-02T00:00:00Z", 1.0, 50.0, "OK"),
+    ]
+    return with_event_time(
+        spark.createDataFrame(rows, "device_id string, ts_utc string, power_w double, soc_percent double, status string")
+    )
+
+
+def test_null_profile(spark, readings):
+    assert tuple(checks.null_profile(spark, readings, "2025-08-01").first()) == (3, 1, 1)
+    assert tuple(checks.null_profile(spark, readings, "2020-01-01").first()) == (0, None, None)
+    by_date = {str(r.event_date): tuple(r)[1:] for r in checks.null_profile(spark, readings).collect()}
+    assert by_date == {"2025-08-01": (3, 1, 1), "2025-08-02": (3, 0, 0)}
+
+
+def test_soc_out_of_bounds(spark, readings):
+    assert checks.soc_out_of_bounds(spark, readings, "2025-08-01").first().out_of_bounds_soc == 2
+    by_date = {str(r.event_date): r.out_of_bounds_soc for r in checks.soc_out_of_bounds(spark, readings).collect()}
+    assert by_date == {"2025-08-01": 2, "2025-08-02": 0}
+
+
+def test_duplicate_keys(spark, readings):
+    one_date = checks.duplicate_keys(spark, readings, "2025-08-01").collect()
+    assert [(r.device_id, r.cnt) for r in one_date] == [("a", 2)]
+    every_date = checks.duplicate_keys(spark, readings)
+    assert [(r.device_id, r.cnt) for r in every_date.collect()] == [("b", 3), ("a", 2)]
+    assert checks.duplicate_keys(spark, readings, top=1).count() == 1
+    assert "TakeOrderedAndProject" in plan_of(every_date)
+
+
+def test_status_counts_are_three_valued(readings):
+    assert tuple(status_counts(readings).first()) == (4, 1, 1)
+
+
+def test_site_daily_edges(spark):
+    rows = [("s", None, None, None, None), ("s", None, float("nan"), None, "FAULT"), ("s", None, 5.0, None, "OK")]
+    df = spark.createDataFrame(
+        rows, "site_id string, energy_wh double, power_w double, temperature_c double, status string"
+    ).selectExpr("date'2025-08-01' AS event_date", "*")
+    row = site_daily(df).first()
+    assert row.energy_wh_total is None and row.avg_temp_c is None and row.peak_power_w != row.peak_power_w
+    assert (row.uptime_percent, row.anomaly_count) == (1 / 3 * 100.0, 1)
+
+
+@pytest.mark.parametrize("rows_per_day, spread", [(1440, None), (7, 4), (1, None), (100_000, None)])
+def test_expected_grid(spark, rows_per_day, spread):
+    devices = spark.createDataFrame([("D1",), ("D2",)], "device_id string")
+    grid = expected_grid(devices, "2025-02-28", 2, rows_per_day, spread)
+    found = sorted((r.device_id, r.ts) for r in grid.collect())
+    wanted = sorted(
+        (d, datetime(2025, 2, 28) + timedelta(days=day, seconds=i * (86400 / rows_per_day)))
+        for d in ("D1", "D2") for day in range(2) for i in range(rows_per_day)
+    )
+    assert found == wanted
+    assert ("Exchange" in plan_of(grid)) == bool(spread)
+
+
+def test_expected_grid_needs_samples(spark):
+    with pytest.raises(ValueError):
+        expected_grid(spark.range(1), "2025-01-01", 0, 5)

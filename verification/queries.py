@@ -327,7 +327,9 @@ def silver_telemetry(spark, sf_dir):
 
 @query(with_(v.CLEANED, v.GOLD_SELECT.format(source="cleaned")))
 def gold_site_daily(spark, sf_dir):
-    return rounded_gold(site_daily(v.cleaned(spark, sf_dir)))
+    """Only the columns that the figures need go through the deduplication."""
+    needed = v.parsed(spark, sf_dir).drop("ts_utc", "soc_percent").withColumn("soc_percent", F.lit(None))
+    return rounded_gold(site_daily(drop_untimed(clean_readings(keep_first(needed, schema.KEY, ["event_id"])))))
 
 
 @query(with_(v.CLEANED, """SELECT event_date, site_id,
@@ -402,10 +404,10 @@ def expected_grid_query(spark, sf_dir):
 _FRACTION = "((epoch_us(ts) % 86400000000) / 86400000000.0)"
 
 
-@query(f"SELECT event_id, round({_FRACTION}, 9) AS day_fraction FROM events")
+@query(f"SELECT event_id, {_FRACTION} AS day_fraction FROM events")
 def day_fraction(spark, sf_dir):
     return v.events(spark, sf_dir).select(
-        "event_id", F.round(t.day_fraction(F.col("ts")), 9).alias("day_fraction")
+        "event_id", t.day_fraction(F.col("ts")).alias("day_fraction")
     )
 
 

@@ -48,10 +48,11 @@ def replace_silver_day(
 def write_gold(df: DataFrame, base: str) -> None:
     """Write daily figures by date and site.
 
-    The aggregation already hashed its rows by those two columns, so there is no second shuffle.
+    Each partition is one row, so the cost is the number of files and not of bytes. The fixed number
+    of tasks keeps adaptive execution from merging the few bytes into one task that writes them all.
     """
     (
-        df.select(*schema.names(schema.GOLD))
+        _spread(df.select(*schema.names(schema.GOLD)), *schema.SITE_DAY)
         .write.mode("overwrite")
         .options(**_writer_options(None))
         .partitionBy(*schema.SITE_DAY)
@@ -62,9 +63,9 @@ def write_gold(df: DataFrame, base: str) -> None:
 def replace_gold_day(df: DataFrame, base: str, event_date: str) -> None:
     """Replace one whole date of the daily figures."""
     columns = [c for c in schema.names(schema.GOLD) if c != "event_date"]
+    one_date = df.where(F.col("event_date") == date.fromisoformat(event_date))
     (
-        df.where(F.col("event_date") == date.fromisoformat(event_date))
-        .select(*columns)
+        _spread(one_date.select(*columns), "site_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("site_id")
@@ -121,6 +122,10 @@ def read_quality(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _writer_options(max_records_per_file: int | None) -> dict[str, str]:
     options = {"partitionOverwriteMode": "dynamic"}
     if max_records_per_file:
