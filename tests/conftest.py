@@ -15,7 +15,7 @@ from wattline.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        spark__master="local[8]",
+        spark__master="local[8,4]",
         spark__driver__memory="8g",
         spark__sql__shuffle__partitions="8",
         spark__ui__showConsoleProgress="false",

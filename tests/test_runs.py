@@ -297,3 +297,24 @@ def test_prepared_rows_take_one_shuffle(spark, raw):
 
 def test_dates_between():
     assert dates_between("2024-02-28", 3) == ["2024-02-28", "2024-02-29", "2024-03-01"]
+
+
+def test_counts_are_exact_when_tasks_fail_and_are_repeated(spark, raw, monkeypatch):
+    for day in DAYS:
+        fill(raw, day, off_date=["2025-07-01"])
+    run_days(spark, raw.paths, DAYS)
+    before = state(spark, raw.paths)
+
+    def lost_after_the_last_row(batches):
+        from pyspark import TaskContext
+
+        yield from batches
+        if TaskContext.get().attemptNumber() < 2:
+            raise RuntimeError("executor lost")
+
+    read = daily.read_raw_days
+    monkeypatch.setattr(
+        daily, "read_raw_days", lambda *a: (lambda df: df.mapInArrow(lost_after_the_last_row, df.schema))(read(*a))
+    )
+    run_days(spark, raw.paths, DAYS)
+    assert state(spark, raw.paths) == before

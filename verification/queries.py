@@ -13,7 +13,7 @@ from wattline.functions import readings as r
 from wattline.functions import times as t
 from wattline.operators.cleaning import clean_readings, drop_untimed, keep_first, with_event_time
 from wattline.operators.enrichment import enrich_capacity
-from wattline.operators.grid import expected_grid
+from wattline.operators.grid import expected_grid, expected_readings
 from wattline.operators.kpis import site_daily, uptime_percent
 from wattline.operators.quality import (
     day_quality,
@@ -317,6 +317,37 @@ def enrich_capacity_query(spark, sf_dir):
     )
 
 
+@query(with_(v.SILVER, "SELECT device_id, ts, capacity_kwh FROM silver"))
+def enrich_capacity_merged(spark, sf_dir):
+    """The same join for a dimension too large to broadcast."""
+    return enrich_capacity(
+        v.cleaned(spark, sf_dir), v.devices(spark, sf_dir), broadcast_limit_bytes=0
+    ).select("device_id", "ts", "capacity_kwh")
+
+
+def _repeated_devices(spark, sf_dir):
+    """Every third device is listed twice."""
+    rows = v.devices(spark, sf_dir)
+    again = rows.where(F.col("device_id") % 3 == 0).withColumn("capacity_kwh", F.col("capacity_kwh") + 1)
+    return rows.unionByName(again)
+
+
+@query(with_(v.SILVER, "SELECT device_id, ts, capacity_kwh FROM silver"))
+def repeated_devices_kept_once(spark, sf_dir):
+    return enrich_capacity(
+        v.cleaned(spark, sf_dir), _repeated_devices(spark, sf_dir), "keep_one"
+    ).select("device_id", "ts", "capacity_kwh")
+
+
+@query(with_(v.SILVER, """SELECT device_id, ts, capacity_kwh FROM silver UNION ALL
+SELECT device_id, ts, capacity_kwh + 1 FROM silver
+WHERE device_id % 3 = 0 AND device_id IN (SELECT s_suppkey FROM supplier)"""))
+def repeated_devices_fan_out(spark, sf_dir):
+    return enrich_capacity(
+        v.cleaned(spark, sf_dir), _repeated_devices(spark, sf_dir), "fan_out"
+    ).select("device_id", "ts", "capacity_kwh")
+
+
 @query(with_(v.SILVER, "SELECT * FROM silver"))
 def silver_telemetry(spark, sf_dir):
     return enrich_capacity(v.cleaned(spark, sf_dir), v.devices(spark, sf_dir))
@@ -404,6 +435,23 @@ def expected_grid_query(spark, sf_dir):
 _FRACTION = "((epoch_us(ts) % 86400000000) / 86400000000.0)"
 
 
+@query(f"""SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts_utc, device_id, site_id,
+  round_even(power_w, 3) AS power_w, round_even(power_w * (86400 / 7.0 / 3600), 6) AS energy_wh,
+  round_even(30 + 5 * sin(2 * pi() * fraction), 3) AS temperature_c
+FROM (SELECT *, greatest(0, sin(2 * pi() * fraction - pi() / 2)) * greatest(500, s_acctbal * 500) AS power_w
+  FROM (SELECT *, {_FRACTION} AS fraction
+    FROM (SELECT s_suppkey AS device_id, printf('S%02d', s_suppkey % 5 + 1) AS site_id, s_acctbal,
+        make_timestamp(epoch_us(day) + CAST(round_even(sample * (86400000000 / 7), 0) AS BIGINT)) AS ts
+      FROM supplier, (SELECT unnest(range(7)) AS sample),
+        (SELECT unnest(generate_series(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY)) AS day FROM events))))""")
+def expected_readings_query(spark, sf_dir):
+    dates = v.all_dates(spark, sf_dir)
+    devices = v.devices(spark, sf_dir).withColumn(
+        "site_id", F.format_string("S%02d", F.col("device_id") % 5 + 1)
+    )
+    return expected_readings(devices, dates[0], len(dates), 7)
+
+
 @query(f"SELECT event_id, {_FRACTION} AS day_fraction FROM events")
 def day_fraction(spark, sf_dir):
     return v.events(spark, sf_dir).select(

@@ -43,7 +43,9 @@ def keep_first(
     rest = order_by + [c for c in df.columns if c not in keys and c not in order_by]
     fields = []
     for position, name in enumerate(rest):
-        fields += [F.col(name).isNull().alias(f"null_{position}"), F.col(name).alias(f"col_{position}")]
+        if df.schema[name].nullable:  # NULLs last
+            fields.append(F.col(name).isNull().alias(f"null_{position}"))
+        fields.append(F.col(name).alias(f"col_{position}"))
     survivors = df.groupBy(F.xxhash64(*keys).alias("key_hash"), *keys).agg(
         F.count(F.lit(1)).alias("copies_of_key"), F.min(F.struct(*fields)).alias("first_row")
     )

@@ -7,6 +7,14 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.functions.readings import (
+    expected_power,
+    fixed_decimals,
+    interval_energy,
+    temperature_baseline,
+)
+from wattline.functions.times import day_fraction, iso_utc
+
 _DAY_MICROS = 86_400_000_000
 
 
@@ -35,5 +43,25 @@ def expected_grid(
     )
 
 
+def expected_readings(
+    devices: DataFrame, start: str, days: int, rows_per_day: int, spread: int | None = None
+) -> DataFrame:
+    """What each device is expected to report at each sample, from its capacity and the time of day.
+
+    `devices` has `device_id, site_id, capacity_kwh`. The curves carry no noise.
+    """
+    fraction = day_fraction(F.col("ts"))
+    power = expected_power(fraction, F.col("capacity_kwh"))
+    energy = interval_energy(power, 86_400 / rows_per_day)
+    return expected_grid(devices, start, days, rows_per_day, spread).select(
+        iso_utc(F.col("ts")).alias("ts_utc"),
+        "device_id",
+        "site_id",
+        fixed_decimals(power, 3).alias("power_w"),
+        fixed_decimals(energy, 6).alias("energy_wh"),
+        fixed_decimals(temperature_baseline(fraction), 3).alias("temperature_c"),
+    )
+
+
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))

@@ -52,7 +52,8 @@ class RunOptions:
     off_date: rows whose own date is not the day of their folder. `late` keeps them apart until
         `merge_late`; `overwrite` writes them under their own date, replacing what lies there.
     stale_sites: a site that an earlier run of the day had and this one lacks. `keep` leaves its
-        partition, `drop` removes it.
+        partition; `drop` removes the dates before they are written, so a run that fails in between
+        leaves them absent until it is repeated.
     duplicate_devices: see `enrich_capacity`.
     """
 
@@ -137,17 +138,20 @@ def _write_days(
     readings = enrich_capacity(timed, read_devices(spark, paths.devices), options.duplicate_devices)
     if options.duplicate_devices == "fan_out":
         quality = _count_nulls_again(day_quality(stage), readings).collect()
+    if options.stale_sites == "drop":
+        lake.drop_dates(spark, paths.silver, done)
+        lake.drop_dates(spark, paths.gold, done)
     on_date = F.col("event_date") == F.col("process_date").cast("date")
     if options.off_date == "late":
-        _write_readings(readings.where(on_date), paths.silver, done, options)
+        lake.write_silver(readings.where(on_date), paths.silver, options.max_records_per_file)
         with_late = {row["process_date"] for row in quality if row["off_date_rows"]}
         _write_late(timed.where(~on_date), paths.late, done, with_late)
         written = lake.read_silver(spark, paths.silver, done)
     else:
-        _write_readings(readings, paths.silver, done, options)
+        lake.write_silver(readings, paths.silver, options.max_records_per_file)
         touched = timed.select("event_date").distinct()
         written = lake.read_silver(spark, paths.silver).join(touched, "event_date", "left_semi")
-    _write_figures(site_daily(written), paths.gold, done, options)
+    lake.write_gold(site_daily(written), paths.gold)
     finished = spark.createDataFrame(
         [tuple(row[c] for c in schema.names(schema.QUALITY)) for row in quality], schema.QUALITY
     )
@@ -200,16 +204,6 @@ def _count_nulls_again(quality: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
-def _write_readings(
-    readings: DataFrame, base: str, dates: Sequence[str], options: RunOptions
-) -> None:
-    if options.stale_sites == "drop":
-        for day in dates:
-            lake.replace_silver_day(readings, base, day, options.max_records_per_file)
-    else:
-        lake.write_silver(readings, base, options.max_records_per_file)
-
-
 def _write_late(rows: DataFrame, base: str, dates: Sequence[str], with_late: set[str]) -> None:
     """One folder per processed day, replaced whole: a re-run leaves no late row of the last one."""
     if with_late:
@@ -223,13 +217,3 @@ def _write_late(rows: DataFrame, base: str, dates: Sequence[str], with_late: set
         )
     for day in set(dates) - with_late:
         drop_dir(rows.sparkSession, f"{base}/process_date={day}")
-
-
-def _write_figures(
-    figures: DataFrame, base: str, dates: Sequence[str], options: RunOptions
-) -> None:
-    if options.stale_sites == "drop":
-        for day in dates:
-            lake.replace_gold_day(figures, base, day)
-    else:
-        lake.write_gold(figures, base)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schema
+from wattline.session import drop_dir
 
 
 def write_silver(df: DataFrame, base: str, max_records_per_file: int | None = None) -> None:
@@ -29,30 +30,17 @@ def write_silver(df: DataFrame, base: str, max_records_per_file: int | None = No
     )
 
 
-def replace_silver_day(
-    df: DataFrame, base: str, event_date: str, max_records_per_file: int | None = None
-) -> None:
-    """Replace one whole date, so that a site missing from `df` loses its old partition too."""
-    columns = [c for c in schema.names(schema.SILVER) if c != "event_date"]
-    (
-        df.where(F.col("event_date") == date.fromisoformat(event_date))
-        .select(*columns)
-        .hint("rebalance", F.col("site_id"))
-        .write.mode("overwrite")
-        .options(**_writer_options(max_records_per_file) | {"partitionOverwriteMode": "static"})
-        .partitionBy("site_id")
-        .parquet(f"{base}/event_date={event_date}")
-    )
-
-
 def write_gold(df: DataFrame, base: str) -> None:
     """Write daily figures by date and site.
 
-    Each partition is one row, so the cost is the number of files and not of bytes. The fixed number
-    of tasks keeps adaptive execution from merging the few bytes into one task that writes them all.
+    Each partition is one row, so the cost is the number of files and not of bytes. Dealing the rows
+    out to a fixed number of tasks keeps adaptive execution from merging the few bytes into one task
+    that writes all files one after the other.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        _spread(df.select(*schema.names(schema.GOLD)), *schema.SITE_DAY)
+        df.select(*schema.names(schema.GOLD))
+        .repartition(tasks)
         .write.mode("overwrite")
         .options(**_writer_options(None))
         .partitionBy(*schema.SITE_DAY)
@@ -60,17 +48,10 @@ def write_gold(df: DataFrame, base: str) -> None:
     )
 
 
-def replace_gold_day(df: DataFrame, base: str, event_date: str) -> None:
-    """Replace one whole date of the daily figures."""
-    columns = [c for c in schema.names(schema.GOLD) if c != "event_date"]
-    one_date = df.where(F.col("event_date") == date.fromisoformat(event_date))
-    (
-        _spread(one_date.select(*columns), "site_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("site_id")
-        .parquet(f"{base}/event_date={event_date}")
-    )
+def drop_dates(spark: SparkSession, base: str, dates: Iterable[str]) -> None:
+    """Remove whole dates, before a write that must not leave partitions of an earlier one."""
+    for day in dates:
+        drop_dir(spark, f"{base}/event_date={date.fromisoformat(day).isoformat()}")
 
 
 def write_quality(df: DataFrame, base: str) -> None:
@@ -122,10 +103,6 @@ def read_quality(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
-
-
 def _writer_options(max_records_per_file: int | None) -> dict[str, str]:
     options = {"partitionOverwriteMode": "dynamic"}
     if max_records_per_file:
