@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from wattline import schema
 from wattline.functions.times import parse_utc, utc_date
 
-# layout -> (folder of a day, file pattern, pattern of a whole path with the day in group 1)
+# layout -> (folder of a day, file pattern, number of path segments from the day to the file)
 _LAYOUTS = {
-    "dated": ("%Y/%m/%d", "*.jsonl", r"/(\d{4}/\d{2}/\d{2})/[^/]+/[^/]+\.jsonl$"),
-    "keyed": ("raw_date=%Y-%m-%d", "*.json", r"/raw_date=(\d{4}-\d{2}-\d{2})/[^/]+/[^/]+\.json$"),
+    "dated": ("%Y/%m/%d", "*.jsonl", 5),
+    "keyed": ("raw_date=%Y-%m-%d", "*.json", 3),
 }
 
 
@@ -33,7 +33,7 @@ def read_raw_days(
     Days without a folder contribute nothing. The day folders are the scan's roots, so the files
     below them are listed by Spark (in parallel when there are many sites), not on the driver.
     """
-    folder, files, whole_path = _LAYOUTS[layout]
+    folder, files, segments = _LAYOUTS[layout]
     days = sorted({date.fromisoformat(d).strftime(folder) for d in dates})
     empty = spark.createDataFrame([], f"{schema.TELEMETRY}, process_date string")
     if not days:
@@ -51,11 +51,10 @@ def read_raw_days(
             raise
         return empty
     # exactly one folder level (the site) lies between a day and its files
-    day = F.regexp_extract("_metadata.file_path", whole_path, 1)
-    return (
-        lines.select("*", F.regexp_replace(day, "/", "-").alias("process_date"))
-        .where(F.col("process_date") != "")
-    )
+    tail = F.substring_index("_metadata.file_path", "/", -segments)
+    day = F.substring(tail, 1, len(days[0]))
+    process_date = F.translate(F.right(day, F.lit(len("2025-08-01"))), "/", "-")
+    return lines.where(day.isin(days)).select("*", process_date.alias("process_date"))
 
 
 def read_raw_day(

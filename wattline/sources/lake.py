@@ -87,6 +87,8 @@ def read_dates(
     if dates is None:
         return reader.parquet(base)
     wanted = sorted({date.fromisoformat(d) for d in dates})
+    if not wanted:
+        return spark.createDataFrame([], ddl)
     try:
         rows = reader.parquet(f"{base}/{key}={{{','.join(d.isoformat() for d in wanted)}}}")
     except AnalysisException as error:
