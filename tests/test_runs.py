@@ -283,6 +283,25 @@ def test_date_scan_prunes_partitions_and_columns(spark, raw):
     assert lake.read_silver(spark, raw.paths.silver, ["2020-01-01"]).count() == 0
 
 
+def test_sql_view(spark, raw):
+    for day in DAYS:
+        fill(raw, day)
+    run_days(spark, raw.paths, DAYS)
+    lake.view_silver(spark, raw.paths.silver)
+    one = spark.sql("SELECT count(*) AS n FROM silver_telemetry WHERE event_date = DATE'2025-08-02'")
+    assert one.first().n == 8 and "PartitionFilters: [isnotnull(event_date" in plan_of(one)
+
+
+def test_many_figures_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "date'2025-08-01' AS event_date", "concat('s', id) AS site_id", "1.0D AS energy_wh", "2.0D AS power_w",
+        "3.0D AS temperature_c", "'OK' AS status"
+    )
+    lake.write_gold(site_daily(rows), str(tmp_path))
+    tasks = {p.name.split("-")[1] for p in tmp_path.rglob("part-*.parquet")}
+    assert lake.read_gold(spark, str(tmp_path)).count() == 400 and len(tasks) == 8
+
+
 def test_figures_take_one_shuffle(spark, raw):
     fill(raw, DAYS[0])
     run_day(spark, raw.paths, DAYS[0])

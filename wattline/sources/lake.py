@@ -74,6 +74,11 @@ def read_silver(spark: SparkSession, base: str, dates: Iterable[str] | None = No
     return read_dates(spark, base, schema.SILVER, dates)
 
 
+def view_silver(spark: SparkSession, base: str, name: str = "silver_telemetry") -> None:
+    """Make the cleaned readings a view for SQL; a predicate on `event_date` prunes partitions."""
+    read_silver(spark, base).createOrReplaceTempView(name)
+
+
 def read_gold(spark: SparkSession, base: str, dates: Iterable[str] | None = None) -> DataFrame:
     """Daily figures, of all dates or of some."""
     return read_dates(spark, base, schema.GOLD, dates)
