@@ -112,6 +112,14 @@ def test_merge_keeps_the_reading_already_there(spark, raw):
     assert lake.read_silver(spark, raw.paths.silver, ["2025-06-01"]).count() == 2
 
 
+def test_merge_without_late_rows(spark, raw):
+    fill(raw, DAYS[0])
+    run_day(spark, raw.paths, DAYS[0])
+    before = state(spark, raw.paths)
+    merge_late(spark, raw.paths, DAYS)
+    assert state(spark, raw.paths) == before
+
+
 def test_overwriting_other_dates_is_for_one_day(spark, raw):
     with pytest.raises(ValueError):
         run_days(spark, raw.paths, DAYS, RunOptions(off_date="overwrite"))

@@ -172,10 +172,8 @@ def merge_late(
     partitions that they replace.
     """
     columns = schema.names(schema.SILVER)
-    late = (
-        spark.read.schema(LATE)
-        .parquet(paths.late)
-        .where(F.col("event_date").isin([date.fromisoformat(d) for d in dates]))
+    late = lake.read_dates(spark, paths.late, LATE, None).where(
+        F.col("event_date").isin([date.fromisoformat(d) for d in dates])
     )
     late = enrich_capacity(late, read_devices(spark, paths.devices), duplicate_devices)
     present = lake.read_silver(spark, paths.silver, dates)

@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.functions.times import parse_utc, utc_date
+from wattline.sources.paths import load_or_empty
 
 # layout -> (folder of a day, file pattern, number of path segments from the day to the file)
 _LAYOUTS = {
@@ -35,26 +35,25 @@ def read_raw_days(
     """
     folder, files, segments = _LAYOUTS[layout]
     days = sorted({date.fromisoformat(d).strftime(folder) for d in dates})
-    empty = spark.createDataFrame([], f"{schema.TELEMETRY}, process_date string")
     if not days:
-        return empty
+        return spark.createDataFrame([], f"{schema.TELEMETRY}, process_date string")
     path = f"{base}/{days[0]}" if len(days) == 1 else f"{base}/{{{','.join(days)}}}"
-    try:
-        lines = (
-            spark.read.schema(schema.TELEMETRY)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", files)
-            .json(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty
+    reader = (
+        spark.read.schema(schema.TELEMETRY)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", files)
+    )
     # exactly one folder level (the site) lies between a day and its files
     tail = F.substring_index("_metadata.file_path", "/", -segments)
     day = F.substring(tail, 1, len(days[0]))
     process_date = F.translate(F.right(day, F.lit(len("2025-08-01"))), "/", "-")
-    return lines.where(day.isin(days)).select("*", process_date.alias("process_date"))
+    return load_or_empty(
+        spark,
+        f"{schema.TELEMETRY}, process_date string",
+        lambda: reader.json(path)
+        .where(day.isin(days))
+        .select("*", process_date.alias("process_date")),
+    )
 
 
 def read_raw_day(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.session import drop_dir
+from wattline.sources.paths import load_or_empty
 
 
 def write_silver(df: DataFrame, base: str, max_records_per_file: int | None = None) -> None:
@@ -90,17 +90,12 @@ def read_dates(
     """Parquet rows of the given dates. Only their folders are listed, not those of every date."""
     reader = spark.read.schema(ddl).option("basePath", base)
     if dates is None:
-        return reader.parquet(base)
+        return load_or_empty(spark, ddl, lambda: reader.parquet(base))
     wanted = sorted({date.fromisoformat(d) for d in dates})
     if not wanted:
         return spark.createDataFrame([], ddl)
-    try:
-        rows = reader.parquet(f"{base}/{key}={{{','.join(d.isoformat() for d in wanted)}}}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], ddl)
-    return rows.where(F.col(key).isin(wanted))
+    path = f"{base}/{key}={{{','.join(d.isoformat() for d in wanted)}}}"
+    return load_or_empty(spark, ddl, lambda: reader.parquet(path)).where(F.col(key).isin(wanted))
 
 
 def read_quality(spark: SparkSession, base: str) -> DataFrame:
