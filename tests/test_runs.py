@@ -112,6 +112,23 @@ def test_merge_keeps_the_reading_already_there(spark, raw):
     assert lake.read_silver(spark, raw.paths.silver, ["2025-06-01"]).count() == 2
 
 
+def test_merge_of_rows_without_device_or_site(spark, raw):
+    fill(raw, DAYS[0])
+    run_day(spark, raw.paths, DAYS[0])
+    raw.lines(DAYS[1], "S", "d", *[
+        raw.reading(DAYS[0], "05:00:00", None, site, power_w=float(i), energy_wh=1.0, status="OK")
+        for i, site in enumerate([None, "S2"])
+    ], raw.reading(DAYS[0], "00:00:00", "D01", "elsewhere", status="OK"))
+    run_day(spark, raw.paths, DAYS[1])
+    for _ in range(2):
+        merge_late(spark, raw.paths, DAYS[:1])
+        added = lake.read_silver(spark, raw.paths.silver, DAYS[:1]).where("device_id IS NULL").collect()
+        assert [(r.site_id, r.power_w) for r in added] == [("S2", 1.0)]  # the smaller site, NULL last
+        figures = lake.read_gold(spark, raw.paths.gold, DAYS[:1]).where("site_id = 'S2'").first()
+        assert figures.energy_wh_total == 5.0
+        assert lake.read_gold(spark, raw.paths.gold).where("site_id = 'elsewhere'").count() == 0
+
+
 def test_merge_without_late_rows(spark, raw):
     fill(raw, DAYS[0])
     run_day(spark, raw.paths, DAYS[0])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schema
@@ -167,28 +168,40 @@ def merge_late(
 ) -> None:
     """Add the late rows of some dates to them; a reading already there wins over a late one.
 
-    To be called again after a later `run_days` of such a date, which writes only its own rows.
-    The merged dates are written to the work folder first, because they are read from the
-    partitions that they replace.
+    Only the new rows are written, as further files of their partitions, and only the figures of
+    their sites are computed again. Doing it twice adds nothing, because the rows are then there. To
+    be called again after a later `run_days` of such a date, which writes only the day's own rows.
     """
-    columns = schema.names(schema.SILVER)
     late = lake.read_dates(spark, paths.late, LATE, None).where(
         F.col("event_date").isin([date.fromisoformat(d) for d in dates])
     )
-    late = enrich_capacity(late, read_devices(spark, paths.devices), duplicate_devices)
-    present = lake.read_silver(spark, paths.silver, dates)
-    both = present.select(*columns, F.lit("").alias("source_day")).unionByName(
-        late.select(*columns, F.col("process_date").alias("source_day"))
-    )
-    stage_path = fresh_dir(spark, "merged")
+    late = keep_first(late, schema.KEY, ["process_date"])
+    # the date's readings are many and the late rows few: cut the former down before comparing
+    present = lake.read_silver(spark, paths.silver, dates).select(*schema.KEY)
+    taken = present.alias("l").join(late.alias("r"), _same(schema.KEY), "left_semi")
+    new = late.alias("l").join(taken.alias("r"), _same(schema.KEY), "left_anti")
+    stage_path = fresh_dir(spark, "late")
     try:
-        keep_first(both, schema.KEY, ["source_day"]).drop("source_day").write.parquet(stage_path)
-        lake.write_silver(spark.read.schema(schema.SILVER).parquet(stage_path), paths.silver)
-        lake.write_gold(site_daily(lake.read_silver(spark, paths.silver, dates)), paths.gold)
+        new.write.parquet(stage_path)
+        stage = spark.read.schema(LATE).parquet(stage_path)
+        if stage.isEmpty():
+            return
+        readings = enrich_capacity(stage, read_devices(spark, paths.devices), duplicate_devices)
+        lake.write_silver(readings, paths.silver, append=True)
+        touched = stage.select(*schema.SITE_DAY).distinct()
+        written = lake.read_silver(spark, paths.silver, dates)
+        changed = written.alias("l").join(touched.alias("r"), _same(schema.SITE_DAY), "left_semi")
+        lake.write_gold(site_daily(changed), paths.gold)
     finally:
         drop_dir(spark, stage_path)
 
 
+def _same(columns: Sequence[str]) -> Column:
+    """Equality of the sides `l` and `r` of a join in which NULL equals NULL."""
+    tests = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns]
+    return reduce(lambda a, b: a & b, tests)
+
+
 def _count_nulls_again(quality: DataFrame, readings: DataFrame) -> DataFrame:
     """Quality records whose NULL counts are taken from readings multiplied by repeated devices."""
     counts = readings.groupBy("process_date").agg(

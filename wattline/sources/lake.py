@@ -13,8 +13,12 @@ from wattline.session import drop_dir
 from wattline.sources.paths import load_or_empty
 
 
-def write_silver(df: DataFrame, base: str, max_records_per_file: int | None = None) -> None:
-    """Write readings by date and site; only the partitions that occur in `df` are replaced.
+def write_silver(
+    df: DataFrame, base: str, max_records_per_file: int | None = None, append: bool = False
+) -> None:
+    """Write readings by date and site; the partitions that occur in `df` are replaced, no others.
+
+    `append` adds files to them instead.
 
     The rebalance hint brings each site's day into one file. Unlike a plain hash repartition it lets
     adaptive execution split a day whose rows exceed the advisory partition size over several
@@ -23,7 +27,7 @@ def write_silver(df: DataFrame, base: str, max_records_per_file: int | None = No
     (
         df.select(*schema.names(schema.SILVER))
         .hint("rebalance", *map(F.col, schema.SITE_DAY))
-        .write.mode("overwrite")
+        .write.mode("append" if append else "overwrite")
         .options(**_writer_options(max_records_per_file))
         .partitionBy(*schema.SITE_DAY)
         .parquet(base)
