@@ -118,10 +118,13 @@ def main() -> None:
     paths = raw_files(spark, sf_dir, copies)
     other = LakePaths(paths.raw, *[f"{fresh_dir(spark, 'bench')}/{x}" for x in ("silver", "gold", "metrics")],
                       devices=paths.devices, late=paths.late)
-    run_days(spark, paths, dates[:1], RunOptions(layout="keyed"))
-    run_separate_actions(spark, other, dates[:1])
-    timings["run_single_pass"] = seconds(lambda: run_days(spark, paths, dates, RunOptions(layout="keyed")))
-    timings["run_separate_actions"] = seconds(lambda: run_separate_actions(spark, other, dates))
+    runs = {
+        "run_single_pass": lambda: run_days(spark, paths, dates, RunOptions(layout="keyed")),
+        "run_separate_actions": lambda: run_separate_actions(spark, other, dates),
+    }
+    for _ in range(2):
+        for name, run in runs.items():
+            timings[name] = min(timings.get(name, float("inf")), seconds(run))
     assert lake.read_silver(spark, paths.silver).count() == lake.read_silver(spark, other.silver).count()
 
     value = round(sum(s for name, s in timings.items() if name != "run_separate_actions"), 3)

@@ -21,7 +21,9 @@ def readings(spark):
         ("b", "2025-08-02T00:00:00Z", 1.0, 50.0, "OK"),
     ]
     return with_event_time(
-        spark.createDataFrame(rows, "device_id string, ts_utc string, power_w double, soc_percent double, status string")
+        spark.createDataFrame(
+            rows, "device_id string, ts_utc string, power_w double, soc_percent double, status string"
+        )
     )
 
 

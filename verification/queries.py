@@ -390,7 +390,8 @@ def duplicate_count(spark, sf_dir):
     return key_counts(v.parsed(spark, sf_dir)).select("duplicate_keys")
 
 
-@query(with_(v.TELEMETRY + ", labelled AS (SELECT nullif(status, CASE WHEN power_w < 0 THEN 'OK' END) AS status FROM telemetry)",
+@query(with_(v.TELEMETRY + """, labelled AS (
+  SELECT nullif(status, CASE WHEN power_w < 0 THEN 'OK' END) AS status FROM telemetry)""",
 """SELECT count(*) FILTER (status = 'OK') AS ok_rows, count(*) FILTER (status <> 'OK') AS not_ok_rows,
   count(*) FILTER (status IS NULL) AS no_status_rows FROM labelled"""))
 def status_counts_query(spark, sf_dir):

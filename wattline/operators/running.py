@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.session import work_root
+from wattline.session import shuffle_sized_for, work_root
 
 
 def bounded_running_sum(
@@ -39,13 +39,14 @@ def bounded_running_sum(
     work_root(df.sparkSession)
     ranges = ([blocks] if blocks else []) + group + order
     step = F.coalesce(F.nanvl(F.col(delta).cast("double"), F.lit(0.0)), F.lit(0.0))
-    rows = (
-        df.withColumn("_step", step)
-        .repartitionByRange(*ranges)
-        .sortWithinPartitions(*group, *order)
-        .checkpoint()
-        .withColumn("_block", F.spark_partition_id())
-    )
+    with shuffle_sized_for(df):
+        ordered = (
+            df.withColumn("_step", step)
+            .repartitionByRange(*ranges)
+            .sortWithinPartitions(*group, *order)
+            .checkpoint()
+        )
+    rows = ordered.withColumn("_block", F.spark_partition_id())
 
     def group_starts(batch, before):
         """True where a row's group differs from the row above; `before` is the row above the first."""

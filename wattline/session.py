@@ -19,16 +19,17 @@ MAX_PARTITIONS = 20_000
 def build_session(app_name: str = "wattline", **settings: str) -> SparkSession:
     """Session with UTC as its zone and adaptive execution on; `settings` are further Spark settings.
 
-    The advisory size is what a task that writes readings gets: shuffled rows shrink to about a
-    fifth as Parquet, so it makes files of some 50 MB. The number of shuffle partitions is left to
-    the caller, to `shuffle_sized_for` and to adaptive coalescing.
+    The advisory size is what a task that writes readings gets. More would make larger files for a
+    hot site (shuffled rows shrink to about a fifth as Parquet), but also more files for a task that
+    writes small sites. The number of shuffle partitions is left to the caller, to
+    `shuffle_sized_for` and to adaptive coalescing.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
