@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
     rows = [tuple(r) for r in df.collect()]
     assert rows
-    assert mismatch(df.columns, rows, db.sql(contract.oracle_sql()[name])) is None
+    assert mismatch(df, rows, db.sql(contract.oracle_sql()[name])) is None
 
 
 def test_entry(spark):

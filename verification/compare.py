@@ -7,6 +7,7 @@ import time
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import DataFrame
 
 from verification.queries import registered
 from wattline.session import build_session
@@ -19,16 +20,24 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+_TYPES = {
+    "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP"
+}
+
+
 def rows_as_text(columns: list[str], rows: list[tuple]) -> list[tuple[str, ...]]:
     """Values in the order of the column names, rows in the order of their values."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-def mismatch(columns: list[str], rows: list[tuple], result: duckdb.DuckDBPyRelation) -> str | None:
-    if sorted(columns) != sorted(result.columns):
-        return f"columns {sorted(columns)} != {sorted(result.columns)}"
-    left, right = rows_as_text(columns, rows), rows_as_text(result.columns, result.fetchall())
+def mismatch(df: DataFrame, rows: list[tuple], result: duckdb.DuckDBPyRelation) -> str | None:
+    """What differs in names, types, number of rows or values; None when nothing does."""
+    here = sorted((name, _TYPES[kind]) for name, kind in df.dtypes)
+    there = sorted((name, str(kind)) for name, kind in zip(result.columns, result.types))
+    if here != there:
+        return f"columns {here} != {there}"
+    left, right = rows_as_text(df.columns, rows), rows_as_text(result.columns, result.fetchall())
     if len(left) != len(right):
         return f"rows {len(left)} != {len(right)}"
     differing = [(a, b) for a, b in zip(left, right) if a != b]
@@ -49,7 +58,7 @@ def main() -> int:
         try:
             df = fn(spark, sf_dir)
             rows = [tuple(row) for row in df.collect()]
-            problem = mismatch(df.columns, rows, db.sql(sql)) if sql else None
+            problem = mismatch(df, rows, db.sql(sql)) if sql else None
         except Exception as error:  # report and go on with the next query
             rows, problem = [], f"{type(error).__name__}: {str(error)[:600]}"
         failures += problem is not None
