@@ -290,6 +290,13 @@ def test_one_file_per_site_day_and_several_for_a_hot_one(spark, settings, tmp_pa
     assert lake.read_silver(spark, f"{tmp_path}/hot").count() == 200_000
 
 
+def test_layout_without_adaptive_execution(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__enabled="false")
+    lake.write_silver(silver_rows(spark, 2_000), str(tmp_path))
+    layout = written_layout(lake.read_silver(spark, str(tmp_path))).first()
+    assert layout.files == layout.folders > 2
+
+
 def test_records_per_file(spark, tmp_path):
     lake.write_silver(silver_rows(spark, 5_000), str(tmp_path), max_records_per_file=1000)
     assert len(list(tmp_path.glob("event_date=2025-08-01/site_id=hot/*.parquet"))) >= 5

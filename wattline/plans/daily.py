@@ -19,6 +19,7 @@ from wattline.session import drop_dir, fresh_dir, shuffle_sized_for
 from wattline.sources import lake
 from wattline.sources.bronze import read_raw_days
 from wattline.sources.devices import read_devices
+from wattline.sources.paths import gathered
 
 _RUN_KEY = ("process_date", *schema.KEY)
 # A late row is a cleaned reading that has not met its device yet.
@@ -219,8 +220,7 @@ def _write_late(rows: DataFrame, base: str, dates: Sequence[str], with_late: set
     """One folder per processed day, replaced whole: a re-run leaves no late row of the last one."""
     if with_late:
         (
-            rows.select(*schema.names(LATE))
-            .hint("rebalance", F.col("process_date"))
+            gathered(rows.select(*schema.names(LATE)), "process_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("process_date")

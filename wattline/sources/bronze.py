@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.functions.times import parse_utc, utc_date
-from wattline.sources.paths import load_or_empty
+from wattline.sources.paths import gathered, load_or_empty
 
 # layout -> (folder of a day, file pattern, number of path segments from the day to the file)
 _LAYOUTS = {
@@ -67,18 +67,17 @@ def write_bronze(df: DataFrame, base: str, day: Column | None = None) -> None:
     """Write records as JSON lines into the `keyed` layout.
 
     Day and site become folders as *copies*, so the site also stays in the record. `day` defaults
-    to the UTC date of `ts_utc`. Rebalancing puts a day's site into one file, and into several
-    when it is large.
+    to the UTC date of `ts_utc`.
     """
     if day is None:
         day = utc_date(parse_utc(F.col("ts_utc")))
+    rows = df.select(
+        *schema.names(schema.TELEMETRY),
+        day.cast("string").alias("raw_date"),
+        F.col("site_id").alias("raw_site"),
+    )
     (
-        df.select(
-            *schema.names(schema.TELEMETRY),
-            day.cast("string").alias("raw_date"),
-            F.col("site_id").alias("raw_site"),
-        )
-        .hint("rebalance", F.col("raw_date"), F.col("raw_site"))
+        gathered(rows, "raw_date", "raw_site")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)

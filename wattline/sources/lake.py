@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.session import drop_dir
-from wattline.sources.paths import load_or_empty
+from wattline.sources.paths import gathered, load_or_empty
 
 
 def write_silver(
@@ -20,13 +20,10 @@ def write_silver(
 
     `append` adds files to them instead.
 
-    The rebalance hint brings each site's day into one file. Unlike a plain hash repartition it lets
-    adaptive execution split a day whose rows exceed the advisory partition size over several
-    tasks, so one hot site does not become one task.
+    A site's day becomes one file, or several written by several tasks when it is large.
     """
     (
-        df.select(*schema.names(schema.SILVER))
-        .hint("rebalance", *map(F.col, schema.SITE_DAY))
+        gathered(df.select(*schema.names(schema.SILVER)), *schema.SITE_DAY)
         .write.mode("append" if append else "overwrite")
         .options(**_writer_options(max_records_per_file))
         .partitionBy(*schema.SITE_DAY)

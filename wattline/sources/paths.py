@@ -1,4 +1,4 @@
-"""Reading from a path that may not exist yet."""
+"""Reading from a path that may not exist yet; laying rows out for a partitioned write."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def load_or_empty(spark: SparkSession, ddl: str, load: Callable[[], DataFrame]) -> DataFrame:
@@ -16,3 +17,15 @@ def load_or_empty(spark: SparkSession, ddl: str, load: Callable[[], DataFrame])
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], ddl)
+
+
+def gathered(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring rows of equal `columns` together, so that a write partitioned by them makes few files.
+
+    The rebalance hint lets adaptive execution split what exceeds the advisory partition size over
+    several tasks, so one hot value does not become one task. Without adaptive execution the hint
+    does nothing, and a plain hash repartition takes its place.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *map(F.col, columns))
+    return df.repartition(*columns)
