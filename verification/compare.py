@@ -21,7 +21,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 _TYPES = {
-    "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP"
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+    "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
