@@ -70,3 +70,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows_per_la
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
     )
+
+
+def sent_whole(small: DataFrame, rows: int, row_bytes: int, most_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """`small` marked for broadcast if `rows` of `row_bytes` fit in `most_bytes`; else as it is, for a shuffled join."""
+    return F.broadcast(small) if rows * row_bytes <= most_bytes else small

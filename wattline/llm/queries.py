@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import contamination, mixing, sharding
+from wattline.llm import chat, contamination, mixing, neardup, pii, quality, sharding, toxicity
 from wattline.llm.common import table
 
 
@@ -10,6 +10,26 @@ def op1_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark, sf_dir):
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_near_duplicates(spark, sf_dir):
+    return neardup.report(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_chat(spark, sf_dir):
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
+def op6_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.report(table(spark, sf_dir, "documents"))
 
@@ -21,6 +41,11 @@ def op10_decontamination(spark, sf_dir):
 def registered():
     return {
         "op1_mixing": (op1_mixing, mixing.REPORT_SQL),
+        "op2_quality": (op2_quality, None),
+        "op3_near_duplicates": (op3_near_duplicates, None),
+        "op4_toxicity": (op4_toxicity, None),
+        "op5_chat": (op5_chat, chat.REPORT_SQL),
+        "op6_pii": (op6_pii, None),
         "op9_sharding": (op9_sharding, sharding.REPORT_SQL),
         "op10_decontamination": (op10_decontamination, contamination.REPORT_SQL),
     }
