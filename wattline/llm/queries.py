@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wattline.llm import chat, contamination, mixing, neardup, pii, quality, sharding, toxicity
+import corpus_pipeline
+from wattline.llm import chat, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, toxicity
 from wattline.llm.common import table
 
 
@@ -30,6 +31,14 @@ def op6_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.report(table(spark, sf_dir, "documents"))
 
@@ -46,6 +55,9 @@ def registered():
         "op4_toxicity": (op4_toxicity, None),
         "op5_chat": (op5_chat, chat.REPORT_SQL),
         "op6_pii": (op6_pii, None),
+        "op7_line_dedup": (op7_line_dedup, lines.REPORT_SQL),
+        "op8_fingerprints": (op8_fingerprints, merkle.REPORT_SQL),
         "op9_sharding": (op9_sharding, sharding.REPORT_SQL),
+        "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op10_decontamination": (op10_decontamination, contamination.REPORT_SQL),
     }
