@@ -62,9 +62,9 @@ def raw_files(spark: SparkSession, sf_dir: str, copies: int) -> LakePaths:
     """A lake with `copies` times the readings, each copy under device ids of its own."""
     paths = LakePaths.below(fresh_dir(spark, "bench"))
     copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-    repeated = v.records(spark, sf_dir).withColumn("copy", copy)
+    repeated = v.delivered(spark, sf_dir).withColumn("copy", copy)
     own_id = F.when(F.col("copy") == 0, F.col("device_id")).otherwise(F.concat("device_id", F.lit("-"), "copy"))
-    write_bronze(repeated.withColumn("device_id", own_id), paths.raw)
+    write_bronze(repeated.withColumn("device_id", own_id), paths.raw, F.col("day"))
     v.devices(spark, sf_dir).write.option("header", True).csv(paths.devices)
     return paths
 
@@ -80,18 +80,8 @@ def run_separate_actions(spark: SparkSession, paths: LakePaths, dates: list[str]
     readings = cleaned.join(F.broadcast(read_devices(spark, paths.devices)), "device_id", "left")
     readings.where(F.col("power_w").isNull()).count()
     readings.where(F.col("soc_percent").isNull()).count()
-    for df, columns, base in (
-        (readings, schema.names(schema.SILVER), paths.silver),
-        (site_daily(readings), schema.names(schema.GOLD), paths.gold),
-    ):
-        (
-            df.select(*columns)
-            .repartition(*schema.SITE_DAY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*schema.SITE_DAY)
-            .parquet(base)
-        )
+    lake.write_silver(readings, paths.silver)
+    lake.write_gold(site_daily(readings), paths.gold)
     raw.count()
     assert rows
 

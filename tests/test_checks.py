@@ -73,9 +73,17 @@ def test_expected_grid(spark, rows_per_day, spread):
         for d in ("D1", "D2") for day in range(2) for i in range(rows_per_day)
     )
     assert found == wanted
-    assert ("Exchange" in plan_of(grid)) == bool(spread)
+    assert "Exchange" in plan_of(grid)
 
 
 def test_expected_grid_needs_samples(spark):
     with pytest.raises(ValueError):
         expected_grid(spark.range(1), "2025-01-01", 0, 5)
+
+
+def test_grid_is_dealt_out_by_default(spark):
+    devices = spark.createDataFrame([(f"d{i}",) for i in range(5)], "device_id string").coalesce(1)
+    grid = expected_grid(devices, "2025-08-01", 30, 7)
+    assert grid.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert grid.count() == 5 * 30 * 7
+    assert len({r.p for r in grid.selectExpr("spark_partition_id() AS p").distinct().collect()}) > 1

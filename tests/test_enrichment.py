@@ -75,3 +75,12 @@ def test_normalized_device_file(spark, tmp_path):
     assert [tuple(r) for r in read_devices_normalized(spark, str(path)).collect()] == [("007", "01", 200.0)]
     given = spark.createDataFrame([("a", "b", "x")], "device_id string, site_id string, capacity_kwh string")
     assert normalize_devices(given).first().capacity_kwh is None
+
+
+def test_device_files_with_another_header_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("device_id,site_id,device_type,capacity_kwh\nD1,01,battery,200\n")
+    (tmp_path / "b.csv").write_text("device_id,site_id,device_type,capacity_kwh\nD2,01,battery,300\n")
+    assert {tuple(r) for r in read_devices(spark, str(tmp_path)).collect()} == {("D1", 200.0), ("D2", 300.0)}
+    (tmp_path / "c.csv").write_text("capacity_kwh,site_id,device_type,device_id\n300,01,battery,D3\n")
+    with pytest.raises(Exception, match="header"):
+        read_devices(spark, str(tmp_path)).collect()

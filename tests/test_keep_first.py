@@ -61,9 +61,16 @@ def test_all_columns_may_be_keys(spark, rows):
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark, rows):
-    plan = plan_of(keep_first(spark.createDataFrame(rows, SCHEMA), ["k", "t"]))
-    assert plan.count("Exchange") == 1
-    assert plan.index("partial_min") > plan.index("Exchange")  # printed from the top down
+    df = spark.createDataFrame(rows, SCHEMA)
+    for found, reduced in ((keep_first(df, ["k", "t"], copies="n"), "partial_min"), (keep_first(df, ["k", "t"]), "Partial")):
+        plan = plan_of(found)
+        assert plan.count("Exchange") == 1
+        assert plan.index(reduced) > plan.index("Exchange")  # printed from the top down
+
+
+def test_both_forms_keep_the_same_rows(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert as_text(keep_first(df, ["k", "t"], ["x"])) == smallest(rows)
 
 
 def test_key_counts(spark, rows):

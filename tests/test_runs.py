@@ -42,6 +42,27 @@ def fill(raw, day, sites=("01", "S2"), power=1.0, off_date=()):
         raw.lines(day, site, f"D{site}", *rows, rows[0])
 
 
+def late_rows(spark, paths):
+    return lake.read_dates(spark, paths.late, daily.LATE, None)
+
+
+class Lost(Exception):
+    pass
+
+
+def failing(monkeypatch, module, name):
+    """The next call of a function fails, later ones don't."""
+    real, calls = getattr(module, name), []
+
+    def once(*a, **b):
+        if not calls:
+            calls.append(1)
+            raise Lost
+        return real(*a, **b)
+
+    monkeypatch.setattr(module, name, once)
+
+
 def state(spark, paths):
     return (
         rows_of(lake.read_silver(spark, paths.silver)),
@@ -60,7 +81,7 @@ def test_days_together_equal_days_one_by_one(spark, raw, tmp_path):
     for day in DAYS:
         run_day(spark, one_by_one, day)
     assert state(spark, together) == state(spark, one_by_one)
-    assert rows_of(spark.read.parquet(together.late)) == rows_of(spark.read.parquet(one_by_one.late))
+    assert rows_of(late_rows(spark, together)) == rows_of(late_rows(spark, one_by_one))
     assert rows_of(lake.read_quality(spark, together.metrics))[0].startswith(
         "Row(duplicate_keys=2, null_power=0, null_soc=2, process_date='2025-08-01', rows_total=12)"
     )
@@ -74,7 +95,7 @@ def test_rerun_changes_nothing(spark, raw):
     run_day(spark, raw.paths, DAYS[1])
     run_days(spark, raw.paths, DAYS)
     assert state(spark, raw.paths) == before
-    assert spark.read.parquet(raw.paths.late).count() == 6
+    assert late_rows(spark, raw.paths).count() == 6
 
 
 def test_rerun_without_late_rows_removes_them(spark, raw):
@@ -83,7 +104,7 @@ def test_rerun_without_late_rows_removes_them(spark, raw):
     run_days(spark, raw.paths, DAYS[:2])
     fill(raw, DAYS[0])
     run_day(spark, raw.paths, DAYS[0])
-    assert {str(r.process_date) for r in spark.read.parquet(raw.paths.late).collect()} == {DAYS[1]}
+    assert {r.process_date for r in late_rows(spark, raw.paths).collect()} == {DAYS[1]}
 
 
 def test_late_rows_do_not_touch_other_dates_until_merged(spark, raw):
@@ -137,13 +158,78 @@ def test_merge_without_late_rows(spark, raw):
     assert state(spark, raw.paths) == before
 
 
-def test_overwriting_other_dates_is_for_one_day(spark, raw):
-    with pytest.raises(ValueError):
-        run_days(spark, raw.paths, DAYS, RunOptions(off_date="overwrite"))
+def test_merge_that_failed_before_the_figures_is_mended_by_the_next(spark, raw, monkeypatch):
+    fill(raw, DAYS[0], power=5.0)
+    fill(raw, DAYS[1], off_date=[DAYS[0]])
+    run_days(spark, raw.paths, DAYS[:2])
+    failing(monkeypatch, lake, "write_gold")
+    with pytest.raises(Lost):
+        merge_late(spark, raw.paths, DAYS[:1])
+    merge_late(spark, raw.paths, DAYS[:1])
+    assert lake.read_silver(spark, raw.paths.silver, DAYS[:1]).count() == 10
+    gold = lake.read_gold(spark, raw.paths.gold, DAYS[:1]).collect()
+    assert {(r.peak_power_w, r.energy_wh_total) for r in gold} == {(77.0, 27.0)}
+
+
+def test_late_rows_are_read_by_date(spark, raw):
+    fill(raw, DAYS[0], off_date=["2025-07-01", "2025-07-02"])
+    run_day(spark, raw.paths, DAYS[0])
+    some = lake.read_dates(spark, raw.paths.late, daily.LATE, ["2025-07-02"])
+    assert some.count() == 2 and all("event_date=2025-07-02/process_date=2025-08-01" in f for f in some.inputFiles())
+    assert "PartitionFilters: [isnotnull(event_date" in plan_of(some)
+
+
+def test_run_that_fails_leaves_the_old_day_whole_and_unmarked(spark, raw, monkeypatch):
+    fill(raw, DAYS[0])
+    options = RunOptions(stale_sites="drop")
+    run_day(spark, raw.paths, DAYS[0], options)
+    before = state(spark, raw.paths)
+    failing(monkeypatch, lake, "write_silver")
+    with pytest.raises(Lost):
+        run_day(spark, raw.paths, DAYS[0], options)
+    silver, gold, quality = state(spark, raw.paths)
+    assert (silver, gold) == before[:2]
+    assert quality == []
+    run_day(spark, raw.paths, DAYS[0], options)
+    assert state(spark, raw.paths) == before
+
+
+def test_overwriting_other_dates_runs_day_after_day(spark, raw, tmp_path):
+    fill(raw, DAYS[0], power=5.0)
+    fill(raw, DAYS[1], off_date=[DAYS[0], "2025-07-01"])
+    other = LakePaths(raw.paths.raw, *[f"{tmp_path}/other/{x}" for x in ("s", "g", "m")],
+                      devices=raw.paths.devices, late=f"{tmp_path}/other/late")
+    options = RunOptions(off_date="overwrite")
+    run_days(spark, raw.paths, DAYS[:2], options)
+    for day in DAYS[:2]:
+        run_day(spark, other, day, options)
+    assert state(spark, raw.paths) == state(spark, other)
+    assert {r.peak_power_w for r in lake.read_gold(spark, raw.paths.gold, DAYS[:1]).collect()} == {77.0}
     with pytest.raises(ValueError):
         RunOptions(off_date="overwrite", stale_sites="drop")
 
 
+def test_overwriting_reads_only_the_dates_it_touched(spark, raw, monkeypatch):
+    for day in DAYS:
+        fill(raw, day)
+    run_days(spark, raw.paths, DAYS)
+    seen, figures = [], daily.site_daily
+    monkeypatch.setattr(daily, "site_daily", lambda df: seen.append(df) or figures(df))
+    run_day(spark, raw.paths, DAYS[0], RunOptions(off_date="overwrite"))
+    assert seen[0].inputFiles() and all(f"event_date={DAYS[0]}" in f for f in seen[0].inputFiles())
+
+
+def test_record_without_a_day_is_not_written(spark, raw, tmp_path):
+    rows = spark.createDataFrame(
+        [("2025-08-01T00:00:00Z", "a", "s"), ("bad", "a", "s")], "ts_utc string, device_id string, site_id string"
+    )
+    rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in schema.names(schema.TELEMETRY)])
+    with pytest.raises(Exception, match="no day"):
+        write_bronze(rows, f"{tmp_path}/raw")
+    write_bronze(rows, f"{tmp_path}/raw", F.lit("2025-08-01"))
+    assert read_raw_day(spark, f"{tmp_path}/raw", "2025-08-01", "keyed").count() == 2
+
+
 @pytest.mark.parametrize("rule, left", [("keep", {"01", "S2"}), ("drop", {"01"})])
 def test_site_missing_on_rerun(spark, raw, rule, left):
     fill(raw, DAYS[0])

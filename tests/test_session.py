@@ -4,8 +4,9 @@ import pytest
 from conftest import plan_of, rows_of
 
 from wattline import schema, session
+from wattline.plans import daily
 from wattline.plans.daily import LakePaths, _same, run_days
-from wattline.session import fresh_dir, shuffle_sized_for, work_root
+from wattline.session import TooManyPartitions, fresh_dir, shuffle_sized_for, work_root
 from wattline.sources import lake
 
 
@@ -16,13 +17,29 @@ def test_shuffle_is_sized_from_the_input_and_restored(spark, tmp_path):
     with shuffle_sized_for(df) as wanted:
         assert wanted == int(before)  # never lowered
     with shuffle_sized_for(df, 10_000) as wanted:
-        assert int(before) < wanted < session.MAX_PARTITIONS and spark.conf.get(setting) == str(wanted)
-    with pytest.raises(RuntimeError), shuffle_sized_for(df, 1) as wanted:
-        assert wanted == session.MAX_PARTITIONS
+        assert int(before) < wanted < 1000 and spark.conf.get(setting) == str(wanted)
+    size = session.input_bytes(df)
+    with pytest.raises(RuntimeError), shuffle_sized_for(df, size // 30_000) as wanted:
+        assert 30_000 <= wanted <= 31_000  # follows the size
         raise RuntimeError
+    with pytest.raises(TooManyPartitions), shuffle_sized_for(df, size // 30_000, most_partitions=20_000):
+        pass
     assert spark.conf.get(setting) == before
 
 
+def test_days_that_need_too_many_partitions_go_in_passes(spark, raw):
+    for day in ("2025-08-01", "2025-08-02", "2025-08-03"):
+        raw.lines(day, "01", "D1", *[raw.reading(day, f"0{h}:00:00", "D1", "01", energy_wh=1.0) for h in range(4)])
+    dates = ["2025-08-01", "2025-08-02", "2025-08-03"]
+    own = session.input_bytes(daily.read_raw_days(spark, raw.paths.raw, dates[:1]))
+    two = daily.RunOptions(bytes_per_partition=own + 10, most_partitions=2)
+    assert daily._passes(spark, raw.paths, dates, two) == [dates[:2], dates[2:]]
+    assert daily._passes(spark, raw.paths, dates, daily.RunOptions()) == [dates]
+    assert [r.rows_total for r in run_days(spark, raw.paths, dates, two).collect()] == [4, 4, 4]
+    with pytest.raises(TooManyPartitions):
+        run_days(spark, raw.paths, dates, daily.RunOptions(bytes_per_partition=1, most_partitions=10))
+
+
 def test_work_folder_is_the_one_the_cluster_names(spark):
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
     first, second = fresh_dir(spark, "x"), fresh_dir(spark, "x")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from wattline.operators.enrichment import enrich_capacity
 from wattline.operators.grid import expected_grid, expected_readings
 from wattline.operators.kpis import site_daily, uptime_percent
 from wattline.operators.quality import (
-    day_quality,
     key_counts,
     row_count,
     status_counts,
@@ -63,7 +63,13 @@ def rounded_gold(gold: DataFrame) -> DataFrame:
 # --- scans and sources -------------------------------------------------------------------------
 
 
-@query(with_(v.RECORDS, "SELECT *, ts_utc[1:10] AS process_date FROM records"))
+@query(with_(v.RECORDS, "SELECT * EXCLUDE (day), day AS process_date FROM delivered"))
+def raw_day_scan_dated(spark, sf_dir):
+    """Every day in the layout in which devices deliver it."""
+    return read_raw_days(spark, v.dated_files(spark, sf_dir), v.all_dates(spark, sf_dir))
+
+
+@query(with_(v.RECORDS, "SELECT * EXCLUDE (day), day AS process_date FROM delivered"))
 def raw_day_scan(spark, sf_dir):
     """Every day of the table, each selected by its folder; the day comes from the path."""
     paths = v.lake(spark, sf_dir)
@@ -135,12 +141,20 @@ def device_dim_normalized(spark, sf_dir):
 _SILVER_COLUMNS = ", ".join(schema.names(schema.SILVER))
 
 
-@query(with_(v.RECORDS_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"))
-def silver_date_scan(spark, sf_dir):
-    """Readings selected by a predicate on the partition date, for every date of the table."""
+def _written_lake(spark, sf_dir):
     paths = v.lake(spark, sf_dir)
     run_days(spark, paths, v.all_dates(spark, sf_dir), KEYED)
-    return lake.read_silver(spark, paths.silver, v.all_dates(spark, sf_dir))
+    return paths
+
+
+_EVERY_OTHER = "(event_date - (SELECT min(event_date) FROM silver)) % 2 = 0"
+
+
+@query(with_(v.RECORDS_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver WHERE {_EVERY_OTHER}"))
+def silver_date_scan(spark, sf_dir):
+    """Readings of every other date, whose folders alone are listed."""
+    paths = _written_lake(spark, sf_dir)
+    return lake.read_silver(spark, paths.silver, v.all_dates(spark, sf_dir)[::2])
 
 
 # --- sinks and runs ----------------------------------------------------------------------------
@@ -160,54 +174,56 @@ def gold_roundtrip(spark, sf_dir):
     return rounded_gold(lake.read_gold(spark, paths.gold))
 
 
-@query(with_(v.RECORDS_SILVER, v.GOLD_SELECT.format(source="silver")))
-def idempotent_rerun(spark, sf_dir):
+def _rerun(spark, sf_dir):
     """All dates, then all dates again, then one date alone."""
     paths = v.lake(spark, sf_dir)
     dates = v.all_dates(spark, sf_dir)
     run_days(spark, paths, dates, KEYED)
     run_days(spark, paths, dates, KEYED)
     run_days(spark, paths, dates[:1], KEYED)
-    return rounded_gold(lake.read_gold(spark, paths.gold))
+    return paths
 
 
-_QUALITY_SELECT = """SELECT strftime(event_date, '%Y-%m-%d') AS process_date, rows_total,
-  rows_total - survivors AS duplicate_keys, null_power, null_soc
-FROM (SELECT event_date, count(*) AS rows_total FROM parsed GROUP BY 1)
-JOIN (SELECT event_date, count(*) AS survivors,
-    count(*) FILTER (power_w IS NULL) AS null_power, count(*) FILTER (soc_percent IS NULL) AS null_soc
-  FROM cleaned GROUP BY 1) USING (event_date)"""
+@query(with_(v.RECORDS_SILVER, v.GOLD_SELECT.format(source="silver")))
+def idempotent_rerun(spark, sf_dir):
+    return rounded_gold(lake.read_gold(spark, _rerun(spark, sf_dir).gold))
+
+
+@query(with_(v.RECORDS_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"))
+def idempotent_rerun_readings(spark, sf_dir):
+    return lake.read_silver(spark, _rerun(spark, sf_dir).silver)
+
 
+_QUALITY_SELECT = """SELECT day AS process_date, count(*) AS rows_total,
+  count(*) FILTER (rn > 1) AS duplicate_keys,
+  count(*) FILTER (rn = 1 AND ts IS NOT NULL AND power_w IS NULL) AS null_power,
+  count(*) FILTER (rn = 1 AND ts IS NOT NULL AND (soc_percent < 0 OR soc_percent > 100 OR soc_percent IS NULL)) AS null_soc
+FROM ranked GROUP BY day"""
 
-@query(with_(v.CLEANED, _QUALITY_SELECT))
+
+@query(with_(v.RECORDS_SILVER, _QUALITY_SELECT))
 def quality_summary(spark, sf_dir):
-    """Quality records of all dates, written as JSON and read back."""
-    path = fresh_dir(spark, "quality")
-    rows = v.prepared(spark, sf_dir).withColumn("process_date", F.col("event_date").cast("string"))
-    lake.write_quality(day_quality(rows), path)
-    return lake.read_quality(spark, path)
+    """Quality records of all dates as a run wrote them, read back."""
+    return lake.read_quality(spark, _written_lake(spark, sf_dir).metrics)
 
 
-@query(with_(v.RECORDS_SILVER + """, parsed AS (
-  SELECT *, CAST(strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS DATE) AS event_date FROM records
-), cleaned AS (SELECT * FROM silver)""", _QUALITY_SELECT))
+@query(with_(v.RECORDS_SILVER, _QUALITY_SELECT))
 def multi_day_run(spark, sf_dir):
     """Quality records of a run over all dates at once."""
     paths = v.lake(spark, sf_dir)
     return run_days(spark, paths, v.all_dates(spark, sf_dir), KEYED)
 
 
-@query(with_(v.RECORDS, "SELECT * FROM records"))
+@query(with_(v.RECORDS, "SELECT * EXCLUDE (day), day AS process_date FROM delivered"))
 def bronze_jsonl_roundtrip(spark, sf_dir):
+    """Records, some with bad times, written by their day of delivery and read as a run reads them."""
     path = fresh_dir(spark, "bronze")
-    write_bronze(v.records(spark, sf_dir), path)
-    return (
-        spark.read.schema(schema.TELEMETRY).option("recursiveFileLookup", True).json(path)
-    )
+    write_bronze(v.delivered(spark, sf_dir), path, F.col("day"))
+    return read_raw_days(spark, path, v.all_dates(spark, sf_dir), "keyed")
 
 
-@query(with_(v.PARSED, """SELECT count(DISTINCT (event_date, site_id)) AS files,
-  count(DISTINCT (event_date, site_id)) AS folders FROM parsed"""))
+@query(with_(v.RECORDS_SILVER, """SELECT count(DISTINCT (event_date, site_id)) AS files,
+  count(DISTINCT (event_date, site_id)) AS folders FROM silver"""))
 def silver_file_layout(spark, sf_dir):
     paths = v.lake(spark, sf_dir)
     run_days(spark, paths, v.all_dates(spark, sf_dir), KEYED)
@@ -216,10 +232,9 @@ def silver_file_layout(spark, sf_dir):
 
 def _lake_with_late_rows(spark, sf_dir):
     """Readings of the last hour lie in the folder of the day before, but for the first date's."""
-    ts = t.parse_utc(F.col("ts_utc"))
     dates = v.all_dates(spark, sf_dir)
-    moved = (F.hour(ts) == 23) & (t.utc_date(ts).cast("string") != dates[0])
-    day = F.when(moved, F.date_sub(t.utc_date(ts), 1)).otherwise(t.utc_date(ts))
+    moved = (F.hour(t.parse_utc(F.col("ts_utc"))) == 23) & (F.col("day") != dates[0])
+    day = F.when(moved, F.date_sub(F.to_date("day"), 1).cast("string")).otherwise(F.col("day"))
     paths = v.lake(spark, sf_dir, day)
     run_days(spark, paths, dates, KEYED)
     return paths, dates
@@ -231,7 +246,7 @@ FROM (SELECT {_SILVER_COLUMNS} FROM silver) WHERE hour(ts) = 23
   AND event_date > (SELECT min(event_date) FROM survivors)"""))
 def late_rows_kept_apart(spark, sf_dir):
     paths, _ = _lake_with_late_rows(spark, sf_dir)
-    return spark.read.schema(LATE).parquet(paths.late)
+    return lake.read_dates(spark, paths.late, LATE, None)
 
 
 @query(with_(v.RECORDS_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"))
@@ -242,6 +257,34 @@ def late_rows_merged(spark, sf_dir):
     return lake.read_silver(spark, paths.silver)
 
 
+@query(with_(v.RECORDS_SILVER, v.GOLD_SELECT.format(source="silver")))
+def late_gold_merged(spark, sf_dir):
+    """The figures after the merge."""
+    paths, dates = _lake_with_late_rows(spark, sf_dir)
+    merge_late(spark, paths, dates)
+    return rounded_gold(lake.read_gold(spark, paths.gold))
+
+
+_PARITY = v.RECORDS_SILVER.replace("delivered AS (", "as_dated AS (").replace("records AS (SELECT * EXCLUDE (day) FROM delivered)", """delivered AS (
+  SELECT * REPLACE (CASE WHEN ts_utc LIKE '%T23:%' AND ts_utc NOT LIKE 'bad%' AND day <> (SELECT min(day) FROM as_dated)
+    THEN strftime(CAST(day AS DATE) - 1, '%Y-%m-%d') ELSE day END AS day) FROM as_dated
+), records AS (SELECT * EXCLUDE (day) FROM delivered)""").replace("SELECT * EXCLUDE (rn, day) FROM ranked WHERE rn = 1 AND ts IS NOT NULL", """
+  -- the last day that wrote a partition left its rows there
+  SELECT * EXCLUDE (rn, day, last) FROM (SELECT *, max(day) OVER (PARTITION BY event_date, site_id) AS last
+    FROM ranked WHERE rn = 1 AND ts IS NOT NULL) WHERE day = last""")
+
+
+@query(with_(_PARITY, v.GOLD_SELECT.format(source="silver")))
+def parity_multi_day(spark, sf_dir):
+    """Off-date rows are written under their own date, and the date's own run then replaces them."""
+    dates = v.all_dates(spark, sf_dir)
+    moved = (F.hour(t.parse_utc(F.col("ts_utc"))) == 23) & (F.col("day") != dates[0])
+    day = F.when(moved, F.date_sub(F.to_date("day"), 1).cast("string")).otherwise(F.col("day"))
+    paths = v.lake(spark, sf_dir, day)
+    run_days(spark, paths, dates, RunOptions(layout="keyed", off_date="overwrite"))
+    return rounded_gold(lake.read_gold(spark, paths.gold))
+
+
 # --- projections -------------------------------------------------------------------------------
 
 
@@ -358,9 +401,8 @@ def silver_telemetry(spark, sf_dir):
 
 @query(with_(v.CLEANED, v.GOLD_SELECT.format(source="cleaned")))
 def gold_site_daily(spark, sf_dir):
-    """Only the columns that the figures need go through the deduplication."""
-    needed = v.parsed(spark, sf_dir).drop("ts_utc", "soc_percent").withColumn("soc_percent", F.lit(None))
-    return rounded_gold(site_daily(drop_untimed(clean_readings(keep_first(needed, schema.KEY, ["event_id"])))))
+    """The figures by the chain as it runs: time, first of each key, ranges, figures."""
+    return rounded_gold(site_daily(v.cleaned(spark, sf_dir)))
 
 
 @query(with_(v.CLEANED, """SELECT event_date, site_id,
@@ -420,6 +462,52 @@ def duplicate_keys_top50(spark, sf_dir):
     return checks.duplicate_keys(spark, v.parsed(spark, sf_dir))
 
 
+def _a_day_and_none(spark, sf_dir):
+    """A date in the middle of the table and one long before it."""
+    dates = v.all_dates(spark, sf_dir)
+    return [("within", dates[len(dates) // 2]), ("before", "1900-01-01")]
+
+
+_DAY = """day AS (SELECT unnest(['within', 'before']) AS which, unnest([(SELECT first(d) FROM (
+  SELECT d FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS d FROM events)
+  ORDER BY d LIMIT 1 OFFSET (SELECT (date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1) // 2 FROM events))),
+  TIMESTAMP '1900-01-01']) AS d)"""
+
+
+@query(with_(v.RECORDS_SILVER + ", " + _DAY, """SELECT which, count(device_id) + count(*) FILTER (device_id IS NULL AND ts IS NOT NULL) AS rows_total,
+  CASE WHEN count(ts) > 0 THEN count(*) FILTER (ts IS NOT NULL AND power_w IS NULL) END AS null_power,
+  CASE WHEN count(ts) > 0 THEN count(*) FILTER (ts IS NOT NULL AND soc_percent IS NULL) END AS null_soc
+FROM day LEFT JOIN silver ON event_date = CAST(d AS DATE) GROUP BY which"""))
+def sql_null_profile_day(spark, sf_dir):
+    """Written readings of a date with rows, and of one without: its sums are NULL."""
+    readings = lake.read_silver(spark, _written_lake(spark, sf_dir).silver)
+    return reduce(DataFrame.unionByName, [
+        checks.null_profile(spark, readings, day).withColumn("which", F.lit(which))
+        for which, day in _a_day_and_none(spark, sf_dir)
+    ])
+
+
+@query(with_(v.RECORDS + ", " + _DAY, """SELECT which, count(*) FILTER (soc_percent < 0 OR soc_percent > 100) AS out_of_bounds_soc
+FROM day LEFT JOIN delivered ON CAST(try_strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS DATE) = CAST(d AS DATE) GROUP BY which"""))
+def soc_bounds_day(spark, sf_dir):
+    """Raw readings of a date: in the written ones nothing is out of bounds."""
+    readings = with_event_time(v.records(spark, sf_dir))
+    return reduce(DataFrame.unionByName, [
+        checks.soc_out_of_bounds(spark, readings, day).withColumn("which", F.lit(which))
+        for which, day in _a_day_and_none(spark, sf_dir)
+    ])
+
+
+@query(with_(v.RECORDS + ", " + _DAY, """SELECT device_id, CAST(try_strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS ts, count(*) AS cnt
+FROM delivered JOIN day ON CAST(try_strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS DATE) = CAST(d AS DATE)
+GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY cnt DESC, device_id, ts LIMIT 50"""))
+def duplicate_keys_day(spark, sf_dir):
+    readings = with_event_time(v.records(spark, sf_dir))
+    return reduce(DataFrame.unionByName, [
+        checks.duplicate_keys(spark, readings, day) for _, day in _a_day_and_none(spark, sf_dir)
+    ])
+
+
 # --- expected samples and derived quantities ---------------------------------------------------
 
 
@@ -533,6 +621,7 @@ def bounded_running_sum_query(spark, sf_dir):
         start=50.0,
         bounds=r.SOC_RANGE,
         name="level",
+        chunk=F.hour("ts"),
     )
     return levels.select("event_id", "device_id", "event_date", F.round("level", 6).alias("level"))
 

@@ -16,6 +16,7 @@ from wattline.operators.cleaning import clean_readings, drop_untimed, keep_first
 from wattline.plans.daily import LakePaths, dates_between
 from wattline.session import fresh_dir
 from wattline.sources.bronze import write_bronze
+from wattline.sources.paths import folders
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,18 +57,28 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_untimed(prepared(spark, sf_dir)).drop("copies")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same readings as raw records: text ids and all ten fields."""
+def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings as raw records, text ids and all ten fields, with their day of delivery.
+
+    Some times are not in the agreed form and some readings have no power.
+    """
     voltage = clamp(F.col("power_w") + 370, VOLTAGE_RANGE)
     return (
         telemetry(spark, sf_dir)
+        .withColumn("day", F.substring("ts_utc", 1, 10))
+        .withColumn("ts_utc", F.when(F.col("event_id") % 31 == 3, F.concat(F.lit("bad "), "ts_utc")).otherwise(F.col("ts_utc")))
         .withColumn("device_id", F.col("device_id").cast("string"))
         .withColumn("voltage_v", voltage)
         .withColumn("current_a", ratio_or_zero(F.col("power_w"), F.col("voltage_v")))
-        .select(*schema.names(schema.TELEMETRY))
+        .withColumn("power_w", F.when(F.col("event_id") % 17 != 5, F.col("power_w")))
+        .select(*schema.names(schema.TELEMETRY), "day")
     )
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivered(spark, sf_dir).drop("day")
+
+
 def all_dates(spark: SparkSession, sf_dir: str, margin: int = 0) -> list[str]:
     """Every date of the table, and `margin` dates before and after it."""
     span = (
@@ -82,16 +93,29 @@ def all_dates(spark: SparkSession, sf_dir: str, margin: int = 0) -> list[str]:
     return dates_between(span["first"], span["days"])
 
 
-def lake(
-    spark: SparkSession, sf_dir: str, day: Column | None = None, files: str = "lake"
-) -> LakePaths:
-    """A fresh lake whose raw folders and device file hold the whole tables."""
-    paths = LakePaths.below(fresh_dir(spark, files))
-    write_bronze(records(spark, sf_dir), paths.raw, day)
+def lake(spark: SparkSession, sf_dir: str, day: Column | None = None) -> LakePaths:
+    """A fresh lake whose raw folders and device file hold the whole tables; `day` is the day of
+    delivery unless another is given."""
+    paths = LakePaths.below(fresh_dir(spark, "lake"))
+    write_bronze(delivered(spark, sf_dir), paths.raw, F.col("day") if day is None else day)
     devices(spark, sf_dir).write.option("header", True).csv(paths.devices)
     return paths
 
 
+def dated_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw records as devices deliver them, `YYYY/MM/DD/<site>/*.jsonl`; a folder for each site and day."""
+    keyed, base = lake(spark, sf_dir).raw, fresh_dir(spark, "dated")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in folders(spark, f"{keyed}/raw_date=*/raw_site=*"):
+        day, site = (part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:])
+        target = f"{base}/{day.replace('-', '/')}/{site}"
+        fs.mkdirs(path(target))
+        for i, status in enumerate(fs.globStatus(path(f"{folder}/*.json"))):
+            fs.rename(status.getPath(), path(f"{target}/part{i}.jsonl"))
+    return base
+
+
 # --- the same views as SQL ---------------------------------------------------------------------
 
 TELEMETRY = """telemetry AS (
@@ -125,21 +149,24 @@ SILVER = CLEANED + """, devices AS (
 ), silver AS (
   SELECT cleaned.*, capacity_kwh FROM cleaned LEFT JOIN devices USING (device_id))"""
 
-RECORDS = TELEMETRY + """, records AS (
-  SELECT ts_utc, CAST(device_id AS VARCHAR) AS device_id, site_id, power_w, energy_wh,
+RECORDS = TELEMETRY + """, delivered AS (
+  SELECT CASE WHEN event_id % 31 = 3 THEN 'bad ' || ts_utc ELSE ts_utc END AS ts_utc,
+    CAST(device_id AS VARCHAR) AS device_id, site_id,
+    CASE WHEN event_id % 17 <> 5 THEN power_w END AS power_w, energy_wh,
     greatest(360, least(440, power_w + 370)) AS voltage_v,
     power_w / greatest(360, least(440, power_w + 370)) AS current_a,
-    temperature_c, soc_percent, status
-  FROM telemetry)"""
-
-RECORDS_SILVER = RECORDS + """, survivors AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, CAST(strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS ts,
-      CAST(strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS DATE) AS event_date,
-      row_number() OVER (PARTITION BY device_id, ts_utc ORDER BY site_id, power_w, energy_wh,
-        voltage_v, current_a, temperature_c, soc_percent, status) AS rn
-    FROM records)
-  WHERE rn = 1
+    temperature_c, soc_percent, status, ts_utc[1:10] AS day
+  FROM telemetry
+), records AS (SELECT * EXCLUDE (day) FROM delivered)"""
+
+RECORDS_SILVER = RECORDS + """, timed AS (
+  SELECT *, CAST(try_strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS ts FROM delivered
+), ranked AS (  -- one key without a time for each device and day
+  SELECT *, CAST(ts AS DATE) AS event_date,
+    row_number() OVER (PARTITION BY day, device_id, ts ORDER BY ts_utc, site_id, power_w NULLS LAST, energy_wh,
+      voltage_v, current_a, temperature_c, soc_percent, status) AS rn
+  FROM timed
+), survivors AS (SELECT * EXCLUDE (rn, day) FROM ranked WHERE rn = 1 AND ts IS NOT NULL
 ), silver AS (
   SELECT survivors.* REPLACE (
     CASE WHEN power_w < 0 THEN 0 ELSE power_w END AS power_w,

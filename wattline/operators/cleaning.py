@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline import schema
@@ -34,13 +34,18 @@ def keep_first(
 
     NULL keys are equal to each other. `copies` names a column for the number of rows a key had.
 
-    Written as an aggregate over one struct, so every input partition reduces a key to one row
-    before the shuffle: a key holding a third of all rows costs one row per partition. The key's
-    hash leads the grouping keys because sorting by a number is decided on the sort prefix.
+    Every input partition reduces a key to one row before the shuffle, so a key holding a third of
+    all rows costs one row per partition: with `copies` by an aggregate over one struct, without by
+    a rank of 1, which sorts but does not copy rows. The key's hash leads the keys because sorting
+    by a number is decided on the sort prefix.
     """
     keys = list(keys)
     order_by = [c for c in order_by or [] if c not in keys]
     rest = order_by + [c for c in df.columns if c not in keys and c not in order_by]
+    if not copies and rest:
+        per_key = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*[F.col(c).asc_nulls_last() for c in rest])
+        ranked = df.withColumn("rank_of_row", F.row_number().over(per_key))
+        return ranked.where(F.col("rank_of_row") == 1).drop("rank_of_row")
     fields = []
     for position, name in enumerate(rest):
         if df.schema[name].nullable:  # NULLs last

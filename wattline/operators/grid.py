@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from wattline.functions.readings import (
 from wattline.functions.times import day_fraction, iso_utc
 
 _DAY_MICROS = 86_400_000_000
+SAMPLES_PER_TASK = 1_000_000
 
 
 def expected_grid(
@@ -23,9 +25,10 @@ def expected_grid(
 ) -> DataFrame:
     """`rows_per_day` evenly spaced instants on each of `days` dates, for every device row.
 
-    Both sequences are made inside each device's row, so there is no join and no shuffle. A device
-    file of one partition would make the whole grid in one task: `spread` first deals the device
-    days out to that many tasks.
+    Both sequences are made inside each device's row, so there is no join. The device days are first
+    dealt out to `spread` tasks, as a device file of one partition would make the whole grid in one;
+    by default to the session's shuffle partitions, or more where a task would get over
+    `SAMPLES_PER_TASK` samples. For that the devices are counted when the plan is built.
     """
     if days < 1 or rows_per_day < 1:
         raise ValueError("days and rows_per_day must be positive")
@@ -33,11 +36,14 @@ def expected_grid(
     first_micros = F.lit(int(first.timestamp()) * 1_000_000)
     offset = F.bround(F.col("sample") * (_DAY_MICROS / rows_per_day)).cast("long")
     ts = F.timestamp_micros(first_micros + F.col("day_number") * F.lit(_DAY_MICROS) + offset)
+    if spread is None:
+        samples = devices.count() * days * rows_per_day
+        configured = int(devices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = max(configured, math.ceil(samples / SAMPLES_PER_TASK))
     device_days = devices.withColumn("day_number", F.explode(_numbers(days)))
-    if spread:
-        device_days = device_days.repartition(spread)
     return (
-        device_days.withColumn("sample", F.explode(_numbers(rows_per_day)))
+        device_days.repartition(spread, *device_days.columns)
+        .withColumn("sample", F.explode(_numbers(rows_per_day)))
         .withColumn("ts", ts)
         .drop("day_number")
     )

@@ -5,11 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wattline.session import shuffle_sized_for, work_root
+from wattline.session import shuffle_sized_for
 
 
 def bounded_running_sum(
@@ -20,126 +19,71 @@ def bounded_running_sum(
     start: float,
     bounds: tuple[float, float],
     name: str,
-    blocks: int | None = None,
+    chunk: Column,
 ) -> DataFrame:
     """Add `name`: per group, in order, `level = clamp(level + delta)`, beginning with `start`.
 
     A window cannot express a clamp at each step, and folding a whole group in one task would not
-    hold when one group is a large share of the data. So the rows are range-partitioned by group and
-    order, which cuts a large group into several consecutive blocks. The effect of a block on the
-    level is again a clamped sum, `min(high, max(low, level + total))`, described by three numbers.
-    A first pass finds them for the group a block ends in; joined over the blocks, one row each, they
-    give every block's opening level; a second pass writes the levels.
-
-    `order` must be unique within a group. NULL and NaN deltas count as 0. The sorted rows are
-    checkpointed, so that both passes see the same blocks even after an executor is lost.
+    hold when one group is a large share of the data. So a group is cut into chunks, the rows of one
+    value of `chunk`, which must not decrease along `order` (the hour of a time, say) and bounds what
+    is gathered in one row. The effect of a chunk on the level is again a clamped sum,
+    `min(high, max(low, level + total))`, three numbers. Only those are gathered per group, a few for
+    each chunk, and composed to the opening level of every chunk, from which its rows are folded.
+    All of it is built-in expressions; chunks of one group lie in many tasks.
+
+    `order` must be unique within a group. NULL and NaN deltas count as 0; NULL chunks come first.
     """
     group, order, columns = list(group), list(order), df.columns
-    low, high = bounds
-    work_root(df.sparkSession)
-    ranges = ([blocks] if blocks else []) + group + order
+    low, high = (F.lit(float(b)) for b in bounds)
+
+    def clamp(x: Column) -> Column:
+        return F.least(high, F.greatest(low, x))
+
     step = F.coalesce(F.nanvl(F.col(delta).cast("double"), F.lit(0.0)), F.lit(0.0))
+    row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], step.alias("step"), F.struct(*columns).alias("row"))
+    keys = [f"g{i}" for i in range(len(group))]
     with shuffle_sized_for(df):
-        ordered = (
-            df.withColumn("_step", step)
-            .repartitionByRange(*ranges)
-            .sortWithinPartitions(*group, *order)
-            .checkpoint()
+        chunks = (
+            df.groupBy(*[F.col(c).alias(k) for c, k in zip(group, keys)], chunk.alias("chunk"))
+            .agg(F.array_sort(F.collect_list(row)).alias("rows"))
         )
-    rows = ordered.withColumn("_block", F.spark_partition_id())
-
-    def group_starts(batch, before):
-        """True where a row's group differs from the row above; `before` is the row above the first."""
-        import numpy as np
-        import pyarrow.compute as pc
-
-        n = batch.num_rows
-        fresh = np.zeros(n, dtype=bool)
-        fresh[0] = before is None or [batch.column(c)[0].as_py() for c in group] != before
-        for c in group:
-            here, above = batch.column(c).slice(1), batch.column(c).slice(0, n - 1)
-            differs = pc.or_(
-                pc.fill_null(pc.not_equal(here, above), False),
-                pc.xor(pc.is_null(here), pc.is_null(above)),
-            )
-            fresh[1:] |= differs.to_numpy(zero_copy_only=False)
-        return fresh
-
-    def last_group_effects(batches):
-        """One row per block: is it all one group, its first and last group, the effect of the last."""
-        import numpy as np
-        import pyarrow as pa
-
-        before = first = None
-        single, total, floor, ceiling = True, 0.0, -math.inf, math.inf
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            fresh = group_starts(batch, before)
-            if before is None:
-                first, block = batch.select(group).slice(0, 1), batch.column("_block")[0].as_py()
-                fresh[0] = False
-            begins = int(np.flatnonzero(fresh)[-1]) if fresh.any() else 0
-            if fresh.any():
-                single, total, floor, ceiling = False, 0.0, -math.inf, math.inf
-            for s in batch.column("_step").slice(begins).to_pylist():
-                total += s
-                floor = min(high, max(low, floor + s))
-                ceiling = min(high, max(low, ceiling + s))
-            last = batch.select(group).slice(batch.num_rows - 1, 1)
-            before = [last.column(c)[0].as_py() for c in group]
-        if before is not None:
-            ends = [first.column(c) for c in group] + [last.column(c) for c in group]
-            facts = [pa.array([v]) for v in (single, total, floor, ceiling)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32())] + ends + facts, names=effect_names
-            )
+        nothing = F.struct(F.lit(0.0).alias("total"), F.lit(-math.inf).alias("floor"), F.lit(math.inf).alias("ceiling"))
 
-    def levels(batches):
-        """The rows with their levels; only the first group of a block has an opening level."""
-        import pyarrow as pa
-
-        before, level = None, start
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            fresh = group_starts(batch, before)
-            if before is None:
-                fresh[0] = False
-                level = opening.get(batch.column("_block")[0].as_py(), start)
-            out = []
-            for s, begins in zip(batch.column("_step").to_pylist(), fresh.tolist()):
-                level = min(high, max(low, (start if begins else level) + s))
-                out.append(level)
-            before = [batch.column(c)[-1].as_py() for c in group]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in columns] + [pa.array(out, pa.float64())],
-                names=columns + [name],
+        def further(done, x):
+            return F.struct(
+                (done["total"] + x["step"]).alias("total"),
+                clamp(done["floor"] + x["step"]).alias("floor"),
+                clamp(done["ceiling"] + x["step"]).alias("ceiling"),
             )
 
-    effect_names = (
-        ["block"]
-        + [f"first_{i}" for i in range(len(group))]
-        + [f"last_{i}" for i in range(len(group))]
-        + ["single", "total", "floor", "ceiling"]
-    )
-    group_types = [df.schema[c].dataType for c in group]
-    effect_types = [T.IntegerType(), *group_types, *group_types, T.BooleanType()] + [T.DoubleType()] * 3
-    effects = (
-        rows.select("_block", *group, "_step")
-        .mapInArrow(last_group_effects, T.StructType(list(map(T.StructField, effect_names, effect_types))))
-        .collect()  # one row per partition, however many rows the groups have
-    )
-
-    opening: dict[int, float] = {}
-    closing, last_group = start, None
-    for e in sorted(effects, key=lambda e: e["block"]):
-        first = [e[f"first_{i}"] for i in range(len(group))]
-        if last_group is not None and first == last_group:
-            opening[e["block"]] = closing
-        entry = opening.get(e["block"], start) if e["single"] else start
-        closing = min(e["ceiling"], max(e["floor"], entry + e["total"]))
-        last_group = [e[f"last_{i}"] for i in range(len(group))]
-
-    written = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
-    return rows.mapInArrow(levels, written)
+        effects = chunks.select(*keys, F.struct("chunk", F.aggregate("rows", nothing, further).alias("effect")).alias("c"))
+
+        def opened(done, x):
+            e = x["effect"]
+            after = F.least(e["ceiling"], F.greatest(e["floor"], done["level"] + e["total"]))
+            opening = F.struct(x["chunk"].alias("chunk"), done["level"].alias("level"))
+            return F.struct(after.alias("level"), F.concat(done["openings"], F.array(opening)).alias("openings"))
+
+        kind = chunks.schema["chunk"].dataType.simpleString()
+        first = F.struct(
+            F.lit(float(start)).alias("level"),
+            F.array().cast(f"array<struct<chunk: {kind}, level: double>>").alias("openings"),
+        )
+        openings = effects.groupBy(*keys).agg(F.aggregate(F.array_sort(F.collect_list("c")), first, opened)["openings"].alias("o"))
+        openings = openings.select(*[F.col(k).alias(f"of_{k}") for k in keys], F.inline("o").alias("of_chunk", "opening"))
+
+        same = F.col("chunk").eqNullSafe(F.col("of_chunk"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+
+        def leveled(done, x):
+            level = clamp(done["level"] + x["step"])
+            return F.struct(level.alias("level"), F.concat(done["levels"], F.array(level)).alias("levels"))
+
+        opening = F.struct(F.col("opening").alias("level"), F.array().cast("array<double>").alias("levels"))
+        levels = F.aggregate("rows", opening, leveled)["levels"]
+        return (
+            chunks.join(openings, same)
+            .select(F.inline(F.arrays_zip(F.col("rows.row").alias("row"), levels.alias("level"))).alias("row", "level"))
+            .select("row.*", F.col("level").alias(name))
+        )

@@ -15,11 +15,18 @@ from wattline.operators.cleaning import clean_readings, drop_untimed, keep_first
 from wattline.operators.enrichment import enrich_capacity
 from wattline.operators.kpis import site_daily
 from wattline.operators.quality import day_quality
-from wattline.session import drop_dir, fresh_dir, shuffle_sized_for
+from wattline.session import (
+    BYTES_PER_PARTITION,
+    MOST_PARTITIONS,
+    drop_dir,
+    fresh_dir,
+    input_bytes,
+    shuffle_sized_for,
+)
 from wattline.sources import lake
 from wattline.sources.bronze import read_raw_days
 from wattline.sources.devices import read_devices
-from wattline.sources.paths import gathered
+from wattline.sources.paths import folders, gathered
 
 _RUN_KEY = ("process_date", *schema.KEY)
 # A late row is a cleaned reading that has not met its device yet.
@@ -52,11 +59,14 @@ class RunOptions:
     """Choices where the data can go wrong.
 
     off_date: rows whose own date is not the day of their folder. `late` keeps them apart until
-        `merge_late`; `overwrite` writes them under their own date, replacing what lies there.
+        `merge_late`; `overwrite` writes them under their own date, replacing what lies there, so
+        several days are then run one after the other, in order.
     stale_sites: a site that an earlier run of the day had and this one lacks. `keep` leaves its
-        partition; `drop` removes the dates before they are written, so a run that fails in between
-        leaves them absent until it is repeated.
+        partition; `drop` removes it, after the day's new partitions are written.
     duplicate_devices: see `enrich_capacity`.
+    bytes_per_partition, most_partitions: raw bytes meant for one shuffle partition, and the most
+        partitions of one pass. Days that together need more are run in several passes; a single day
+        that needs more is an error.
     """
 
     layout: str = "dated"
@@ -64,6 +74,8 @@ class RunOptions:
     stale_sites: str = "keep"
     duplicate_devices: str = "fail"
     max_records_per_file: int | None = None
+    bytes_per_partition: int = BYTES_PER_PARTITION
+    most_partitions: int = MOST_PARTITIONS
 
     def __post_init__(self):
         if self.off_date not in ("late", "overwrite"):
@@ -83,7 +95,7 @@ def prepared_readings(raw: DataFrame, keys: Sequence[str] = schema.KEY) -> DataF
 
 
 def silver_readings(raw: DataFrame, devices: DataFrame, duplicates: str = "fail") -> DataFrame:
-    """The whole chain from raw records to enriched readings, as one lazy plan."""
+    """The whole chain from raw records to enriched readings; only the dimension is read at once."""
     cleaned = drop_untimed(prepared_readings(raw)).drop("copies")
     return enrich_capacity(cleaned, devices, duplicates).select(*schema.names(schema.SILVER))
 
@@ -114,15 +126,48 @@ def run_days(
     and feeds every later step, so counts are exact also when executors are lost on the way.
     Each day keeps its own keys, so the result equals running the days one by one.
 
-    Order of the writes: readings, late rows, daily figures, quality records. A quality record is
-    therefore the mark of a finished day. A day without raw rows writes nothing at all.
+    Order of the writes: the days' quality records are withdrawn, then readings, late rows, daily
+    figures and quality records are written. A quality record is therefore the mark of a finished
+    day, also when a day is run again. A day without raw rows writes nothing at all.
     """
-    if options.off_date == "overwrite" and len(set(dates)) > 1:
-        raise ValueError("off-date rows can overwrite other dates only in a run of one day")
+    dates = sorted(set(dates))
+    if options.off_date == "overwrite":
+        passes = [[day] for day in dates]
+    else:
+        passes = _passes(spark, paths, dates, options)
+    done = [_run_pass(spark, paths, days, options) for days in passes]
+    return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], schema.QUALITY)
+
+
+def _passes(
+    spark: SparkSession, paths: LakePaths, dates: list[str], options: RunOptions
+) -> list[list[str]]:
+    """Consecutive dates whose raw files fit in one pass; sizes come from the file listing."""
+
+    def size(days):
+        return input_bytes(read_raw_days(spark, paths.raw, days, options.layout))
+
+    most = options.most_partitions * options.bytes_per_partition
+    if not dates or size(dates) <= most:
+        return [dates] if dates else []
+    passes, room = [], 0
+    for day in dates:
+        own = size([day])
+        if own > room:
+            passes.append([])
+            room = most
+        passes[-1].append(day)
+        room -= own
+    return passes
+
+
+def _run_pass(
+    spark: SparkSession, paths: LakePaths, dates: list[str], options: RunOptions
+) -> DataFrame:
     stage_path = fresh_dir(spark, "prepared")
     raw = read_raw_days(spark, paths.raw, dates, options.layout)
     try:
-        with shuffle_sized_for(raw):
+        with shuffle_sized_for(raw, options.bytes_per_partition, options.most_partitions):
             prepared_readings(raw, _RUN_KEY).write.parquet(stage_path)
             return _write_days(spark, paths, spark.read.parquet(stage_path), options)
     finally:
@@ -140,20 +185,24 @@ def _write_days(
     readings = enrich_capacity(timed, read_devices(spark, paths.devices), options.duplicate_devices)
     if options.duplicate_devices == "fan_out":
         quality = _count_nulls_again(day_quality(stage), readings).collect()
-    if options.stale_sites == "drop":
-        lake.drop_dates(spark, paths.silver, done)
-        lake.drop_dates(spark, paths.gold, done)
+    lake.drop_quality(spark, paths.metrics, done)
     on_date = F.col("event_date") == F.col("process_date").cast("date")
+    touched = done
     if options.off_date == "late":
         lake.write_silver(readings.where(on_date), paths.silver, options.max_records_per_file)
         with_late = {row["process_date"] for row in quality if row["off_date_rows"]}
         _write_late(timed.where(~on_date), paths.late, done, with_late)
-        written = lake.read_silver(spark, paths.silver, done)
     else:
         lake.write_silver(readings, paths.silver, options.max_records_per_file)
-        touched = timed.select("event_date").distinct()
-        written = lake.read_silver(spark, paths.silver).join(touched, "event_date", "left_semi")
-    lake.write_gold(site_daily(written), paths.gold)
+        dates = timed.select("event_date").distinct().collect()  # a row per date
+        touched = [row["event_date"].isoformat() for row in dates]
+    sites = {}
+    if options.stale_sites == "drop":
+        now = timed.where(on_date).select("process_date", "site_id").distinct().collect()  # a row per folder
+        sites = {day: {row["site_id"] for row in now if row["process_date"] == day} for day in done}
+    lake.drop_other_sites(spark, paths.silver, sites)
+    lake.write_gold(site_daily(lake.read_silver(spark, paths.silver, touched)), paths.gold)
+    lake.drop_other_sites(spark, paths.gold, sites)
     finished = spark.createDataFrame(
         [tuple(row[c] for c in schema.names(schema.QUALITY)) for row in quality], schema.QUALITY
     )
@@ -170,12 +219,14 @@ def merge_late(
     """Add the late rows of some dates to them; a reading already there wins over a late one.
 
     Only the new rows are written, as further files of their partitions, and only the figures of
-    their sites are computed again. Doing it twice adds nothing, because the rows are then there. To
-    be called again after a later `run_days` of such a date, which writes only the day's own rows.
+    the sites with late rows are computed again, whether or not their rows were there already: so a
+    call that failed on the way is mended by the next, and doing it twice adds nothing. To be called
+    again after a later `run_days` of such a date, which writes only the day's own rows.
     """
-    late = lake.read_dates(spark, paths.late, LATE, None).where(
-        F.col("event_date").isin([date.fromisoformat(d) for d in dates])
-    )
+    late = lake.read_dates(spark, paths.late, LATE, dates)
+    if late.isEmpty():
+        return
+    touched = late.select(*schema.SITE_DAY).distinct()
     late = keep_first(late, schema.KEY, ["process_date"])
     # the date's readings are many and the late rows few: cut the former down before comparing
     present = lake.read_silver(spark, paths.silver, dates).select(*schema.KEY)
@@ -185,11 +236,9 @@ def merge_late(
     try:
         new.write.parquet(stage_path)
         stage = spark.read.schema(LATE).parquet(stage_path)
-        if stage.isEmpty():
-            return
-        readings = enrich_capacity(stage, read_devices(spark, paths.devices), duplicate_devices)
-        lake.write_silver(readings, paths.silver, append=True)
-        touched = stage.select(*schema.SITE_DAY).distinct()
+        if not stage.isEmpty():
+            readings = enrich_capacity(stage, read_devices(spark, paths.devices), duplicate_devices)
+            lake.write_silver(readings, paths.silver, append=True)
         written = lake.read_silver(spark, paths.silver, dates)
         changed = written.alias("l").join(touched.alias("r"), _same(schema.SITE_DAY), "left_semi")
         lake.write_gold(site_daily(changed), paths.gold)
@@ -217,14 +266,20 @@ def _count_nulls_again(quality: DataFrame, readings: DataFrame) -> DataFrame:
 
 
 def _write_late(rows: DataFrame, base: str, dates: Sequence[str], with_late: set[str]) -> None:
-    """One folder per processed day, replaced whole: a re-run leaves no late row of the last one."""
+    """One folder per date and processed day. What the processed day held before is replaced whole: a
+    re-run leaves no late row of the last one."""
+    spark, written = rows.sparkSession, set()
     if with_late:
         (
-            gathered(rows.select(*schema.names(LATE)), "process_date")
+            gathered(rows.select(*schema.names(LATE)), "event_date", "process_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("process_date")
+            .partitionBy("event_date", "process_date")
             .parquet(base)
         )
-    for day in set(dates) - with_late:
-        drop_dir(rows.sparkSession, f"{base}/process_date={day}")
+        pairs = rows.select("event_date", "process_date").distinct().collect()  # a row per folder
+        written = {f"event_date={p['event_date']}/process_date={p['process_date']}" for p in pairs}
+    for day in dates:
+        for folder in folders(spark, f"{base}/event_date=*/process_date={day}"):
+            if "/".join(folder.rsplit("/", 2)[1:]) not in written:
+                drop_dir(spark, folder)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,10 +12,15 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Input bytes meant for one shuffle partition, and the most partitions a shuffle is given:
-# the number of shuffle blocks is map tasks times partitions.
+# Input bytes meant for one shuffle partition.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_PARTITIONS = 20_000
+# The most partitions that one shuffle may be given: a driver keeps the place of map tasks times
+# partitions blocks. An input that needs more is an error, not a shuffle of too large partitions.
+MOST_PARTITIONS = 50_000
+
+
+class TooManyPartitions(ValueError):
+    """The input needs more shuffle partitions than allowed."""
 
 
 def build_session(app_name: str = "wattline", **settings: str) -> SparkSession:
@@ -50,6 +57,7 @@ def work_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="wattline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -65,20 +73,40 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_UNKNOWN_BYTES = 2**62  # Spark gives a size above this to inputs that it knows nothing of
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables that `df` reads, as the optimizer knows it from the file listing.
+
+    Nothing is scanned. An input of unknown size counts as nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
+
+
 @contextmanager
 def shuffle_sized_for(
-    df: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION
+    df: DataFrame,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
 ) -> Iterator[int]:
     """Raise the number of shuffle partitions to suit the size of `df`'s input, then restore it.
 
     Adaptive execution merges small partitions of an aggregation but never splits large ones, so
-    the number must be high enough at the start. The size is what the optimizer knows from the
-    file listing; nothing is scanned.
+    the number must be high enough at the start. It follows the size up to `most_partitions`; an
+    input that needs more raises `TooManyPartitions`.
     """
     spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
     configured = spark.conf.get(setting)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = max(int(configured), min(MAX_PARTITIONS, math.ceil(size / bytes_per_partition)))
+    needed = math.ceil(input_bytes(df) / bytes_per_partition)
+    if needed > most_partitions:
+        raise TooManyPartitions(
+            f"{needed} partitions of {bytes_per_partition} bytes exceed {most_partitions}: "
+            "take fewer dates in a pass, larger partitions, or a higher ceiling"
+        )
+    wanted = max(int(configured), needed)
     spark.conf.set(setting, wanted)
     try:
         yield wanted

@@ -67,13 +67,15 @@ def write_bronze(df: DataFrame, base: str, day: Column | None = None) -> None:
     """Write records as JSON lines into the `keyed` layout.
 
     Day and site become folders as *copies*, so the site also stays in the record. `day` defaults
-    to the UTC date of `ts_utc`.
+    to the UTC date of `ts_utc`. A record without a day would lie where no run reads it, so it is an
+    error and nothing is written: give `day`, the date of delivery, where times may be bad.
     """
     if day is None:
         day = utc_date(parse_utc(F.col("ts_utc")))
+    day = F.coalesce(day.cast("string"), F.raise_error(F.lit("a record has no day")).cast("string"))
     rows = df.select(
         *schema.names(schema.TELEMETRY),
-        day.cast("string").alias("raw_date"),
+        day.alias("raw_date"),
         F.col("site_id").alias("raw_site"),
     )
     (

@@ -1,4 +1,4 @@
-"""The device dimension: a CSV file with a header."""
+"""The device dimension: CSV files with a header."""
 
 from __future__ import annotations
 
@@ -9,22 +9,26 @@ from pyspark.sql import functions as F
 DEFAULT_CAPACITY_KWH = 200.0
 
 
-def read_devices(spark: SparkSession, path: str) -> DataFrame:
-    """`device_id, capacity_kwh` as text and double; ids untouched, bad numbers NULL.
+def read_device_files(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the header, which must be the same in every file.
 
-    Columns are found by the header's names, so their order in the file does not matter.
+    Rows are read by position, so a file whose header differs would put values in wrong columns:
+    reading it is an error. The names come from one header line.
     """
-    return (
-        spark.read.option("header", True)
-        .csv(path)
-        .select("device_id", F.col("capacity_kwh").try_cast("double").alias("capacity_kwh"))
+    header = spark.read.option("header", True).csv(path).schema
+    return spark.read.schema(header).options(header=True, enforceSchema=False).csv(path)
+
+
+def read_devices(spark: SparkSession, path: str) -> DataFrame:
+    """`device_id, capacity_kwh` as text and double; ids untouched, bad numbers NULL."""
+    return read_device_files(spark, path).select(
+        "device_id", F.col("capacity_kwh").try_cast("double").alias("capacity_kwh")
     )
 
 
 def read_devices_normalized(spark: SparkSession, path: str) -> DataFrame:
-    """The dimension with trimmed ids, and a default capacity if the file lacks the column."""
-    rows = spark.read.option("header", True).csv(path)
-    return normalize_devices(rows)
+    """The dimension with trimmed ids, and a default capacity if the files lack the column."""
+    return normalize_devices(read_device_files(spark, path))
 
 
 def normalize_devices(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.session import drop_dir
-from wattline.sources.paths import gathered, load_or_empty
+from wattline.sources.paths import folder_name, folders, gathered, load_or_empty
 
 
 def write_silver(
@@ -49,10 +49,21 @@ def write_gold(df: DataFrame, base: str) -> None:
     )
 
 
-def drop_dates(spark: SparkSession, base: str, dates: Iterable[str]) -> None:
-    """Remove whole dates, before a write that must not leave partitions of an earlier one."""
+def drop_other_sites(
+    spark: SparkSession, base: str, sites: dict[str, set[str | None]]
+) -> None:
+    """Remove the partitions of each given date whose site is not among the date's sites."""
+    for day, names in sites.items():
+        own = {folder_name(spark, "site_id", name) for name in names}
+        for folder in folders(spark, f"{base}/event_date={date.fromisoformat(day).isoformat()}/site_id=*"):
+            if folder.rsplit("/", 1)[1] not in own:
+                drop_dir(spark, folder)
+
+
+def drop_quality(spark: SparkSession, base: str, dates: Iterable[str]) -> None:
+    """Withdraw the records of some days."""
     for day in dates:
-        drop_dir(spark, f"{base}/event_date={date.fromisoformat(day).isoformat()}")
+        drop_dir(spark, f"{base}/quality_date={date.fromisoformat(day).isoformat()}")
 
 
 def write_quality(df: DataFrame, base: str) -> None:

@@ -19,6 +19,21 @@ def load_or_empty(spark: SparkSession, ddl: str, load: Callable[[], DataFrame])
         return spark.createDataFrame([], ddl)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the folders that match a pattern; none when nothing does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or [] if status.isDirectory()]
+
+
+def folder_name(spark: SparkSession, key: str, value: str | None) -> str:
+    """The folder that a partitioned write makes for a value."""
+    if value is None or value == "":
+        return f"{key}=__HIVE_DEFAULT_PARTITION__"
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{key}={utils.escapePathName(value)}"
+
+
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Bring rows of equal `columns` together, so that a write partitioned by them makes few files.
 
