@@ -416,15 +416,19 @@ def rows_of(render, messages: Iterator[dict]) -> Iterator[tuple[int, str, list[t
 def read_turns(pieces: Iterator[str]) -> Iterator[tuple[str, str]]:
     """Role and text of every turn of formatted text that the default template made."""
     token = re.compile(r"\\[\s\S]|" + re.escape(END))
-    rest = ""
+    rest, between = "", False
     for piece in pieces:
         rest += piece
+        if between and rest:
+            rest, between = rest.removeprefix("\n"), False
         while (end := next((m for m in token.finditer(rest) if m.group() == END), None)) is not None:
             head, body = rest[: end.start()].split("\n", 1)
             if not head.startswith(TURN) or not any(body.startswith(c + "\n") for c in CONTROL):
                 raise ValueError("not a formatted turn")
             yield unescape_line(head[len(TURN) :]), unescape(body.split("\n", 1)[1])
-            rest = rest[end.end() :].removeprefix("\n")
+            rest = rest[end.end() :]
+            between = not rest
+            rest = rest.removeprefix("\n")
     if rest.strip("\n"):
         raise ValueError("a turn has no end")
 

@@ -39,6 +39,13 @@ def discard(df: DataFrame) -> None:
         drop_dir(df.sparkSession, folder)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """Every fifth document by crc32 of its id as text; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.common import unused
+
 WINDOW = 13
 # Pattern bytes of one automaton (about 40 times as much memory in a task). A larger benchmark is
 # dealt to several, each of which scans the documents.
@@ -178,7 +180,7 @@ def contaminated(found: Column, percent: int = 5) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    own = "__contamination"
+    own = unused(docs, "__contamination")
     return with_contamination(docs, benchmark, own).where(~contaminated(F.col(own))).drop(own)
 
 

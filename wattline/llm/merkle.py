@@ -115,10 +115,10 @@ def block_of(id_: Column) -> Column:
 def successors(keys: DataFrame) -> DataFrame:
     """(key, after) of distinct keys in ascending order; `after` of the last is null."""
     bounds = keys.agg(F.min("key"), F.max("key")).first()
+    if bounds[0] is None or bounds[1] - bounds[0] < 2**BLOCK_BITS:  # so many keys at most
+        return keys.select("key", F.lead("key").over(W.orderBy("key")).alias("after"))
     order = W.partitionBy("of").orderBy("key")
     rows = keys.withColumn("of", F.call_function("shiftright", "key", F.lit(BLOCK_BITS))).withColumn("after", F.lead("key").over(order))
-    if bounds[0] is None or bounds[0] >> BLOCK_BITS == bounds[1] >> BLOCK_BITS:
-        return rows.select("key", "after")
     rows = written(rows, "order")
     firsts = written(rows.groupBy("of").agg(F.min("key").alias("least")), "order")
     above = successors(firsts.select(F.col("of").alias("key")))

@@ -119,7 +119,7 @@ def schedule(
         ordered.withColumn("number", F.explode_outer(F.when(F.col("size") > 0, F.sequence(F.lit(0), pieces * most - 1))))
         .withColumn("epoch", F.floor(F.col("number") / pieces))
         .withColumn("first_word", (F.col("number") % pieces) * piece_words)
-        .withColumn("words", F.least(F.lit(piece_words), F.col("size") - F.col("first_word")))
+        .withColumn("words", F.when(F.col("epoch").isNotNull(), F.least(F.lit(piece_words), F.col("size") - F.col("first_word"))))
         .withColumn(
             "finish",
             (F.col("epoch") * F.col("source_size") + F.col("served") + F.col("first_word") + F.col("words"))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import held_out, labelled_sample
+from wattline.llm.common import held_out, labelled_sample, unused
 
 ROWS_PER_LABEL = 2000
 DIMENSIONS = 48
@@ -160,5 +160,5 @@ def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **s
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    own = "__quality"
+    own = unused(docs, "__quality")
     return with_score(docs, train(docs, labels), own).where(F.col(own) >= threshold).drop(own)
