@@ -120,5 +120,6 @@ def test_swapping_identity_terms_does_not_change_the_score(spark):
         return {r.doc_id: float(r.s) for r in toxicity.with_score(mention, model, "s").select("doc_id", "s").collect()}
 
     free, bound = scores(0.0), scores(toxicity.SWAP_PENALTY)
-    assert free[1] - free[2] > 0.3
-    assert abs(bound[1] - bound[2]) < 0.05 and bound[3] > 0.8 and bound[3] > bound[1]
+    logit = lambda p: np.log(p / (1 - p))
+    assert logit(free[1]) - logit(free[2]) > 3
+    assert abs(logit(bound[1]) - logit(bound[2])) < 0.3 and bound[3] > 0.8 and bound[1] < 0.5

@@ -63,6 +63,15 @@ def test_equals_brute_force(spark, table):
         assert (r.n_lines, r.n_removed) == (counts.get(d, 0), counts.get(d, 0) - len(own))
 
 
+@pytest.mark.parametrize("first, nearest", [(1, 1), (1, 3), (4, 4)])
+def test_long_lists_of_a_word(spark, monkeypatch, first, nearest):
+    monkeypatch.setattr(lines, "FIRST", first)
+    monkeypatch.setattr(lines, "NEAREST", nearest)
+    table = similar_lines(60)
+    found = lines.kept_lines(documents(spark, table)).collect()
+    assert {r.d: r.kept for r in found} == brute_force(table)
+
+
 def test_texts_without_the_removed_lines(spark):
     table = [(1, "a b c d e\n\nx", "", "", 0), (2, "x\nnew line\n \na b c d e", "", "", 0), (3, None, "", "", 0)]
     docs = documents(spark, table)

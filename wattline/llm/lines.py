@@ -11,9 +11,11 @@ pairs must fit in length, in the places of the shared word (positional filter) a
 64-bit parity of the words: each word that only one set has flips one bit. What is left is verified on
 the words.
 
-A class needs one earlier similar class, not all. So first each class is tried against the two classes
-before it among those that share a rare word, which settles most lines of a large group of near copies;
-only classes that this leaves open are joined with all earlier ones that share a rare word.
+A class needs one earlier similar class, not all. The classes that share a rare word are a list in order
+of their first occurrence. Each class is first tried against the `FIRST` nearest possible ones before it,
+which settles most lines of a large group of near copies; what this leaves open is tried against all of
+the `NEAREST` before it, which the same sort has found, and, in longer lists, against all further ones by
+a join.
 
 Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; null
 ids come last; rows that share an id are one document, and lines at one place of them are in order of
@@ -26,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattline.llm.common import sent_whole, text_of, written
+from wattline.llm.common import discard, sent_whole, text_of, written
 
 PERCENT = 80
 BUCKETS = 2**14
 LAST = 2**63 - 1  # place of null ids
+FIRST, NEAREST = 2, 64
 ID = ["d", "l", "k"]
 
 
@@ -68,21 +71,28 @@ def tokens(line: Column, scales: bytes) -> Column:
     return F.sort_array(F.transform(F.array_distinct(hashes), number))
 
 
+def short_key(hash_: Column) -> Column:
+    return F.pmod(hash_, F.lit(2**15)).cast("short")
+
+
 def classes_of(docs: DataFrame, scales: bytes, percent: int) -> DataFrame:
-    """Classes of lines with equal sets: d, l (first occurrence), k, n (words), bits, prefix."""
+    """Classes of lines with equal sets: d, l (first occurrence), k, n (words), bits, prefix.
+
+    `k`, 16 bits of the set's hash, tells apart lines at one place of texts that share an id.
+    """
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
     lines = lines_of(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("d", "l", tokens(F.col("line"), scales).alias("t"))
     n = F.size("t")
     lines = lines.select(
         "d", "l", n.alias("n"),
-        F.xxhash64("t").alias("k"), F.xxhash64(F.lit(1), "t").alias("k2"),
+        F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2"),
         F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias("bits"),
         F.slice("t", 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1).alias("prefix"),
     )
     return (
-        lines.groupBy("k", "k2")
+        lines.groupBy("k1", "k2")
         .agg(F.min(F.struct("d", "l")).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        .select("at.d", "at.l", "k", "n", "bits", "prefix")
+        .select("at.d", "at.l", short_key(F.col("k1")).alias("k"), "n", "bits", "prefix")
     )
 
 
@@ -97,15 +107,18 @@ def possible(x, y, percent: int) -> Column:
     )
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, scales: bytes, percent: int) -> DataFrame:
     """The distinct x (d, l, k) of the pairs that are similar; the words are read again from the texts."""
     pairs = written(pairs.distinct(), "pairs")
     sides = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*")
     sides = written(sides, "sides")
     ids = written(sides.select("d").distinct(), "ids")
     lines = lines_of(docs.join(sent_whole(ids, ids.count(), 16), F.coalesce(docs["doc_id"], F.lit(LAST)) == ids["d"], "left_semi"))
-    sets = lines.join(sent_whole(sides, sides.count(), 32), ["d", "l"]).select(
-        F.struct(*ID).alias("id"), F.array_distinct(words(F.col("line"))).alias("w")
+    sets = (
+        lines.join(sent_whole(sides, sides.count(), 32), ["d", "l"])
+        .where(short_key(F.xxhash64(tokens(F.col("line"), scales))) == F.col("k"))
+        .select(F.struct(*ID).alias("id"), F.array_distinct(words(F.col("line"))).alias("w"))
+        .dropDuplicates(["id"])
     )
     sets = written(sets, "sets")
     common = F.size(F.array_intersect("xw", "yw"))
@@ -120,29 +133,46 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """First occurrences (d, l) of the classes that stay."""
-    classes = written(classes_of(docs, rarity(docs), percent), "classes")
+    scales = rarity(docs)
+    classes = written(classes_of(docs, scales, percent), "classes")
     rare = classes.select(*ID, "n", "bits", F.posexplode("prefix").alias("pos", "token"))
-    order = W.partitionBy("token").orderBy(*ID)
     own = F.struct(*ID, "n", "bits", "pos")
-    rare = rare.withColumn("one", F.lag(own, 1).over(order)).withColumn("two", F.lag(own, 2).over(order)).withColumn("more", F.lead("n").over(order))
-    rare = written(rare.where("one is not null or more is not null").drop("more"), "rare")
-
-    def side(prefix):
-        return lambda c: F.col(f"{prefix}{c}")
-
-    id_of = lambda prefix: F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in ID])
-    near = [
-        rare.where(possible(side(""), side(f"{name}."), percent)).select(id_of("").alias("x"), id_of(f"{name}.").alias("y"))
-        for name in ("one", "two")
-    ]
-    settled = written(verified(near[0].unionByName(near[1]), docs, percent), "settled")
-
-    seekers = rare.select(*ID, "n", "bits", "pos", "token").join(sent_whole(settled, settled.count(), 32), ID, "left_anti")
-    seekers = seekers.where(F.col("token").isNotNull()).select("token", *[F.col(c).alias(f"x_{c}") for c in (*ID, "n", "bits", "pos")])
-    earlier = rare.select("token", *[F.col(c).alias(f"y_{c}") for c in (*ID, "n", "bits", "pos")])
-    pairs = seekers.join(earlier, "token").where((id_of("y_") < id_of("x_")) & possible(side("x_"), side("y_"), percent))
-    found = verified(pairs.select(id_of("x_").alias("x"), id_of("y_").alias("y")), docs, percent)
+    order = W.partitionBy("token").orderBy("d", "l", "k")
+    listed = (
+        rare.withColumn("earlier", F.collect_list(own).over(order.rowsBetween(-NEAREST, -1)))
+        .withColumn("place", F.row_number().over(order))
+        .withColumn("members", F.count(F.lit(1)).over(W.partitionBy("token")))
+        .withColumn(
+            "earlier",
+            F.transform(
+                F.filter("earlier", lambda y: possible(F.col, lambda c: y[c], percent)),
+                lambda y: F.struct(*[y[c].alias(c) for c in ID]),
+            ),
+        )
+        .where((F.size("earlier") > 0) | (F.col("members") > NEAREST))
+        .withColumn("token", F.when(F.col("members") > NEAREST, F.col("token")))
+    )
+    listed = written(listed.drop("members"), "listed")
+    x = F.struct(*ID).alias("x")
+
+    nearest = listed.select(x, F.explode(F.slice(F.reverse("earlier"), 1, FIRST)).alias("y"))
+    settled = written(verified(nearest, docs, scales, percent), "settled")
+
+    open_ = listed.join(sent_whole(settled, settled.count(), 32), ID, "left_anti")
+    pairs = open_.where(F.size("earlier") > FIRST).select(x, F.explode("earlier").alias("y"))
+    # beyond the nearest: lists of a frequent word only
+    far = open_.where(F.col("token").isNotNull() & (F.col("place") > NEAREST + 1))
+    sides = [*ID, "n", "bits", "pos", "place"]
+    far = far.select("token", *[F.col(c).alias(f"x_{c}") for c in sides])
+    listed_far = listed.where("token is not null").select("token", *[F.col(c).alias(f"y_{c}") for c in sides])
+    beyond = far.join(listed_far, "token").where(
+        (F.col("y_place") < F.col("x_place") - NEAREST)
+        & possible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent)
+    )
+    id_of = lambda side: F.struct(*[F.col(f"{side}_{c}").alias(c) for c in ID])
+    found = verified(pairs.unionByName(beyond.select(id_of("x").alias("x"), id_of("y").alias("y"))), docs, scales, percent)
     gone = written(settled.unionByName(found), "gone")
+    discard(listed)
     return classes.select(*ID).join(gone, ID, "left_anti").select("d", "l").distinct()
 
 
