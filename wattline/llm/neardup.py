@@ -319,14 +319,12 @@ def near_components(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
 
     needed = members.select("key").distinct().join(classes, "key")
     needed = written(needed, "needed")
-    wanted = sent_whole(needed.withColumnsRenamed({"doc_id": "r_id", "text_hash": "r_hash"}), needed.count(), 96 + 4 * forest.values)
+    wanted = needed.select("key", F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
+    wanted = sent_whole(wanted, needed.count(), 64)
     own = docs.select("doc_id", text_of(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    texts = written(
-        own.join(wanted, own["doc_id"].eqNullSafe(F.col("r_id")) & (own["text_hash"] == F.col("r_hash")))
-        .select("key", "n", "signature", "text")
-        .dropDuplicates(["key"]),
-        "texts",
-    )
+    texts = own.join(wanted, own["doc_id"].eqNullSafe(F.col("r_id")) & (own["text_hash"] == F.col("r_hash")))
+    texts = texts.select("key", "text").dropDuplicates(["key"])
+    texts = written(texts.join(needed.select("key", "n", "signature"), "key"), "texts")
 
     crowded = (F.col("members") > MOST_MEMBERS) | (F.col("weight") > MOST_SHINGLES)
     calm = members.where(~crowded)
