@@ -63,10 +63,9 @@ def test_equals_brute_force(spark, table):
         assert (r.n_lines, r.n_removed) == (counts.get(d, 0), counts.get(d, 0) - len(own))
 
 
-@pytest.mark.parametrize("first, nearest", [(1, 1), (1, 3), (4, 4)])
-def test_long_lists_of_a_word(spark, monkeypatch, first, nearest):
-    monkeypatch.setattr(lines, "FIRST", first)
-    monkeypatch.setattr(lines, "NEAREST", nearest)
+@pytest.mark.parametrize("long", [0, 3, 20])
+def test_long_lists_of_a_word(spark, monkeypatch, long):
+    monkeypatch.setattr(lines, "LONG", long)
     table = similar_lines(60)
     found = lines.kept_lines(documents(spark, table)).collect()
     assert {r.d: r.kept for r in found} == brute_force(table)

@@ -11,11 +11,11 @@ pairs must fit in length, in the places of the shared word (positional filter) a
 64-bit parity of the words: each word that only one set has flips one bit. What is left is verified on
 the words.
 
-A class needs one earlier similar class, not all. The classes that share a rare word are a list in order
-of their first occurrence. Each class is first tried against the `FIRST` nearest possible ones before it,
-which settles most lines of a large group of near copies; what this leaves open is tried against all of
-the `NEAREST` before it, which the same sort has found, and, in longer lists, against all further ones by
-a join.
+A class needs one earlier similar class, not all. Classes that share a rare word are found by a join on
+the word; where a word is among the rarest of more than `LONG` classes, as in a large group of near
+copies, first only the two before each class are taken. Of these candidates the one that shares most rare
+words is verified first, which settles most lines; only classes that this leaves open are compared with
+all their candidates, and with all earlier classes of their frequent words.
 
 Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; null
 ids come last; rows that share an id are one document, and lines at one place of them are in order of
@@ -33,7 +33,7 @@ from wattline.llm.common import discard, sent_whole, text_of, written
 PERCENT = 80
 BUCKETS = 2**14
 LAST = 2**63 - 1  # place of null ids
-FIRST, NEAREST = 2, 64
+LONG = 64
 ID = ["d", "l", "k"]
 
 
@@ -136,43 +136,38 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     scales = rarity(docs)
     classes = written(classes_of(docs, scales, percent), "classes")
     rare = classes.select(*ID, "n", "bits", F.posexplode("prefix").alias("pos", "token"))
+    frequent = written(rare.groupBy("token").count().where(F.col("count") > LONG).select("token"), "frequent")
+    few = sent_whole(frequent, frequent.count(), 16)
+
+    def side(df, name):
+        return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in (*ID, "n", "bits", "pos")])
+
+    def pairs(seekers, targets):
+        fits = possible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent)
+        id_x, id_y = (F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ID]) for name in "xy")
+        return side(seekers, "x").join(side(targets, "y"), "token").where((id_y < id_x) & fits).select(id_x.alias("x"), id_y.alias("y"))
+
+    short = rare.join(few, "token", "left_anti")
+    long = written(rare.join(few, "token", "left_semi"), "long")
+    order = W.partitionBy("token").orderBy(*ID)
     own = F.struct(*ID, "n", "bits", "pos")
-    order = W.partitionBy("token").orderBy("d", "l", "k")
-    listed = (
-        rare.withColumn("earlier", F.collect_list(own).over(order.rowsBetween(-NEAREST, -1)))
-        .withColumn("place", F.row_number().over(order))
-        .withColumn("members", F.count(F.lit(1)).over(W.partitionBy("token")))
-        .withColumn(
-            "earlier",
-            F.transform(
-                F.filter("earlier", lambda y: possible(F.col, lambda c: y[c], percent)),
-                lambda y: F.struct(*[y[c].alias(c) for c in ID]),
-            ),
-        )
-        .where((F.size("earlier") > 0) | (F.col("members") > NEAREST))
-        .withColumn("token", F.when(F.col("members") > NEAREST, F.col("token")))
-    )
-    listed = written(listed.drop("members"), "listed")
-    x = F.struct(*ID).alias("x")
-
-    nearest = listed.select(x, F.explode(F.slice(F.reverse("earlier"), 1, FIRST)).alias("y"))
-    settled = written(verified(nearest, docs, scales, percent), "settled")
-
-    open_ = listed.join(sent_whole(settled, settled.count(), 32), ID, "left_anti")
-    pairs = open_.where(F.size("earlier") > FIRST).select(x, F.explode("earlier").alias("y"))
-    # beyond the nearest: lists of a frequent word only
-    far = open_.where(F.col("token").isNotNull() & (F.col("place") > NEAREST + 1))
-    sides = [*ID, "n", "bits", "pos", "place"]
-    far = far.select("token", *[F.col(c).alias(f"x_{c}") for c in sides])
-    listed_far = listed.where("token is not null").select("token", *[F.col(c).alias(f"y_{c}") for c in sides])
-    beyond = far.join(listed_far, "token").where(
-        (F.col("y_place") < F.col("x_place") - NEAREST)
-        & possible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent)
-    )
-    id_of = lambda side: F.struct(*[F.col(f"{side}_{c}").alias(c) for c in ID])
-    found = verified(pairs.unionByName(beyond.select(id_of("x").alias("x"), id_of("y").alias("y"))), docs, scales, percent)
-    gone = written(settled.unionByName(found), "gone")
-    discard(listed)
+    near = [
+        long.withColumn("y", F.lag(own, k).over(order))
+        .where(possible(F.col, lambda c: F.col(f"y.{c}"), percent))
+        .select(F.struct(*ID).alias("x"), F.struct(*[F.col(f"y.{c}").alias(c) for c in ID]).alias("y"))
+        for k in (1, 2)
+    ]
+    shared = pairs(short, short).unionByName(near[0]).unionByName(near[1]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
+    shared = written(shared, "shared")
+    likeliest = shared.groupBy("x").agg(F.max(F.struct("words", "y")).alias("m")).select("x", F.col("m.y").alias("y"))
+    settled = written(verified(likeliest, docs, scales, percent), "settled")
+
+    done = sent_whole(settled, settled.count(), 32)
+    rest = shared.select("x", "y").join(done.select(F.struct(*ID).alias("x")), "x", "left_anti")
+    rest = rest.unionByName(pairs(long.join(done, ID, "left_anti"), long))
+    gone = written(settled.unionByName(verified(rest, docs, scales, percent)), "gone")
+    for table in (frequent, long, shared):
+        discard(table)
     return classes.select(*ID).join(gone, ID, "left_anti").select("d", "l").distinct()
 
 
