@@ -5,7 +5,7 @@ then place in the text) has a Jaccard similarity of `percent` or more with it. L
 one class with its first occurrence; all later lines of a class go, and the first goes if a similar class
 began earlier.
 
-The join: words are ordered by rarity (counts over all lines in 2 ** 14 buckets of word hashes; any order
+The join: words are ordered by rarity (counts over all lines in 2 ** 16 buckets of word hashes; any order
 is exact, a rare first one is fast). Similar sets share a word among their rarest ones (prefix filter);
 pairs must fit in length, in the places of the shared word (positional filter) and in the bits of a
 64-bit parity of the words: each word that only one set has flips one bit. What is left is verified on
@@ -24,6 +24,8 @@ their sets' hash; an empty table gives an empty result; input columns are kept b
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from wattline.llm.common import discard, sent_whole, text_of, written
 
 PERCENT = 80
-BUCKETS = 2**14
+BUCKETS = 2**16
 LAST = 2**63 - 1  # place of null ids
 LONG = 64
 ID = ["d", "l", "k"]
@@ -48,13 +50,18 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> bytes:
-    """For each bucket of word hashes a class of its count over all texts, 0 to 127: a fixed 16 KB."""
+    """For each bucket of word hashes a class of its count over all texts, a fixed 64 KB.
+
+    Classes 0 to 127 divide the logarithm between the least and the greatest count of a bucket.
+    """
     all_words = docs.select(F.explode(words(F.translate(text_of(docs), "\n", " "))).alias("w"))
     counts = all_words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).count()
-    scale = F.least(F.lit(127), F.floor(4 * F.log2(F.col("count") + 1))).cast("int").alias("scale")
+    found = counts.collect()  # BUCKETS rows at most
     out = bytearray(BUCKETS)
-    for r in counts.select("bucket", scale).collect():  # BUCKETS rows at most
-        out[r.bucket] = r.scale
+    if found:
+        least, most = (math.log(f(r["count"] for r in found)) for f in (min, max))
+        for r in found:
+            out[r["bucket"]] = int(127 * (math.log(r["count"]) - least) / max(most - least, 1e-9))
     return bytes(out)
 
 
