@@ -9,6 +9,9 @@ score between a labelled sentence and the same sentence with an identity term sw
 Identity terms have a feature of their own and no prefix features, so a neutral mention of a group
 scores as the mention of any other does.
 
+A quarter of the sample is not trained on: a logistic curve through its documents' scores, both labels
+with equal weight, puts 0.5 between the two.
+
 What is fitted comes from at most `rows_per_label` labelled documents of either label (a parameter)
 with at most `max_features` features, so what is sent to the driver and the tasks is bounded. Every
 document is then scored over its whole text.
@@ -76,6 +79,7 @@ def sentences(text: str) -> list[set[str]]:
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -30.0
+    scale: float = 1.0
     identity: dict[str, str] = field(default_factory=dict)
 
 
@@ -147,6 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
           groups: tuple[str, ...] = IDENTITY_TERMS, swap_penalty: float = SWAP_PENALTY) -> Model:
     identity = swaps(groups)
     sample = labelled_sample(docs, labels, "toxic", rows_per_label).persist()
+    apart = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(4)) == 0
+    whole, sample = sample, sample.where(~apart)
     try:
         counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
         total, toxic = sum(counts.values()), counts.get(1, 0)
@@ -182,9 +188,29 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
         pairs = [([index[f] for f in r.own], [index[f] for f in r.swapped]) for r in found if r.swapped]
         rows += [([], 0)] * max(1, len(rows) // 4)
         weights, bias = fit([r[0] for r in rows], np.array([r[1] for r in rows], float), pairs, len(names), swap_penalty)
-        return Model(dict(zip(names, weights.tolist())), bias, identity)
+        model = Model(dict(zip(names, weights.tolist())), bias, identity=identity)
+        seen = with_score(whole.where(apart), model, "p").select("label", "p").collect()
+        known = np.array([r.label for r in seen], float)
+        if 0 < known.sum() < len(known):
+            p = np.clip([r.p for r in seen], 1e-12, 1 - 1e-12)
+            slope, offset = curve(np.log(p / (1 - p)), known)
+            model.scale, model.bias = slope, slope * bias + offset
+        return model
     finally:
-        sample.unpersist()
+        whole.unpersist()
+
+
+def curve(x: np.ndarray, labels: np.ndarray, steps: int = 50, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through scores, both labels with equal weight (Newton)."""
+    weight = np.where(labels > 0, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
+    design, beta = np.stack([x, np.ones(len(x))], axis=1), np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = logistic(design @ beta)
+        grad = design.T @ (weight * (p - labels)) + ridge * beta * np.array([1.0, 0.0])
+        curvature = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge * np.array([[1.0, 0.0], [0.0, 1e-3]])
+        step = np.linalg.solve(curvature, grad)
+        beta = beta - step / max(1.0, float(np.abs(step).max()))
+    return max(float(beta[0]), 1e-3), float(beta[1])
 
 
 def score_text(text: str, weigh) -> float:
@@ -214,7 +240,7 @@ def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFram
             return found
 
         for texts in batches:
-            yield pd.Series([float(logistic(score_text(t or "", weigh) + model.bias)) for t in texts], dtype=float)
+            yield pd.Series([float(logistic(model.scale * score_text(t or "", weigh) + model.bias)) for t in texts], dtype=float)
 
     return docs.withColumn(column, run.asNondeterministic()(docs["text"]))
 
