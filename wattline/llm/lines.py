@@ -13,9 +13,9 @@ the words.
 
 A class needs one earlier similar class, not all. Classes that share a rare word are found by a join on
 the word; where a word is among the rarest of more than `LONG` classes, as in a large group of near
-copies, first only the two before each class are taken. Of these candidates the one that shares most rare
-words is verified first, which settles most lines; only classes that this leaves open are compared with
-all their candidates, and with all earlier classes of their frequent words.
+copies, first only the two before each class are taken. Candidates that share most rare words are
+verified first, which settles most lines; only classes that this leaves open are compared with further
+candidates, then all of them, and last with all earlier classes of their frequent words.
 
 Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; null
 ids come last; rows that share an id are one document, and lines at one place of them are in order of
@@ -36,6 +36,7 @@ PERCENT = 80
 BUCKETS = 2**16
 LAST = 2**63 - 1  # place of null ids
 LONG = 64
+ROUNDS = ((1, 1), (2, 8), (9, 2**31 - 1))  # candidates of a class by number of shared rare words
 ID = ["d", "l", "k"]
 
 
@@ -114,9 +115,8 @@ def possible(x, y, percent: int) -> Column:
     )
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scales: bytes, percent: int) -> DataFrame:
-    """The distinct x (d, l, k) of the pairs that are similar; the words are read again from the texts."""
-    pairs = written(pairs.distinct(), "pairs")
+def word_sets(pairs: DataFrame, docs: DataFrame, scales: bytes) -> DataFrame:
+    """(id, w) of every line that is a side of the pairs; the words are read again from the texts."""
     sides = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*")
     sides = written(sides, "sides")
     ids = written(sides.select("d").distinct(), "ids")
@@ -127,7 +127,11 @@ def verified(pairs: DataFrame, docs: DataFrame, scales: bytes, percent: int) ->
         .select(F.struct(*ID).alias("id"), F.array_distinct(words(F.col("line"))).alias("w"))
         .dropDuplicates(["id"])
     )
-    sets = written(sets, "sets")
+    return written(sets, "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The distinct x (d, l, k) of the pairs that are similar."""
     common = F.size(F.array_intersect("xw", "yw"))
     return (
         pairs.join(sets.select(F.col("id").alias("x"), F.col("w").alias("xw")), "x")
@@ -138,6 +142,11 @@ def verified(pairs: DataFrame, docs: DataFrame, scales: bytes, percent: int) ->
     )
 
 
+def none_yet(ranked: DataFrame) -> DataFrame:
+    """An empty table of classes."""
+    return ranked.select("x.*").limit(0)
+
+
 def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """First occurrences (d, l) of the classes that stay."""
     scales = rarity(docs)
@@ -166,14 +175,20 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ]
     shared = pairs(short, short).unionByName(near[0]).unionByName(near[1]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
     shared = written(shared, "shared")
-    likeliest = shared.groupBy("x").agg(F.max(F.struct("words", "y")).alias("m")).select("x", F.col("m.y").alias("y"))
-    settled = written(verified(likeliest, docs, scales, percent), "settled")
-
-    done = sent_whole(settled, settled.count(), 32)
-    rest = shared.select("x", "y").join(done.select(F.struct(*ID).alias("x")), "x", "left_anti")
-    rest = rest.unionByName(pairs(long.join(done, ID, "left_anti"), long))
-    gone = written(settled.unionByName(verified(rest, docs, scales, percent)), "gone")
-    for table in (frequent, long, shared):
+    sets = word_sets(shared, docs, scales)
+
+    likely = F.row_number().over(W.partitionBy("x").orderBy(F.col("words").desc(), "y"))  # over some hundreds at most
+    ranked = written(shared.select("x", "y", likely.alias("rank")), "ranked")
+    gone = none_yet(ranked)
+    for low, high in ROUNDS:
+        done = sent_whole(gone, gone.count(), 32).select(F.struct(*ID).alias("x"))
+        tried = ranked.where(F.col("rank").between(low, high)).select("x", "y").join(done, "x", "left_anti")
+        gone = written(gone.unionByName(verified(tried, sets, percent)), "gone")
+
+    done = sent_whole(gone, gone.count(), 32)
+    far = written(pairs(long.join(done, ID, "left_anti"), long).distinct(), "far")
+    gone = written(gone.unionByName(verified(far, word_sets(far, docs, scales), percent)), "gone")
+    for table in (frequent, long, shared, ranked, sets, far):
         discard(table)
     return classes.select(*ID).join(gone, ID, "left_anti").select("d", "l").distinct()
 
