@@ -13,7 +13,7 @@ A quarter of the sample is not trained on: a logistic curve through its document
 with equal weight, puts 0.5 between the two.
 
 What is fitted comes from at most `rows_per_label` labelled documents of either label (a parameter)
-with at most `max_features` features, so what is sent to the driver and the tasks is bounded. Every
+with at most `max_features` features and `SENTENCES_PER_ROW` distinct sentences for each row allowed, so what is sent to the driver and the tasks is bounded. Every
 document is then scored over its whole text.
 
 Defined cases: null and empty texts have no sentences and get the score of a sentence without
@@ -36,6 +36,7 @@ from wattline.llm.common import held_out, labelled_sample
 
 ROWS_PER_LABEL = 4000
 MAX_FEATURES = 20_000
+SENTENCES_PER_ROW = 20
 LEAST_Z = 5.0  # standard deviations above chance
 LEAST_ROWS = 3
 SWAP_PENALTY = 10.0
@@ -180,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
             .select("label", "s.own", "s.swapped")
             .distinct()
             .orderBy(F.xxhash64("label", "own"), "label", "own")
-            .limit(20 * rows_per_label)
+            .limit(SENTENCES_PER_ROW * rows_per_label)
             .collect()
         )
         # a sentence of a toxic document that has no kept feature tells nothing about toxicity
