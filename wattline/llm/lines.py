@@ -9,7 +9,7 @@ The join: words are ordered by rarity (counts over all lines in 2 ** 16 buckets
 is exact, a rare first one is fast). Similar sets share a word among their rarest ones (prefix filter);
 pairs must fit in length, in the places of the shared word (positional filter) and in the bits of a
 64-bit parity of the words: each word that only one set has flips one bit. What is left is verified on
-the words.
+the whole sets, words being told apart by 56 bits of their hash and their count's class.
 
 A class needs one earlier similar class, not all. Classes that share a rare word are found by a join on
 the word; where a word is among the rarest of more than `LONG` classes, as in a large group of near
@@ -116,15 +116,16 @@ def possible(x, y, percent: int) -> Column:
 
 
 def word_sets(pairs: DataFrame, docs: DataFrame, scales: bytes) -> DataFrame:
-    """(id, w) of every line that is a side of the pairs; the words are read again from the texts."""
+    """(id, w) of every line that is a side of the pairs: its whole set, read again from the texts."""
     sides = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*")
     sides = written(sides, "sides")
     ids = written(sides.select("d").distinct(), "ids")
     lines = lines_of(docs.join(sent_whole(ids, ids.count(), 16), F.coalesce(docs["doc_id"], F.lit(LAST)) == ids["d"], "left_semi"))
     sets = (
         lines.join(sent_whole(sides, sides.count(), 32), ["d", "l"])
-        .where(short_key(F.xxhash64(tokens(F.col("line"), scales))) == F.col("k"))
-        .select(F.struct(*ID).alias("id"), F.array_distinct(words(F.col("line"))).alias("w"))
+        .select(*ID, tokens(F.col("line"), scales).alias("w"))
+        .where(short_key(F.xxhash64("w")) == F.col("k"))
+        .select(F.struct(*ID).alias("id"), "w")
         .dropDuplicates(["id"])
     )
     return written(sets, "sets")
