@@ -176,22 +176,27 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ]
     shared = pairs(short, short).unionByName(near[0]).unionByName(near[1]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
     shared = written(shared, "shared")
+    places = written(classes.select(*ID), "places")
     sets = word_sets(shared, docs, scales)
 
     likely = F.row_number().over(W.partitionBy("x").orderBy(F.col("words").desc(), "y"))  # over some hundreds at most
     ranked = written(shared.select("x", "y", likely.alias("rank")), "ranked")
+    discard(classes)
+    discard(shared)
     gone = none_yet(ranked)
     for low, high in ROUNDS:
         done = sent_whole(gone, gone.count(), 32).select(F.struct(*ID).alias("x"))
         tried = ranked.where(F.col("rank").between(low, high)).select("x", "y").join(done, "x", "left_anti")
         gone = written(gone.unionByName(verified(tried, sets, percent)), "gone")
 
+    discard(ranked)
+    discard(sets)
     done = sent_whole(gone, gone.count(), 32)
     far = written(pairs(long.join(done, ID, "left_anti"), long).distinct(), "far")
     gone = written(gone.unionByName(verified(far, word_sets(far, docs, scales), percent)), "gone")
-    for table in (frequent, long, shared, ranked, sets, far):
+    for table in (frequent, long, far):
         discard(table)
-    return classes.select(*ID).join(gone, ID, "left_anti").select("d", "l").distinct()
+    return places.join(gone, ID, "left_anti").select("d", "l").distinct()
 
 
 def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
