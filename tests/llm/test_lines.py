@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from fixtures import documents, empty, plan_of, rows
+from fixtures import documents, empty, plain, plan_of, rows
 
 from wattline.llm import lines
 
@@ -84,6 +84,49 @@ def test_repeated_rows(spark):
     assert len(found) == len(rows())
 
 
+def brute_force_rows(table, percent=80):
+    """(id, text, kept places) of every row: rows in order of id, null last, and of their texts' md5."""
+    order = sorted(table, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
+    earlier, out = [], []
+    for doc, text, *_ in order:
+        kept = []
+        for l, line in enumerate((text or "").split("\n")):
+            if own := frozenset(re.findall(r"[^\x20\x09-\x0D]+", line)):
+                if not any(100 * len(own & s) >= percent * len(own | s) for s in earlier):
+                    kept.append(l)
+                earlier.append(own)
+        out.append((doc, text, kept))
+    return out
+
+
+def shared_ids():
+    """A third of the rows without an id, a third under one id, some of them wholly equal."""
+    ids = [None, 7]
+    table = [(ids[k] if (k := r[0] % 3) < 2 else r[0], *r[1:]) for r in similar_lines(60)]
+    return table + table[:9] + [(lines.LAST, *table[0][1:]), (lines.LAST, "the last id", "", "", 0)]
+
+
+@pytest.mark.parametrize(
+    "table",
+    [rows(), shared_ids(), [(None, "x\ny", "", "", 0), (None, "z\nx", "", "", 0), (None, "\n".join(f"own{i}" for i in range(10)), "", "", 0)]],
+)
+def test_rows_that_share_an_id_or_have_none(spark, table):
+    wanted = []
+    for doc, text, kept in brute_force_rows(table):
+        n = sum(1 for line in (text or "").split("\n") if line.strip("\t\n\x0b\x0c\r "))
+        wanted.append((doc, n, n - len(kept), hashlib.sha256(",".join(map(str, kept)).encode()).hexdigest()))
+    assert plain(lines.report(documents(spark, table))) == sorted(wanted, key=repr)
+
+
+def test_texts_of_rows_that_share_an_id(spark):
+    table = shared_ids()
+    wanted = []
+    for doc, text, kept in brute_force_rows(table):
+        own = text.split("\n")
+        wanted.append((doc, "\n".join(x for l, x in enumerate(own) if l in kept or not x.strip("\t\n\x0b\x0c\r "))))
+    assert plain(lines.without_similar_lines(documents(spark, table)).select("doc_id", "text")) == sorted(wanted, key=repr)
+
+
 def test_plan_and_empty(spark):
     plan = plan_of(lines.report(documents(spark)))
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))

@@ -1,7 +1,7 @@
 r"""Line dedup: an exact set-similarity join of lines, in DataFrame operations only.
 
-A line's set is its distinct words (split at ASCII blanks). A line is removed if an earlier line (by doc_id,
-then place in the text) has a Jaccard similarity of `percent` or more with it. Lines with equal sets are
+A line's set is its distinct words (split at ASCII blanks). A line is removed if an earlier line (by row, then
+place in the text) has a Jaccard similarity of `percent` or more with it. Lines with equal sets are
 one class with its first occurrence; all later lines of a class go, and the first goes if a similar class
 began earlier.
 
@@ -17,9 +17,10 @@ copies, first only the two before each class are taken. Candidates that share mo
 verified first, which settles most lines; only classes that this leaves open are compared with further
 candidates, then all of them, and last with all earlier classes of their frequent words.
 
-Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; null
-ids come last; rows that share an id are one document, and lines at one place of them are in order of
-their sets' hash; an empty table gives an empty result; input columns are kept by `without_similar_lines`.
+Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; rows
+are in order of their id, null last; rows that share an id or have none are documents of their own, in order
+of their texts' md5; of rows equal in id and text one comes first, the others lose all lines with words; an
+empty table gives an empty result; input columns are kept by `without_similar_lines`.
 """
 
 from __future__ import annotations
@@ -37,17 +38,31 @@ BUCKETS = 2**16
 LAST = 2**63 - 1  # place of null ids
 LONG = 64
 ROUNDS = ((1, 1), (2, 8), (9, 2**31 - 1))  # candidates of a class by number of shared rare words
-ID = ["d", "l", "k"]
+KEY = ["__d", "__h"]
+ID = ["d", "h", "l"]
 
 
 def words(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """d (id, null last), l (place from 0), line."""
-    own = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), text_of(docs).alias("text"))
-    return own.select("d", F.posexplode(F.split("text", "\n")).alias("l", "line"))
+def keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with a row's key: __d (id, null last) and __h, which tells apart rows of one __d by their text.
+
+    __h is a byte that puts null ids after others, then the text's md5; in a table where no two rows
+    share an id it is empty. Both follow from the row alone, so they are the same at every reading.
+    """
+    own = docs.withColumn("__d", F.coalesce("doc_id", F.lit(LAST)))
+    shared = not own.groupBy("__d").count().where("count > 1").isEmpty()
+    null_last = F.when(F.col("doc_id").isNull(), F.lit("01")).otherwise(F.lit("00"))
+    digest = F.unhex(F.concat(null_last, F.md5(text_of(docs).cast("binary"))))
+    return own.withColumn("__h", digest if shared else F.lit("").cast("binary"))
+
+
+def lines_of(own: DataFrame) -> DataFrame:
+    """d, h (key of the row), l (place from 0), line."""
+    own = own.select(F.col("__d").alias("d"), F.col("__h").alias("h"), text_of(own).alias("text"))
+    return own.select("d", "h", F.posexplode(F.split("text", "\n")).alias("l", "line"))
 
 
 def rarity(docs: DataFrame) -> bytes:
@@ -79,28 +94,21 @@ def tokens(line: Column, scales: bytes) -> Column:
     return F.sort_array(F.transform(F.array_distinct(hashes), number))
 
 
-def short_key(hash_: Column) -> Column:
-    return F.pmod(hash_, F.lit(2**15)).cast("short")
-
-
-def classes_of(docs: DataFrame, scales: bytes, percent: int) -> DataFrame:
-    """Classes of lines with equal sets: d, l (first occurrence), k, n (words), bits, prefix.
-
-    `k`, 16 bits of the set's hash, tells apart lines at one place of texts that share an id.
-    """
+def classes_of(own: DataFrame, scales: bytes, percent: int) -> DataFrame:
+    """Classes of lines with equal sets: d, h, l (first occurrence), n (words), bits, prefix."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    lines = lines_of(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("d", "l", tokens(F.col("line"), scales).alias("t"))
+    lines = lines_of(own).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(*ID, tokens(F.col("line"), scales).alias("t"))
     n = F.size("t")
     lines = lines.select(
-        "d", "l", n.alias("n"),
+        *ID, n.alias("n"),
         F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2"),
         F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias("bits"),
         F.slice("t", 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1).alias("prefix"),
     )
     return (
         lines.groupBy("k1", "k2")
-        .agg(F.min(F.struct("d", "l")).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        .select("at.d", "at.l", short_key(F.col("k1")).alias("k"), "n", "bits", "prefix")
+        .agg(F.min(F.struct(*ID)).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+        .select("at.*", "n", "bits", "prefix")
     )
 
 
@@ -115,24 +123,22 @@ def possible(x, y, percent: int) -> Column:
     )
 
 
-def word_sets(pairs: DataFrame, docs: DataFrame, scales: bytes) -> DataFrame:
+def word_sets(pairs: DataFrame, own: DataFrame, scales: bytes) -> DataFrame:
     """(id, w) of every line that is a side of the pairs: its whole set, read again from the texts."""
     sides = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*")
     sides = written(sides, "sides")
-    ids = written(sides.select("d").distinct(), "ids")
-    lines = lines_of(docs.join(sent_whole(ids, ids.count(), 16), F.coalesce(docs["doc_id"], F.lit(LAST)) == ids["d"], "left_semi"))
+    rows = written(sides.select(F.col("d").alias("__d"), F.col("h").alias("__h")).distinct(), "rows")
+    lines = lines_of(own.join(sent_whole(rows, rows.count(), 32), KEY, "left_semi"))
     sets = (
-        lines.join(sent_whole(sides, sides.count(), 32), ["d", "l"])
-        .select(*ID, tokens(F.col("line"), scales).alias("w"))
-        .where(short_key(F.xxhash64("w")) == F.col("k"))
-        .select(F.struct(*ID).alias("id"), "w")
+        lines.join(sent_whole(sides, sides.count(), 32), ID)
+        .select(F.struct(*ID).alias("id"), tokens(F.col("line"), scales).alias("w"))
         .dropDuplicates(["id"])
     )
     return written(sets, "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The distinct x (d, l, k) of the pairs that are similar."""
+    """The distinct x (d, h, l) of the pairs that are similar."""
     common = F.size(F.array_intersect("xw", "yw"))
     return (
         pairs.join(sets.select(F.col("id").alias("x"), F.col("w").alias("xw")), "x")
@@ -148,10 +154,10 @@ def none_yet(ranked: DataFrame) -> DataFrame:
     return ranked.select("x.*").limit(0)
 
 
-def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """First occurrences (d, l) of the classes that stay."""
-    scales = rarity(docs)
-    classes = written(classes_of(docs, scales, percent), "classes")
+def kept_classes(own: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """First occurrences (d, h, l) of the classes that stay, of a table with keys."""
+    scales = rarity(own)
+    classes = written(classes_of(own, scales, percent), "classes")
     rare = classes.select(*ID, "n", "bits", F.posexplode("prefix").alias("pos", "token"))
     frequent = written(rare.groupBy("token").count().where(F.col("count") > LONG).select("token"), "frequent")
     few = sent_whole(frequent, frequent.count(), 16)
@@ -167,9 +173,9 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     short = rare.join(few, "token", "left_anti")
     long = written(rare.join(few, "token", "left_semi"), "long")
     order = W.partitionBy("token").orderBy(*ID)
-    own = F.struct(*ID, "n", "bits", "pos")
+    member = F.struct(*ID, "n", "bits", "pos")
     near = [
-        long.withColumn("y", F.lag(own, k).over(order))
+        long.withColumn("y", F.lag(member, k).over(order))
         .where(possible(F.col, lambda c: F.col(f"y.{c}"), percent))
         .select(F.struct(*ID).alias("x"), F.struct(*[F.col(f"y.{c}").alias(c) for c in ID]).alias("y"))
         for k in (1, 2)
@@ -177,7 +183,7 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = pairs(short, short).unionByName(near[0]).unionByName(near[1]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
     shared = written(shared, "shared")
     places = written(classes.select(*ID), "places")
-    sets = word_sets(shared, docs, scales)
+    sets = word_sets(shared, own, scales)
 
     likely = F.row_number().over(W.partitionBy("x").orderBy(F.col("words").desc(), "y"))  # over some hundreds at most
     ranked = written(shared.select("x", "y", likely.alias("rank")), "ranked")
@@ -193,40 +199,59 @@ def kept_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     discard(sets)
     done = sent_whole(gone, gone.count(), 32)
     far = written(pairs(long.join(done, ID, "left_anti"), long).distinct(), "far")
-    gone = written(gone.unionByName(verified(far, word_sets(far, docs, scales), percent)), "gone")
+    gone = written(gone.unionByName(verified(far, word_sets(far, own, scales), percent)), "gone")
     for table in (frequent, long, far):
         discard(table)
-    return places.join(gone, ID, "left_anti").select("d", "l").distinct()
+    return places.join(gone, ID, "left_anti")
+
+
+def kept_of(own: DataFrame, percent: int = PERCENT) -> DataFrame:
+    return kept_classes(own, percent).groupBy("d", "h").agg(F.sort_array(F.collect_list("l")).alias("kept"))
 
 
 def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """d, kept: ascending places of the lines with words that stay."""
-    return kept_classes(docs, percent).groupBy("d").agg(F.sort_array(F.collect_list("l")).alias("kept"))
+    """d, h (key of the row), kept: ascending places of the lines with words that stay."""
+    return kept_of(keyed(docs), percent)
+
+
+def with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows with keys and their `__kept`, empty where nothing stays; the keys go.
+
+    Of rows that are equal in key one gets the places. Only such rows are written, with a number
+    that is then fixed.
+    """
+    again = written(rows.groupBy(*KEY).count().where("count > 1").select(*KEY), "again")
+    n_again = again.count()
+    none = F.array().cast("array<int>")
+    later = None
+    if n_again:
+        few = sent_whole(again, n_again, 32)
+        repeats = written(rows.join(few, KEY, "left_semi").withColumn("__u", F.monotonically_increasing_id()), "repeats")
+        firsts = repeats.groupBy(*KEY).agg(F.min("__u").alias("__u"))
+        later = repeats.join(firsts, [*KEY, "__u"], "left_anti").drop("__u").withColumn("__kept", none)
+        rows = rows.join(few, KEY, "left_anti").unionByName(repeats.join(firsts, [*KEY, "__u"], "left_semi").drop("__u"))
+    kept = kept.withColumnsRenamed({"d": "__d", "h": "__h", "kept": "__kept"})
+    found = rows.join(kept, KEY, "left").withColumn("__kept", F.coalesce("__kept", none))
+    return (found.unionByName(later) if later is not None else found).drop(*KEY)
 
 
 def without_similar_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs` with the removed lines taken out of the texts; null texts stay null."""
-    kept = kept_lines(docs, percent).withColumnsRenamed({"d": "__d", "kept": "__kept"})
+    own = keyed(docs)
     stays = F.filter(
         F.split("text", "\n"),
-        lambda line, n: ~line.rlike(r"[^\x20\x09-\x0D]") | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), n),
+        lambda line, n: ~line.rlike(r"[^\x20\x09-\x0D]") | F.array_contains("__kept", n),
     )
-    joined = docs.join(kept, F.coalesce(docs["doc_id"], F.lit(LAST)) == F.col("__d"), "left")
-    return joined.withColumn("text", F.array_join(stays, "\n")).select(*docs.columns)
+    return with_kept(own, kept_of(own, percent)).withColumn("text", F.array_join(stays, "\n")).select(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines (with words), n_removed, kept_sha256 (places that stay, comma-joined)."""
-    n = F.size(F.filter(F.split(text_of(docs), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
-    kept = kept_lines(docs)
-    places = F.coalesce("kept", F.array().cast("array<int>"))
-    return (
-        docs.select("doc_id", n.alias("n_lines"))
-        .join(kept, F.coalesce("doc_id", F.lit(LAST)) == F.col("d"), "left")
-        .select(
-            "doc_id", "n_lines", (F.col("n_lines") - F.size(places)).cast("long").alias("n_removed"),
-            F.sha2(F.array_join(places.cast("array<string>"), ",").cast("binary"), 256).alias("kept_sha256"),
-        )
+    own = keyed(docs)
+    n = F.size(F.filter(F.split(text_of(own), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
+    return with_kept(own.select("doc_id", n.alias("n_lines"), *KEY), kept_of(own)).select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.size("__kept")).cast("long").alias("n_removed"),
+        F.sha2(F.array_join(F.col("__kept").cast("array<string>"), ",").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
