@@ -1,11 +1,14 @@
-"""Near duplicates by MinHash and an LSH forest.
+"""Near duplicates by MinHash and fixed bands of the signature.
 
 A document's set is its distinct shingles of consecutive words (lower-cased A-Z, split at ASCII blanks).
 Documents with equal sets are one class. Each class has a MinHash signature, and each tree of the
-forest sorts the classes by its own stretch of the signature. Classes that share a tree's first `DEPTH`
-values form a region; the pairs of a region are candidates, unless an earlier tree has them too. A region
-with too many members is first taken apart by longer common prefixes (up to `REACH` values), and what
-these have not joined is then compared in blocks, so every pair of a region is covered at any size.
+forest has its own stretch of `REACH` values of it. Classes that share a tree's first `DEPTH` values form a
+region: a band of fixed width, found by grouping. Nothing is sorted, no neighbours are taken by longest
+common prefix, and no region has a depth of its own. All pairs of a region are candidates, unless an
+earlier tree has them too. Depth only orders the comparisons: a region with too many members is first
+taken apart by longer common prefixes (up to `REACH` values), and what these have not joined is then
+compared in blocks, so every pair of a region is covered at any size. The price is work that grows with
+the square of a large region's members that hang together with none.
 
 Candidates whose lengths and signatures leave a link possible are confirmed on the full sets, best
 estimates first, and only where they would join two components: a task returns the components of its
