@@ -51,6 +51,20 @@ def test_repeats_of_one_id_are_split_too(spark):
     assert max(total.values()) <= 1000 and all(r.shard_bytes == total[r.shard] for r in found)
 
 
+@pytest.mark.parametrize("doc", [7, None])
+def test_repeats_of_more_than_half_the_limit_are_alone(spark, doc):
+    own = [(doc, "x" * 60, "en", "a", 0)] * 1500 + [(doc, "x" * 300, "en", "a", 0), (1, "y", "en", "a", 0)]
+    found = sharding.with_shards(documents(spark, own), 100).collect()
+    total = defaultdict(list)
+    for r in found:
+        total[r.shard].append(r.n_bytes)
+        assert r.depth == len(r.shard)
+    assert len(found) == len(own) and len(total) == len(own)
+    assert all((r.shard_bytes, r.shard_rows) == (r.n_bytes, 1) for r in found)
+    names = sorted(total)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:]))
+
+
 def test_files(spark, tmp_path):
     table = rows()
     sharding.write_shards(documents(spark, table, extra=False), str(tmp_path / "out"), 5000)

@@ -7,8 +7,9 @@ limit is a shard alone.
 How it is found: bytes per hash prefix of some bits more than the shards need (one aggregation, a
 few dozen prefixes for each shard), summed up for all shorter prefixes; a document's shard is its
 shortest prefix that fits. Prefixes that are still too large get further bits in a further round, for
-their documents only. Rows whose hashes agree in all bits (repeats of one id) are dealt on by bits
-that each row is given once, when the table of keys is written.
+their documents only. Rows whose hashes agree in all bits (repeats of one id) are dealt on by 64 bits
+that each row is given once, when the rows are written, in as many rounds as it takes: these bits differ
+between any two rows.
 
 Defined cases: null ids hash as the text `null`; a null text has 0 bytes; an empty table has no
 shards; repeated rows are documents of their own. Shard `` (no bits) is the whole table. Columns of
@@ -26,6 +27,7 @@ from wattline.llm.common import text_of, written
 
 LIMIT_BYTES = 64 * 1024 * 1024
 BITS = 60
+OWN_BITS = 64  # bits that tell apart rows of one id
 SPARE_BITS = 4  # a shard is made of 2 ** SPARE_BITS measured prefixes or more, on average
 
 
@@ -112,30 +114,56 @@ def _dealt(keyed: DataFrame, rounds: list, left: DataFrame, limit: int) -> DataF
     """
     rows = written(_placed(keyed, rounds).withColumn("__own", F.xxhash64(F.monotonically_increasing_id())), "shard-rows")
     open_ = rows.where("shard is null").withColumn("__id", bit_text(F.col("__bits"), F.lit(BITS)))
-    own = F.call_function("shiftrightunsigned", F.col("__own"), F.lit(64 - BITS))
-    sizes = written(open_.select("__id", "__own", own.alias("own_bits"), "n_bytes"), "shard-repeats")
-    # all levels at once: rows of a repeated id only, each with its own path of bits
+    sizes = written(open_.select("__id", "__own", "n_bytes"), "shard-repeats")
+    # several levels at once: rows of a repeated id only, each with its own path of bits
     most = sizes.groupBy("__id").agg(F.sum("n_bytes").alias("b")).agg(F.max("b")).first()[0]
-    depth = min(BITS, math.ceil(math.log2(max(2, most / limit))) + 2 * SPARE_BITS)
-    level = F.explode(F.sequence(F.lit(1), F.lit(depth)))
-    fine = sizes.groupBy("__id", prefix(F.col("own_bits"), F.lit(depth)).alias("fine")).agg(
-        F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("r")
+    start, depth = 1, min(OWN_BITS, math.ceil(math.log2(max(2, most / limit))) + 2 * SPARE_BITS)
+    out = rows.where("shard is not null")
+    while True:
+        found = written(_own_leaves(sizes, start, depth, limit), "shard-leaves")
+        out = out.unionByName(_on_own_bits(open_, found.where("leaf is not null"), depth))
+        crowded = found.where("leaf is null").select("__id", "fine")
+        if crowded.isEmpty():
+            return out.drop("__bits", "__own")
+        sizes = sizes.withColumn("fine", own_prefix(F.lit(depth))).join(crowded, ["__id", "fine"], "left_semi").drop("fine")
+        sizes = written(sizes, "shard-repeats")
+        start, depth = depth + 1, min(OWN_BITS, depth + 2 * SPARE_BITS)
+
+
+def own_prefix(n: Column) -> Column:
+    """The first `n` (1 to 64) of the bits that a row has of its own."""
+    return F.call_function("shiftrightunsigned", F.col("__own"), (F.lit(OWN_BITS) - n).cast("int"))
+
+
+def _own_leaves(sizes: DataFrame, start: int, depth: int, limit: int) -> DataFrame:
+    """As `leaves`, for every id and every prefix of `depth` of its rows' own bits.
+
+    Own bits are a bijection of distinct numbers, so at full depth every row is alone and fits.
+    """
+    fine = sizes.groupBy("__id", own_prefix(F.lit(depth)).alias("fine")).agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("r"))
+    fine = written(fine, "shard-sizes")
+    up = fine.withColumn("leaf", F.explode(F.sequence(F.lit(start), F.lit(depth)))).withColumn(
+        "node", F.call_function("shiftrightunsigned", F.col("fine"), (F.lit(depth) - F.col("leaf")).cast("int"))
     )
-    up = fine.withColumn("leaf", level).withColumn("node", F.call_function("shiftright", F.col("fine"), (F.lit(depth) - F.col("leaf")).cast("int")))
     nodes = up.groupBy("__id", "leaf", "node").agg(F.sum("b").alias("sb"), F.sum("r").alias("sr"))
-    fits = nodes.where((F.col("sb") <= limit) | (F.col("sr") == 1) | (F.col("leaf") == depth))
+    fits = nodes.where((F.col("sb") <= limit) | (F.col("sr") == 1))
     found = up.join(fits, ["__id", "leaf", "node"]).groupBy("__id", "fine").agg(F.min(F.struct("leaf", "sb", "sr")).alias("f"))
-    tail = bit_text(prefix(own, F.col("f.leaf")), F.col("f.leaf"))
-    placed = (
-        open_.withColumn("fine", prefix(own, F.lit(depth)))
-        .join(found, ["__id", "fine"])
-        .withColumn("shard", F.concat("__id", tail))
-        .withColumn("depth", F.lit(BITS) + F.col("f.leaf"))
-        .withColumn("shard_bytes", F.col("f.sb"))
-        .withColumn("shard_rows", F.col("f.sr"))
-        .drop("__id", "fine", "f")
+    return fine.select("__id", "fine").join(found, ["__id", "fine"], "left").select("__id", "fine", "f.*")
+
+
+def _on_own_bits(open_: DataFrame, found: DataFrame, depth: int) -> DataFrame:
+    """The rows whose shard lies among `found`, placed in it."""
+    named = found.select("__id", *[F.col(c).alias(f"__{c}") for c in ("fine", "leaf", "sb", "sr")])
+    leaf = F.col("__leaf")
+    return (
+        open_.withColumn("__fine", own_prefix(F.lit(depth)))
+        .join(named, ["__id", "__fine"])
+        .withColumn("shard", F.concat("__id", bit_text(own_prefix(leaf), leaf)))
+        .withColumn("depth", F.lit(BITS) + leaf)
+        .withColumn("shard_bytes", F.col("__sb"))
+        .withColumn("shard_rows", F.col("__sr"))
+        .drop("__id", "__fine", "__leaf", "__sb", "__sr")
     )
-    return rows.where("shard is not null").unionByName(placed).drop("__bits", "__own")
 
 
 def write_shards(docs: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES) -> None:
