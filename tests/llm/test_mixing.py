@@ -86,6 +86,20 @@ def test_mixed_repeats_documents_as_taken(spark):
     assert max(r["count"] for r in out.where("doc_id = 3").groupBy("doc_id", "text").count().collect() or [{"count": 0}]) <= 2
 
 
+@pytest.mark.parametrize("most", [1, 3, 5])
+def test_mixed_makes_all_copies_that_the_mix_takes(spark, most):
+    own = [(i, f"a b {i}", "en", "a", 0) for i in range(20)] + [(20, "c d e", "en", None, 0)] * 2 + [(None, "f g", "en", "b", 0)]
+    docs = documents(spark, own)
+    settings = {"share": float(most), "most": most}
+    wanted = defaultdict(int)
+    for r in mixing.mix(docs, **settings).collect():
+        wanted[r.doc_id] += int(r.taken / r["size"] + 0.5)
+    found = defaultdict(int)
+    for r in mixing.mixed(docs, **settings).collect():
+        found[r.doc_id] += 1
+    assert found == wanted and max(wanted.values()) >= most
+
+
 def test_no_python_in_the_plan(spark):
     plan = plan_of(mixing.report(documents(spark)))
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))

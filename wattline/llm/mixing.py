@@ -192,8 +192,9 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     nth = F.row_number().over(W.partitionBy("m_id", "m_source", "m_size").orderBy(F.xxhash64(named["text"])))
     return (
         joined.withColumn("__n", nth)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(MOST))))
-        .where(F.col("__copy") <= F.coalesce(F.try_element_at("m_times", F.col("__n")), F.lit(0)))
+        .withColumn("__times", F.try_element_at("m_times", F.col("__n")))
+        .where("__times > 0")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
         .select(*[F.col(n).alias(c) for c, n in named.items()])
     )
 
