@@ -62,6 +62,21 @@ def test_equals_brute_force(spark, monkeypatch, block_bytes):
         assert plain(contamination.report(documents(spark, table), benchmark)) == brute_force(table, items)
 
 
+def test_a_large_benchmark_is_not_broadcast(spark, monkeypatch):
+    table, items = tables()
+    sent, whole = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or whole(self, value))
+    monkeypatch.setattr(contamination, "FRAME_ROWS", 7)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, table)
+    found = contamination.with_contamination(docs, benchmark, "c", block_bytes=2000)
+    assert found.columns == [*docs.columns, "c"]
+    spans = {(r.doc_id, r.text): r.c for r in found.collect()}
+    assert sum(len(p) for value in sent if isinstance(value, dict) for p in value) <= 2000
+    one = contamination.with_contamination(docs, benchmark, "c").collect()
+    assert {(r.doc_id, r.text): r.c for r in one} == spans and len(one) == len(table)
+
+
 def test_spans_are_places_of_the_original(spark):
     benchmark = spark.createDataFrame([(1, "a b c d e f g h i j k l m n"), (2, "straße")], "item_id long, text string")
     text = "…x. A b,C d e f g h i j k l M n zz Straße 𝄞 straße!"

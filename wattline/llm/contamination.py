@@ -1,7 +1,9 @@
-"""Benchmark decontamination: one Aho-Corasick automaton over the normalised benchmark texts.
+"""Benchmark decontamination: one Aho-Corasick automaton over the normalised benchmark texts, or a join.
 
 Every run of `window` words of an item is a pattern (an item with fewer words is one pattern). A
-document is normalised once, scanned once, and the words inside any occurrence are hit. Texts are
+document is normalised once, scanned once, and the words inside any occurrence are hit. The patterns are
+made in Spark; up to `AUTOMATON_BYTES` of them go to the tasks as one automaton. More never pass through
+the driver: windows of the documents and patterns meet in a join on 128 bits of their hash. Texts are
 compared as UTF-8 bytes, one character per byte, so lower-casing, splitting and matching all work on
 byte strings; occurrences are mapped back to code points of the original text.
 
@@ -16,20 +18,21 @@ benchmark hits nothing; columns of `docs` are all kept, the result is one struct
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import unused
+from wattline.llm.common import text_of, unused, written
 
 WINDOW = 13
-# Pattern bytes of one automaton (about 40 times as much memory in a task). A larger benchmark is
-# dealt to several, each of which scans the documents.
+# Bytes of the distinct patterns, and of their item ids, that one automaton holds (about 40 times as much
+# memory in a task). A larger benchmark is joined.
 AUTOMATON_BYTES = 4 * 1024 * 1024
+FRAME_ROWS = 20_000  # windows that a task holds at once
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c in _KEPT else 32 for c in range(256))
@@ -45,36 +48,31 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_BYTES).split()
 
 
-def windows(text: str, window: int) -> set[str]:
+def windows(own: list[bytes], window: int) -> Iterator[str]:
     """Patterns of an item; the blanks at both ends keep matches on whole words."""
-    own = words(text)
     last = max(1, len(own) - window + 1) if own else 0
-    return {f" {b' '.join(own[i:i + window]).decode('latin-1')} " for i in range(last)}
+    return (f" {b' '.join(own[i:i + window]).decode('latin-1')} " for i in range(last))
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[dict[str, list[str]]]:
-    """Pattern -> item ids, in blocks of at most `block_bytes` of pattern text (a larger item is a block).
+def patterns_of(benchmark: DataFrame, window: int) -> DataFrame:
+    """pattern, ids: every distinct pattern with the sorted ids of its items, written once."""
 
-    Items are read one partition at a time and only distinct texts travel.
-    """
-    rows = (
-        benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-        .groupBy("text")
-        .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
-    )
-    blocks, size, block = [], 0, defaultdict(set)
-    for row in rows.toLocalIterator():
-        patterns = windows(row.text, window)
-        added = sum(map(len, patterns))
-        if block and size + added > block_bytes:
-            blocks.append({p: sorted(ids) for p, ids in block.items()})
-            size, block = 0, defaultdict(set)
-        for p in patterns:
-            block[p].update(row.ids)
-        size += added
-    if block:
-        blocks.append({p: sorted(ids) for p, ids in block.items()})
-    return blocks
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for item, text in zip(frame["item"], frame["text"]):
+                held = []
+                for pattern in windows(words(text), window):
+                    held.append(pattern)
+                    if len(held) == FRAME_ROWS:
+                        yield pd.DataFrame({"item": item, "pattern": held})
+                        held = []
+                if held:
+                    yield pd.DataFrame({"item": item, "pattern": held})
+
+    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    items = items.select(F.col("item_id").cast("string").alias("item"), "text")
+    made = items.mapInPandas(run, "item string, pattern string")
+    return written(made.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("ids")), "patterns")
 
 
 def automaton(patterns: dict[str, list[str]]):
@@ -87,6 +85,17 @@ def automaton(patterns: dict[str, list[str]]):
     return found
 
 
+def covered(text: str, starts: np.ndarray, sizes: np.ndarray) -> tuple[int, int, list[tuple[int, int]]]:
+    """Words, words inside any of the stretches, and these united, in code points of `text`, end exclusive."""
+    places = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
+    change = np.zeros(len(places) + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + sizes, -1)
+    hit = np.cumsum(change[:-1]) > 0
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
+    return len(places), int(hit.sum()), [(places[a][0], places[b - 1][1]) for a, b in zip(edges[::2], edges[1::2])]
+
+
 def scan(found, text: str) -> tuple[int, int, list[str], list[tuple[int, int]]]:
     """Words, hit words, items and the hit stretches of `text` in code points, end exclusive."""
     own = words(text)
@@ -99,15 +108,9 @@ def scan(found, text: str) -> tuple[int, int, list[str], list[tuple[int, int]]]:
     blanks = np.flatnonzero(np.frombuffer(flat.encode("latin-1"), np.uint8) == 32)
     ends = np.searchsorted(blanks, np.fromiter((m[0] for m in matches), np.int64, len(matches)))
     sizes = np.fromiter((m[1][0] for m in matches), np.int64, len(matches))
-    change = np.zeros(len(own) + 1, np.int64)
-    np.add.at(change, ends - sizes, 1)
-    np.add.at(change, ends, -1)
-    hit = np.cumsum(change[:-1]) > 0
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-    places = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
-    spans = [(places[a][0], places[b - 1][1]) for a, b in zip(edges[::2], edges[1::2])]
+    count, hit, spans = covered(text, ends - sizes, sizes)
     items = sorted({i for m in matches for i in m[1][1]})
-    return len(own), int(hit.sum()), items, spans
+    return count, hit, items, spans
 
 
 def scanner(docs: DataFrame, patterns: dict[str, list[str]] | None) -> Column:
@@ -132,45 +135,70 @@ def with_contamination(
     window: int = WINDOW,
     block_bytes: int = AUTOMATON_BYTES,
 ) -> DataFrame:
-    """`docs` with a struct `column`: n_words, n_hit, items (ids as sorted strings), spans.
+    """`docs` with a struct `column`: n_words, n_hit, items (ids as sorted strings), spans."""
+    patterns = patterns_of(benchmark, window)
+    id_bytes = F.aggregate("ids", F.lit(0), lambda n, x: n + F.octet_length(x))
+    pattern_bytes, ids_bytes = patterns.agg(F.sum(F.length("pattern")), F.sum(id_bytes)).first()
+    if max(pattern_bytes or 0, ids_bytes or 0) <= block_bytes:
+        return docs.withColumn(column, scanner(docs, {r.pattern: r.ids for r in patterns.collect()}))
+    return joined(docs, patterns, column)
 
-    With more than one automaton the documents pass all of them one after the other, in the same
-    task, and the findings are united: stretches first, then the words they cover.
+
+def joined(docs: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
+    """`docs` with the findings of any number of patterns, which meet the documents' windows in a join.
+
+    A finding depends on the text only, so it is joined back by the text's digest. The driver gets the
+    patterns' word counts alone.
     """
-    blocks = item_blocks(benchmark, window, block_bytes)
-    if len(blocks) <= 1:
-        return docs.withColumn(column, scanner(docs, blocks[0] if blocks else None))
-    sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
+
+    @F.pandas_udf("binary")
+    def digest(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda p: xxhash.xxh128_digest(p.encode("latin-1")))
+
+    n_words = F.length("pattern") - F.length(F.replace(F.col("pattern"), F.lit(" "), F.lit(""))) - 1
+    known = patterns.select(digest("pattern").alias("g"), n_words.alias("n"), "ids")
+    known = written(known, "patterns")
+    sizes = sorted(r.n for r in known.select("n").distinct().collect())  # `window` numbers at most
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for key, text in zip(frame["key"], frame["text"]):
+                own = words(text)
+                held = []
+                for n in sizes:
+                    for at in range(len(own) - n + 1):
+                        held.append((key, at, n, xxhash.xxh128_digest(b" " + b" ".join(own[at : at + n]) + b" ")))
+                        if len(held) == FRAME_ROWS:
+                            yield pd.DataFrame(held, columns=["key", "at", "n", "g"])
+                            held = []
+                if held:
+                    yield pd.DataFrame(held, columns=["key", "at", "n", "g"])
+
+    own = docs.select(F.md5(text_of(docs).cast("binary")).alias("key"), text_of(docs).alias("text"))
+    made = own.mapInPandas(run, "key string, at long, n int, g binary")
+    hits = written(made.join(known.select("g"), "g", "left_semi").distinct(), "hits")
+    places = hits.groupBy("key").agg(F.collect_list(F.struct("at", "n")).alias("p"))
+    ids = hits.select("key", "g").distinct().join(known.select("g", F.explode("ids").alias("item")), "g")
+    ids = ids.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("__items"))
+    found = places.join(ids, "key").select(F.col("key").alias("__key"), F.col("p.at").alias("__at"), F.col("p.n").alias("__n"), "__items")
+    found = written(found, "found")
 
     @F.pandas_udf(RESULT)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        texts = texts.fillna("")
-        items = [set() for _ in texts]
-        covered: list[list[tuple[int, int]]] = [[] for _ in texts]
-        for one in sent:
-            found = automaton(one.value)  # one at a time in memory
-            for k, t in enumerate(texts):
-                _, _, ids, spans = scan(found, t)
-                items[k].update(ids)
-                covered[k] += spans
+    def finish(texts: pd.Series, at: pd.Series, n: pd.Series, items: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, ids, spans in zip(texts, items, covered):
-            if not spans:
-                rows.append((len(words(t)), 0, [], []))
+        for text, a, k, own in zip(texts.fillna(""), at, n, items):
+            if a is None:
+                rows.append((len(words(text)), 0, [], []))
                 continue
-            places = [m.span() for m in _ORIGINAL_WORD.finditer(t)]
-            hit = np.zeros(len(places) + 1, np.int64)
-            starts, ends = np.array([p[0] for p in places]), np.array([p[1] for p in places])
-            for a, b in spans:
-                hit[np.searchsorted(starts, a)] += 1
-                hit[np.searchsorted(ends, b) + 1] -= 1
-            marked = np.cumsum(hit[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.view(np.int8), [0]))))
-            merged = [{"start": int(starts[x]), "end": int(ends[y - 1])} for x, y in zip(edges[::2], edges[1::2])]
-            rows.append((len(places), int(marked.sum()), sorted(ids), merged))
+            count, hit, spans = covered(text, np.asarray(a, np.int64), np.asarray(k, np.int64))
+            rows.append((count, hit, list(own), [{"start": x, "end": y} for x, y in spans]))
         return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    return docs.withColumn(column, run.asNondeterministic()(docs["text"]))
+    key = F.md5(text_of(docs).cast("binary"))
+    out = docs.withColumn("__own_key", key).join(found, F.col("__own_key") == F.col("__key"), "left")
+    return out.withColumn(column, finish.asNondeterministic()("text", "__at", "__n", "__items")).drop(
+        "__own_key", "__key", "__at", "__n", "__items"
+    )
 
 
 def contaminated(found: Column, percent: int = 5) -> Column:
