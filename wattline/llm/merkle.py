@@ -5,7 +5,8 @@ or `?` or after 64 other code points, so every character is in one place of the
 the SHA-256 of its kind and its children's digests; equal roots mean equal texts. The fingerprint is text:
 the root's first 32 digits, a colon, and for every piece the first 8 digits of its digest, with `/` between
 sections and `.` between paragraphs. Where roots differ, `differing` compares the branches and tells the
-paragraphs; `likeness` is the share of pieces that two fingerprints have in common.
+paragraphs; `likeness` is the share of distinct pieces that two fingerprints have in common: how often a piece
+occurs does not count, so a line written twice and the same line a thousand times have likeness 1.
 
 The next document (ascending doc_id, after the last the first) is found in blocks of 1024 ids: one
 shuffle by block, in which each block also gets a copy of the first document of the block after it. The
@@ -80,7 +81,7 @@ def piece_set(print_: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal roots, else twice the common pieces by all pieces (0 to 1)."""
+    """1 for equal roots, else twice the common distinct pieces by the distinct pieces of both (0 to 1)."""
     x, y = piece_set(a), piece_set(b)
     both = F.size(x) + F.size(y)
     return F.when(a == b, F.lit(1.0)).when(both == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(x, y)) * 2.0 / both)
