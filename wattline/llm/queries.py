@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from wattline.llm import chat, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, toxicity
+from wattline.llm import chat, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, structure, toxicity
 from wattline.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op10_decontamination(spark, sf_dir):
     return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_structure(spark, sf_dir):
+    return structure.report(table(spark, sf_dir, "conversations"))
+
+
 def registered():
     return {
         "op1_mixing": (op1_mixing, mixing.REPORT_SQL),
@@ -60,4 +64,5 @@ def registered():
         "op9_sharding": (op9_sharding, sharding.REPORT_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op10_decontamination": (op10_decontamination, contamination.REPORT_SQL),
+        "op11_structure": (op11_structure, structure.REPORT_SQL),
     }
