@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from wattline.llm import chat, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, structure, toxicity
+from wattline.llm import chat, collocations, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, structure, toxicity
 from wattline.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op11_structure(spark, sf_dir):
     return structure.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
 def registered():
     return {
         "op1_mixing": (op1_mixing, mixing.REPORT_SQL),
@@ -65,4 +69,5 @@ def registered():
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op10_decontamination": (op10_decontamination, contamination.REPORT_SQL),
         "op11_structure": (op11_structure, structure.REPORT_SQL),
+        "op12_collocations": (op12_collocations, collocations.REPORT_SQL),
     }
