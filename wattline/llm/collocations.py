@@ -186,6 +186,11 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, fi
     always occurs inside a longer one is left out; as frequencies fall with length, one word more is all to look at.
     """
     totals, found = frequent_phrases(docs, least, longest)
+    return ranked(totals, found, first)
+
+
+def ranked(totals: DataFrame, found: list[DataFrame], first: int) -> DataFrame:
+    """The best phrases among the frequent ones of 1, 2, ... words."""
     every = []
     for phrases, next_ in zip(found[1:], [*found[2:], None]):
         if next_ is not None:
