@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from wattline.llm import chat, collocations, contamination, lines, merkle, mixing, neardup, pii, quality, sharding, structure, toxicity
+from wattline.llm import chat, collocations, contamination, lines, merkle, mixing, neardup, packing, pii, quality, sharding, structure, toxicity
 from wattline.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op12_collocations(spark, sf_dir):
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark, sf_dir):
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
 def registered():
     return {
         "op1_mixing": (op1_mixing, mixing.REPORT_SQL),
@@ -70,4 +74,5 @@ def registered():
         "op10_decontamination": (op10_decontamination, contamination.REPORT_SQL),
         "op11_structure": (op11_structure, structure.REPORT_SQL),
         "op12_collocations": (op12_collocations, collocations.REPORT_SQL),
+        "op13_packing": (op13_packing, None),
     }
