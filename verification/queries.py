@@ -621,7 +621,6 @@ def bounded_running_sum_query(spark, sf_dir):
         start=50.0,
         bounds=r.SOC_RANGE,
         name="level",
-        chunk=F.hour("ts"),
     )
     return levels.select("event_id", "device_id", "event_date", F.round("level", 6).alias("level"))
 

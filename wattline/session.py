@@ -73,6 +73,13 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the work folder: later steps all see the same ones."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _UNKNOWN_BYTES = 2**62  # Spark gives a size above this to inputs that it knows nothing of
 
 
