@@ -6,7 +6,7 @@ from conftest import plan_of, rows_of
 from wattline import schema, session
 from wattline.plans import daily
 from wattline.plans.daily import LakePaths, _same, run_days
-from wattline.session import TooManyPartitions, fresh_dir, shuffle_sized_for, work_root
+from wattline.session import fresh_dir, shuffle_sized_for, work_root
 from wattline.sources import lake
 
 
@@ -22,8 +22,11 @@ def test_shuffle_is_sized_from_the_input_and_restored(spark, tmp_path):
     with pytest.raises(RuntimeError), shuffle_sized_for(df, size // 30_000) as wanted:
         assert 30_000 <= wanted <= 31_000  # follows the size
         raise RuntimeError
-    with pytest.raises(TooManyPartitions), shuffle_sized_for(df, size // 30_000, most_partitions=20_000):
-        pass
+    with shuffle_sized_for(df, size // 30_000, most_partitions=20_000) as wanted:
+        assert wanted == 20_000
+    assert session.passes_for(df, size // 30_000, 20_000) == 2 and session.passes_for(df) == 1
+    with shuffle_sized_for(df, size // 30_000, 20_000, passes=2) as wanted:
+        assert 15_000 <= wanted <= 15_500
     assert spark.conf.get(setting) == before
 
 
@@ -36,8 +39,29 @@ def test_days_that_need_too_many_partitions_go_in_passes(spark, raw):
     assert daily._passes(spark, raw.paths, dates, two) == [dates[:2], dates[2:]]
     assert daily._passes(spark, raw.paths, dates, daily.RunOptions()) == [dates]
     assert [r.rows_total for r in run_days(spark, raw.paths, dates, two).collect()] == [4, 4, 4]
-    with pytest.raises(TooManyPartitions):
-        run_days(spark, raw.paths, dates, daily.RunOptions(bytes_per_partition=1, most_partitions=10))
+
+
+@pytest.mark.parametrize("off_date", ["late", "overwrite"])
+def test_a_day_beyond_the_ceiling_runs_in_parts_of_its_keys(spark, raw, tmp_path, monkeypatch, off_date):
+    rng, dates = random.Random(3), ["2025-08-01", "2025-08-02"]
+    for day in dates:
+        raw.lines(day, "01", "D1", *[
+            raw.reading(rng.choice([day, day, "2025-08-03"]), f"0{rng.randrange(4)}:00:00", rng.choice(["D1", "D2", "D3", None]),
+                        rng.choice(["01", "02", None]), energy_wh=float(n), power_w=rng.choice([-1.0, 5.0, None]))
+            for n in range(60)
+        ], raw.reading(day, "bad", "D1", "01"), raw.reading(day, "bad", "D1", "01"), "no json")
+    size = session.input_bytes(daily.read_raw_days(spark, raw.paths.raw, dates[:1]))
+    parts, prepared = [], daily._prepare_in_parts
+    monkeypatch.setattr(daily, "_prepare_in_parts", lambda raw, n, path: parts.append(n) or prepared(raw, n, path))
+    states = []
+    for name, ceiling in (("whole", {}), ("parts", {"bytes_per_partition": size // 20, "most_partitions": 5})):
+        paths = LakePaths.below(str(tmp_path / name), raw.paths.devices)
+        paths = LakePaths(raw.paths.raw, *[getattr(paths, f) for f in ("silver", "gold", "metrics", "devices", "late")])
+        quality = run_days(spark, paths, dates, daily.RunOptions(off_date=off_date, **ceiling))
+        late = lake.read_dates(spark, paths.late, daily.LATE, ["2025-08-03"])
+        states.append([rows_of(x) for x in (lake.read_silver(spark, paths.silver), lake.read_gold(spark, paths.gold), quality, late)])
+    assert parts == [4, 4] or parts == [5, 5]
+    assert states[0] == states[1] and all(states[0][:3]) and bool(states[0][3]) == (off_date == "late")
 
 
 def test_work_folder_is_the_one_the_cluster_names(spark):

@@ -78,7 +78,9 @@ def bounded_running_sum(
     with shuffle_sized_for(df) as partitions:
         largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         if largest <= most_gathered:
-            groups = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("rows"))
+            # dealt out by name: the plan of the result is made outside of this block
+            dealt = rows.repartition(partitions, *keys) if keys else rows
+            groups = dealt.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("rows"))
             return finished(groups, F.lit(float(start)))
         blocks = _blocks(rows, keys, places, clamp, partitions)
         openings = _openings(blocks.select(*keys, "node", "effect"), keys, float(start))

@@ -21,6 +21,7 @@ from wattline.session import (
     drop_dir,
     fresh_dir,
     input_bytes,
+    passes_for,
     shuffle_sized_for,
 )
 from wattline.sources import lake
@@ -66,7 +67,7 @@ class RunOptions:
     duplicate_devices: see `enrich_capacity`.
     bytes_per_partition, most_partitions: raw bytes meant for one shuffle partition, and the most
         partitions of one pass. Days that together need more are run in several passes; a single day
-        that needs more is an error.
+        that needs more is deduplicated in several parts of its keys.
     """
 
     layout: str = "dated"
@@ -86,12 +87,19 @@ class RunOptions:
             raise ValueError("dates that only off-date rows touch must not be replaced whole")
 
 
+def timed_readings(raw: DataFrame) -> DataFrame:
+    """Raw records with their time; a blank site is none."""
+    return with_event_time(raw.withColumn("site_id", F.nullif(F.col("site_id"), F.lit(""))))
+
+
+def first_readings(timed: DataFrame, keys: Sequence[str] = schema.KEY) -> DataFrame:
+    """First row per key with its number of `copies`, ranges; rows without a time still in."""
+    return clean_readings(keep_first(timed, keys, schema.names(schema.TELEMETRY), copies="copies"))
+
+
 def prepared_readings(raw: DataFrame, keys: Sequence[str] = schema.KEY) -> DataFrame:
     """Time, first row per key with its number of `copies`, ranges; rows without a time still in."""
-    sited = raw.withColumn("site_id", F.nullif(F.col("site_id"), F.lit("")))
-    return clean_readings(
-        keep_first(with_event_time(sited), keys, schema.names(schema.TELEMETRY), copies="copies")
-    )
+    return first_readings(timed_readings(raw), keys)
 
 
 def silver_readings(raw: DataFrame, devices: DataFrame, duplicates: str = "fail") -> DataFrame:
@@ -164,16 +172,38 @@ def _passes(
 def _run_pass(
     spark: SparkSession, paths: LakePaths, dates: list[str], options: RunOptions
 ) -> DataFrame:
-    stage_path = fresh_dir(spark, "prepared")
+    stage_path, sizes = fresh_dir(spark, "prepared"), (options.bytes_per_partition, options.most_partitions)
     raw = read_raw_days(spark, paths.raw, dates, options.layout)
+    parts = passes_for(raw, *sizes)
     try:
-        with shuffle_sized_for(raw, options.bytes_per_partition, options.most_partitions):
-            prepared_readings(raw, _RUN_KEY).write.parquet(stage_path)
+        with shuffle_sized_for(raw, *sizes, passes=parts):
+            if parts == 1:
+                prepared_readings(raw, _RUN_KEY).write.parquet(stage_path)
+            else:
+                _prepare_in_parts(raw, parts, stage_path)
             return _write_days(spark, paths, spark.read.parquet(stage_path), options)
     finally:
         drop_dir(spark, stage_path)
 
 
+def _prepare_in_parts(raw: DataFrame, parts: int, stage_path: str) -> None:
+    """What one pass would write, from one shuffle after the other over disjoint parts of the keys.
+
+    The raw text is still read once: parsed rows are written by part, without a shuffle, and each
+    part is then deduplicated by itself. All copies of a key have its hash, so they meet in one part.
+    """
+    spark, parsed_path = raw.sparkSession, fresh_dir(raw.sparkSession, "parsed")
+    timed = timed_readings(raw)
+    try:
+        part = F.pmod(F.xxhash64(*_RUN_KEY), F.lit(parts)).alias("part")
+        timed.select("*", part).write.partitionBy("part").parquet(parsed_path)
+        for path in folders(spark, f"{parsed_path}/part=*"):
+            own = spark.read.schema(timed.schema).parquet(path)
+            first_readings(own, _RUN_KEY).write.mode("append").parquet(stage_path)
+    finally:
+        drop_dir(spark, parsed_path)
+
+
 def _write_days(
     spark: SparkSession, paths: LakePaths, stage: DataFrame, options: RunOptions
 ) -> DataFrame:

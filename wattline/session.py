@@ -14,15 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Input bytes meant for one shuffle partition.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-# The most partitions that one shuffle may be given: a driver keeps the place of map tasks times
-# partitions blocks. An input that needs more is an error, not a shuffle of too large partitions.
+# The most partitions that one shuffle is given: a driver keeps the place of map tasks times
+# partitions blocks.
 MOST_PARTITIONS = 50_000
 
 
-class TooManyPartitions(ValueError):
-    """The input needs more shuffle partitions than allowed."""
-
-
 def build_session(app_name: str = "wattline", **settings: str) -> SparkSession:
     """Session with UTC as its zone and adaptive execution on; `settings` are further Spark settings.
 
@@ -93,27 +89,34 @@ def input_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes if size < _UNKNOWN_BYTES)
 
 
+def passes_for(
+    df: DataFrame,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
+) -> int:
+    """In how many parts `df`'s input has to be shuffled so that no partition is larger than meant."""
+    return max(1, math.ceil(input_bytes(df) / (bytes_per_partition * most_partitions)))
+
+
 @contextmanager
 def shuffle_sized_for(
     df: DataFrame,
     bytes_per_partition: int = BYTES_PER_PARTITION,
     most_partitions: int = MOST_PARTITIONS,
+    passes: int = 1,
 ) -> Iterator[int]:
     """Raise the number of shuffle partitions to suit the size of `df`'s input, then restore it.
 
     Adaptive execution merges small partitions of an aggregation but never splits large ones, so
-    the number must be high enough at the start. It follows the size up to `most_partitions`; an
-    input that needs more raises `TooManyPartitions`.
+    the number must be high enough at the start. It follows the size up to `most_partitions`; beyond
+    that partitions grow and spill, unless the work is done in `passes_for` parts, one after the
+    other, which is what `passes` says. Plans are made when they run, so only what runs inside the
+    block is sized by it.
     """
     spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
     configured = spark.conf.get(setting)
-    needed = math.ceil(input_bytes(df) / bytes_per_partition)
-    if needed > most_partitions:
-        raise TooManyPartitions(
-            f"{needed} partitions of {bytes_per_partition} bytes exceed {most_partitions}: "
-            "take fewer dates in a pass, larger partitions, or a higher ceiling"
-        )
-    wanted = max(int(configured), needed)
+    needed = math.ceil(input_bytes(df) / passes / bytes_per_partition)
+    wanted = max(int(configured), min(needed, most_partitions))
     spark.conf.set(setting, wanted)
     try:
         yield wanted
