@@ -213,8 +213,8 @@ def test_overwriting_reads_only_the_dates_it_touched(spark, raw, monkeypatch):
     for day in DAYS:
         fill(raw, day)
     run_days(spark, raw.paths, DAYS)
-    seen, figures = [], daily.site_daily
-    monkeypatch.setattr(daily, "site_daily", lambda df: seen.append(df) or figures(df))
+    seen, figures = [], daily.site_states
+    monkeypatch.setattr(daily, "site_states", lambda df: seen.append(df) or figures(df))
     run_day(spark, raw.paths, DAYS[0], RunOptions(off_date="overwrite"))
     assert seen[0].inputFiles() and all(f"event_date={DAYS[0]}" in f for f in seen[0].inputFiles())
 

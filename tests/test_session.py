@@ -5,7 +5,8 @@ from conftest import plan_of, rows_of
 
 from wattline import schema, session
 from wattline.plans import daily
-from wattline.plans.daily import LakePaths, _same, run_days
+from wattline.plans.daily import LakePaths, run_days
+from wattline.plans.late import same
 from wattline.session import fresh_dir, shuffle_sized_for, work_root
 from wattline.sources import lake
 
@@ -86,7 +87,7 @@ def test_cluster_without_a_shared_folder_is_an_error():
 def test_null_equality_is_an_equi_join(spark):
     df = spark.range(5).selectExpr("string(id) AS device_id", "timestamp_seconds(id) AS ts")
     for kind in ("left_semi", "left_anti"):
-        plan = plan_of(df.alias("l").join(df.alias("r").hint("merge"), _same(schema.KEY), kind))
+        plan = plan_of(df.alias("l").join(df.alias("r").hint("merge"), same(schema.KEY), kind))
         assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 

@@ -257,6 +257,16 @@ def late_rows_merged(spark, sf_dir):
     return lake.read_silver(spark, paths.silver)
 
 
+@query(with_(v.RECORDS_SILVER, """SELECT count(DISTINCT (event_date, site_id)) AS files,
+  count(DISTINCT (event_date, site_id)) AS folders FROM silver"""))
+def merged_file_layout(spark, sf_dir):
+    """After merges of one date after the other, each site-day is one file again."""
+    paths, dates = _lake_with_late_rows(spark, sf_dir)
+    for first in range(0, len(dates), 10):
+        merge_late(spark, paths, dates[first : first + 10])
+    return written_layout(lake.read_silver(spark, paths.silver))
+
+
 @query(with_(v.RECORDS_SILVER, v.GOLD_SELECT.format(source="silver")))
 def late_gold_merged(spark, sf_dir):
     """The figures after the merge."""

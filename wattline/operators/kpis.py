@@ -34,3 +34,34 @@ def site_daily(readings: DataFrame) -> DataFrame:
         uptime_percent().alias("uptime_percent"),
         anomaly_count().alias("anomaly_count"),
     )
+
+
+def site_states(readings: DataFrame) -> DataFrame:
+    """What the figures are made of, in a form that can be added to: see `merged_states`."""
+    return readings.groupBy(*schema.SITE_DAY).agg(
+        F.sum("energy_wh").alias("energy_wh"),
+        F.max("power_w").alias("peak_power_w"),
+        F.sum("temperature_c").alias("temperature_sum"),
+        F.count("temperature_c").alias("temperature_rows"),
+        F.count_if(F.col("status") == HEALTHY).alias("healthy_rows"),
+        anomaly_count().alias("anomaly_count"),
+        F.count(F.lit(1)).alias("all_rows"),
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per date and site, of all readings that went into any of the given ones."""
+    added = [c for c in states.columns if c not in (*schema.SITE_DAY, "peak_power_w")]
+    return states.groupBy(*schema.SITE_DAY).agg(F.max("peak_power_w").alias("peak_power_w"), *[F.sum(c).alias(c) for c in added])
+
+
+def figures(states: DataFrame) -> DataFrame:
+    """The figures of `site_daily`."""
+    return states.select(
+        *schema.SITE_DAY,
+        F.col("energy_wh").alias("energy_wh_total"),
+        "peak_power_w",
+        F.try_divide("temperature_sum", "temperature_rows").alias("avg_temp_c"),
+        (F.col("healthy_rows") / F.col("all_rows") * 100.0).alias("uptime_percent"),
+        "anomaly_count",
+    )

@@ -7,14 +7,15 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schema
 from wattline.operators.cleaning import clean_readings, drop_untimed, keep_first, with_event_time
 from wattline.operators.enrichment import enrich_capacity
-from wattline.operators.kpis import site_daily
+from wattline.operators.kpis import figures, site_states
 from wattline.operators.quality import day_quality
+from wattline.plans.late import LATE, compact_days, finish_merges, merge_late
 from wattline.session import (
     BYTES_PER_PARTITION,
     MOST_PARTITIONS,
@@ -29,9 +30,9 @@ from wattline.sources.bronze import read_raw_days
 from wattline.sources.devices import read_devices
 from wattline.sources.paths import folders, gathered
 
+__all__ = ["LATE", "LakePaths", "RunOptions", "compact_days", "dates_between", "merge_late", "run_day", "run_days"]
+
 _RUN_KEY = ("process_date", *schema.KEY)
-# A late row is a cleaned reading that has not met its device yet.
-LATE = f"{schema.SILVER.replace('capacity_kwh double, ', '')}, process_date string"
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,16 @@ class LakePaths:
     devices: str
     late: str
 
+    @property
+    def states(self) -> str:
+        """Partial sums behind the figures, to which late rows are added."""
+        return f"{self.gold}_states"
+
+    @property
+    def merging(self) -> str:
+        """Merges and compactions that are under way."""
+        return f"{self.silver}_merging"
+
     @classmethod
     def below(cls, base: str, devices: str | None = None) -> LakePaths:
         return cls(
@@ -134,11 +145,14 @@ def run_days(
     and feeds every later step, so counts are exact also when executors are lost on the way.
     Each day keeps its own keys, so the result equals running the days one by one.
 
+    A merge of late rows that failed on the way is finished first, see `merge_late`.
+
     Order of the writes: the days' quality records are withdrawn, then readings, late rows, daily
     figures and quality records are written. A quality record is therefore the mark of a finished
     day, also when a day is run again. A day without raw rows writes nothing at all.
     """
     dates = sorted(set(dates))
+    finish_merges(spark, paths)
     if options.off_date == "overwrite":
         passes = [[day] for day in dates]
     else:
@@ -231,7 +245,8 @@ def _write_days(
         now = timed.where(on_date).select("process_date", "site_id").distinct().collect()  # a row per folder
         sites = {day: {row["site_id"] for row in now if row["process_date"] == day} for day in done}
     lake.drop_other_sites(spark, paths.silver, sites)
-    lake.write_gold(site_daily(lake.read_silver(spark, paths.silver, touched)), paths.gold)
+    lake.write_states(site_states(lake.read_silver(spark, paths.silver, touched)), paths.states)
+    lake.write_gold(figures(lake.read_states(spark, paths.states, touched)), paths.gold)
     lake.drop_other_sites(spark, paths.gold, sites)
     finished = spark.createDataFrame(
         [tuple(row[c] for c in schema.names(schema.QUALITY)) for row in quality], schema.QUALITY
@@ -240,48 +255,6 @@ def _write_days(
     return finished
 
 
-def merge_late(
-    spark: SparkSession,
-    paths: LakePaths,
-    dates: Sequence[str],
-    duplicate_devices: str = "fail",
-) -> None:
-    """Add the late rows of some dates to them; a reading already there wins over a late one.
-
-    Only the new rows are written, as further files of their partitions, and only the figures of
-    the sites with late rows are computed again, whether or not their rows were there already: so a
-    call that failed on the way is mended by the next, and doing it twice adds nothing. To be called
-    again after a later `run_days` of such a date, which writes only the day's own rows.
-    """
-    late = lake.read_dates(spark, paths.late, LATE, dates)
-    if late.isEmpty():
-        return
-    touched = late.select(*schema.SITE_DAY).distinct()
-    late = keep_first(late, schema.KEY, ["process_date"])
-    # the date's readings are many and the late rows few: cut the former down before comparing
-    present = lake.read_silver(spark, paths.silver, dates).select(*schema.KEY)
-    taken = present.alias("l").join(late.alias("r"), _same(schema.KEY), "left_semi")
-    new = late.alias("l").join(taken.alias("r"), _same(schema.KEY), "left_anti")
-    stage_path = fresh_dir(spark, "late")
-    try:
-        new.write.parquet(stage_path)
-        stage = spark.read.schema(LATE).parquet(stage_path)
-        if not stage.isEmpty():
-            readings = enrich_capacity(stage, read_devices(spark, paths.devices), duplicate_devices)
-            lake.write_silver(readings, paths.silver, append=True)
-        written = lake.read_silver(spark, paths.silver, dates)
-        changed = written.alias("l").join(touched.alias("r"), _same(schema.SITE_DAY), "left_semi")
-        lake.write_gold(site_daily(changed), paths.gold)
-    finally:
-        drop_dir(spark, stage_path)
-
-
-def _same(columns: Sequence[str]) -> Column:
-    """Equality of the sides `l` and `r` of a join in which NULL equals NULL."""
-    tests = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def _count_nulls_again(quality: DataFrame, readings: DataFrame) -> DataFrame:
     """Quality records whose NULL counts are taken from readings multiplied by repeated devices."""
     counts = readings.groupBy("process_date").agg(

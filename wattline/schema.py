@@ -16,6 +16,10 @@ GOLD = (
     "energy_wh_total double, peak_power_w double, avg_temp_c double, uptime_percent double, "
     "anomaly_count bigint, event_date date, site_id string"
 )
+STATES = (
+    "energy_wh double, peak_power_w double, temperature_sum double, temperature_rows bigint, "
+    "healthy_rows bigint, anomaly_count bigint, all_rows bigint, site_id string, event_date date"
+)
 QUALITY = (
     "process_date string, rows_total bigint, duplicate_keys bigint, null_power bigint, null_soc bigint"
 )

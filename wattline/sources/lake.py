@@ -13,6 +13,10 @@ from wattline.session import drop_dir
 from wattline.sources.paths import folder_name, folders, gathered, load_or_empty
 
 
+# Size that a file of readings should have.
+FILE_BYTES = 128 * 1024 * 1024
+
+
 def write_silver(
     df: DataFrame, base: str, max_records_per_file: int | None = None, append: bool = False
 ) -> None:
@@ -49,6 +53,46 @@ def write_gold(df: DataFrame, base: str) -> None:
     )
 
 
+def write_states(df: DataFrame, base: str) -> None:
+    """Write the states behind the figures by date; the dates that occur in `df` are replaced whole."""
+    (
+        gathered(df.select(*schema.names(schema.STATES)), "event_date")
+        .write.mode("overwrite")
+        .options(**_writer_options(None))
+        .partitionBy("event_date")
+        .parquet(base)
+    )
+
+
+def read_states(spark: SparkSession, base: str, dates: Iterable[str]) -> DataFrame:
+    return read_dates(spark, base, schema.STATES, dates)
+
+
+def dates_with_states(spark: SparkSession, base: str, dates: Iterable[str]) -> list[str]:
+    """Those of the dates whose states are stored, by their folders."""
+    return [day for day in dates if folders(spark, f"{base}/event_date={date.fromisoformat(day).isoformat()}")]
+
+
+def scattered_folders(spark: SparkSession, base: str, dates: Iterable[str], file_bytes: int = FILE_BYTES) -> list[str]:
+    """Site-days of the dates with several files of less than half of `file_bytes` on average.
+
+    Files are listed by the tasks, not opened; only the folders found come to the driver.
+    """
+    wanted = ",".join(sorted({date.fromisoformat(d).isoformat() for d in dates}))
+    files = load_or_empty(
+        spark,
+        "path string, length long",
+        lambda: spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(f"{base}/event_date={{{wanted}}}")
+        .select("path", "length"),
+    )
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    found = files.groupBy(folder).agg(F.count(F.lit(1)).alias("files"), F.avg("length").alias("mean"))
+    return sorted(r.folder for r in found.where((F.col("files") > 1) & (F.col("mean") < file_bytes / 2)).collect())
+
+
 def drop_other_sites(
     spark: SparkSession, base: str, sites: dict[str, set[str | None]]
 ) -> None:

@@ -26,6 +26,11 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or [] if status.isDirectory()]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def folder_name(spark: SparkSession, key: str, value: str | None) -> str:
     """The folder that a partitioned write makes for a value."""
     if value is None or value == "":
