@@ -1,5 +1,6 @@
 import pytest
 from conftest import plan_of, rows_of
+from pyspark.sql import functions as F
 
 from wattline.operators.enrichment import DuplicateDevices, enrich_capacity, profile_devices
 from wattline.sources.devices import normalize_devices, read_devices, read_devices_normalized
@@ -50,6 +51,29 @@ def test_hot_device_is_split_when_merging(spark, settings):
     assert "SortMergeJoin(skew=true)" in plan_of(joined)
 
 
+def test_hot_device_without_adaptive_execution(spark, settings):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="12")
+    readings = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'D1' WHEN id % 3 = 1 THEN concat('D', id % 500) END AS device_id", "'s' AS salts"
+    )
+    dimension = spark.range(400).selectExpr("concat('D', id) AS device_id", "double(id) AS capacity_kwh")
+    joined = enrich_capacity(readings, dimension, broadcast_limit_bytes=10)
+    assert joined.columns == ["device_id", "id", "salts", "capacity_kwh"]
+    tasks = joined.groupBy("device_id", F.spark_partition_id().alias("p")).count()
+    for hot in ("device_id = 'D1'", "device_id IS NULL"):
+        found = tasks.where(hot).collect()
+        assert len(found) >= 3 and max(r["count"] for r in found) < 10_000 / 2
+    assert "SortMergeJoin" in plan_of(joined)
+    plain = readings.join(F.broadcast(dimension), "device_id", "left")
+    assert rows_of(joined) == rows_of(plain) and joined.count() == 30_000
+
+
+def test_salted_join_of_nothing(spark, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    empty = spark.createDataFrame([], "device_id string, x long")
+    assert enrich_capacity(empty, devices(spark, ("D1", 1.0)), broadcast_limit_bytes=0).count() == 0
+
+
 def test_duplicate_devices(spark, readings):
     twice = devices(spark, ("D1", 300.0), ("D1", 200.0), ("D1", None), ("D2", 1.0))
     assert profile_devices(twice).duplicates == 2

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from wattline import schema
 from wattline.operators.enrichment import DuplicateDevices
 from wattline.operators.kpis import site_daily
-from wattline.operators.quality import written_layout
-from wattline.plans import daily
+from wattline.operators.quality import day_quality, observed_quality, written_layout
+from wattline.plans import checks, daily
 from wattline.plans.daily import (
     LakePaths,
     RunOptions,
@@ -410,6 +410,44 @@ def test_sql_view(spark, raw):
     assert one.first().n == 8 and "PartitionFilters: [isnotnull(event_date" in plan_of(one)
 
 
+def test_external_table(spark, raw, tmp_path):
+    for day in DAYS[:2]:
+        fill(raw, day)
+    run_days(spark, raw.paths, DAYS[:2])
+    lake.silver_table(spark, raw.paths.silver, "silver_of_test")
+    try:
+        fill(raw, DAYS[2])
+        run_days(spark, raw.paths, DAYS[2:])
+        profile = checks.null_profile(spark, spark.table("silver_of_test"), DAYS[2])
+        assert profile.first().rows_total == 0  # not told yet
+        lake.silver_table(spark, raw.paths.silver, "silver_of_test")
+        profile = checks.null_profile(spark, spark.table("silver_of_test"), DAYS[2])
+        plan = plan_of(profile, "formatted")
+        assert "PartitionFilters: [isnotnull(event_date" in plan and "CatalogFileIndex" in plan or "event_date" in plan
+        assert profile.first().rows_total == 8
+        rows = spark.table("silver_of_test")
+        assert rows_of(rows) == rows_of(lake.read_silver(spark, raw.paths.silver)) and rows.where("site_id = '01'").count() == 12
+        with pytest.raises(ValueError, match="lies at"):
+            lake.silver_table(spark, str(tmp_path / "other"), "silver_of_test")
+    finally:
+        spark.sql("DROP TABLE silver_of_test")
+    assert lake.read_silver(spark, raw.paths.silver).count() == 24
+
+
+def test_observed_quality_agrees_with_the_record(spark, raw):
+    for day in DAYS[:2]:
+        fill(raw, day, off_date=["2025-07-01"])
+        raw.lines(day, "01", "more", raw.reading(day, "x", "D9", "01"), raw.reading(day, "09:00:00", "D9", "01"))
+    prepared = prepared_readings(read_raw_days(spark, raw.paths.raw, DAYS[:2], "dated"), ("process_date", *schema.KEY))
+    rows, counts = observed_quality(prepared)
+    rows.write.format("noop").mode("overwrite").save()
+    exact = day_quality(prepared).groupBy().sum().first().asDict()
+    assert counts.get == {name: exact[f"sum({name})"] for name in counts.get} and counts.get["duplicate_keys"] == 4
+    rows, counts = observed_quality(prepared.where("false"))
+    rows.count()
+    assert set(counts.get.values()) == {0}
+
+
 def test_many_figures_are_written_by_many_tasks(spark, tmp_path):
     rows = spark.range(400).selectExpr(
         "date'2025-08-01' AS event_date", "concat('s', id) AS site_id", "1.0D AS energy_wh", "2.0D AS power_w",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +20,14 @@ from wattline.operators.grid import expected_grid, expected_readings
 from wattline.operators.kpis import site_daily, uptime_percent
 from wattline.operators.quality import (
     key_counts,
+    observed_quality,
     row_count,
     status_counts,
     written_layout,
 )
 from wattline.operators.running import bounded_running_sum
 from wattline.plans import checks
-from wattline.plans.daily import LATE, RunOptions, merge_late, run_days
+from wattline.plans.daily import LATE, RunOptions, merge_late, prepared_readings, run_days
 from wattline.session import fresh_dir
 from wattline.sources import lake
 from wattline.sources.bronze import read_raw_days, write_bronze
@@ -207,6 +210,18 @@ def quality_summary(spark, sf_dir):
     return lake.read_quality(spark, _written_lake(spark, sf_dir).metrics)
 
 
+@query(with_(v.RECORDS_SILVER, f"""SELECT sum(rows_total)::BIGINT AS rows_total, sum(duplicate_keys)::BIGINT AS duplicate_keys,
+  sum(null_power)::BIGINT AS null_power, sum(null_soc)::BIGINT AS null_soc FROM ({_QUALITY_SELECT})"""))
+def quality_observed(spark, sf_dir):
+    """The counts of all days, observed while the prepared rows are written."""
+    raw = v.delivered(spark, sf_dir).withColumnRenamed("day", "process_date")
+    prepared = prepared_readings(raw, ("process_date", *schema.KEY))
+    rows, counts = observed_quality(prepared)
+    rows.write.parquet(fresh_dir(spark, "observed"))
+    names = ["rows_total", "duplicate_keys", "null_power", "null_soc"]
+    return spark.createDataFrame([tuple(counts.get[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 @query(with_(v.RECORDS_SILVER, _QUALITY_SELECT))
 def multi_day_run(spark, sf_dir):
     """Quality records of a run over all dates at once."""
@@ -497,6 +512,19 @@ def sql_null_profile_day(spark, sf_dir):
     ])
 
 
+@query(with_(v.RECORDS_SILVER + ", " + _DAY, """SELECT event_date, site_id, count(*) AS rows_total FROM silver
+WHERE event_date = (SELECT CAST(d AS DATE) FROM day WHERE which = 'within') GROUP BY event_date, site_id"""))
+def silver_table_day(spark, sf_dir):
+    """A date's readings per site, from the external table."""
+    name = f"silver_{uuid.uuid4().hex}"
+    lake.silver_table(spark, _written_lake(spark, sf_dir).silver, name)
+    (_, day), _ = _a_day_and_none(spark, sf_dir)
+    return spark.sql(
+        f"SELECT event_date, site_id, count(*) AS rows_total FROM {name} WHERE event_date = :day GROUP BY event_date, site_id",
+        args={"day": date.fromisoformat(day)},
+    )
+
+
 @query(with_(v.RECORDS + ", " + _DAY, """SELECT which, count(*) FILTER (soc_percent < 0 OR soc_percent > 100) AS out_of_bounds_soc
 FROM day LEFT JOIN delivered ON CAST(try_strptime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS DATE) = CAST(d AS DATE) GROUP BY which"""))
 def soc_bounds_day(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattline import schema
@@ -46,6 +46,28 @@ def day_quality(cleaned: DataFrame, copies: str = "copies") -> DataFrame:
     )
 
 
+def observed_quality(cleaned: DataFrame, copies: str = "copies") -> tuple[DataFrame, Observation]:
+    """The rows, and the sums of `day_quality` over all of them, counted while the rows are used.
+
+    It costs no job of its own. After the first action on the returned rows, `Observation.get` has
+    the sums, of what that action read: a plan that skips rows or reads them twice counts them so, which is
+    why the stored records come from `day_quality`.
+    """
+    counts = Observation()
+    timed = F.col("ts").isNotNull()
+    rows = F.coalesce(F.sum(copies), F.lit(0))
+    off_date = F.col("event_date") != F.col("process_date").cast("date")
+    observed = cleaned.observe(
+        counts,
+        rows.alias("rows_total"),
+        (rows - F.count(F.lit(1))).alias("duplicate_keys"),
+        F.count_if(timed & F.col("power_w").isNull()).alias("null_power"),
+        F.count_if(timed & F.col("soc_percent").isNull()).alias("null_soc"),
+        F.count_if(off_date).alias("off_date_rows"),
+    )
+    return observed, counts
+
+
 def status_counts(df: DataFrame) -> DataFrame:
     """Healthy, other and missing statuses, kept apart as three-valued comparison does."""
     return df.agg(

@@ -135,6 +135,33 @@ def view_silver(spark: SparkSession, base: str, name: str = "silver_telemetry")
     read_silver(spark, base).createOrReplaceTempView(name)
 
 
+def silver_table(spark: SparkSession, base: str, name: str = "silver_telemetry") -> None:
+    """Make the cleaned readings an external table of the session's catalog, or bring it up to date.
+
+    Its partitions are those that lie below `base` now, so a predicate on `event_date` is answered
+    from the catalog, without listing the other dates. To be called again after a run. The files are not
+    the table's: dropping it leaves them. A table of that name that lies elsewhere is an error.
+    """
+    columns = ", ".join(schema.SILVER.split(", "))
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(schema.SITE_DAY)}) LOCATION '{base}'"
+    )
+    located = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    if not _same_place(spark, located, base):
+        raise ValueError(f"{name} lies at {located}")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def _same_place(spark: SparkSession, one: str, other: str) -> bool:
+    def whole(path):
+        path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+    return whole(one) == whole(other)
+
+
 def read_gold(spark: SparkSession, base: str, dates: Iterable[str] | None = None) -> DataFrame:
     """Daily figures, of all dates or of some."""
     return read_dates(spark, base, schema.GOLD, dates)
