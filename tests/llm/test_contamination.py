@@ -18,10 +18,10 @@ def brute_force(table, items):
     windows = {}
     for item, text in items:
         own = split(text)
-        if item is not None and own:
+        if own:
             n = min(13, len(own))
             for i in range(len(own) - n + 1):
-                windows.setdefault(tuple(own[i : i + n]), set()).add(str(item))
+                windows.setdefault(tuple(own[i : i + n]), set()).update([] if item is None else [str(item)])
     out = []
     for doc, text, *_ in table:
         own, hit, ids = split(text), set(), set()
@@ -38,11 +38,12 @@ def brute_force(table, items):
 def tables():
     rng = random.Random(2)
     items = [(i, " ".join(words(rng, rng.choice([1, 2, 5, 13, 14, 40]), 300))) for i in range(30)]
-    items += [(50, "Été, über-Naïve ß!"), (51, None), (52, " .,- "), (None, "w1 w2"), (9, items[9][1]), (53, items[9][1].upper())]
+    items += [(50, "Été, über-Naïve ß!"), (51, None), (52, " .,- "), (None, "w1 w2"), (None, " ".join(f"only{i}" for i in range(20))), (None, items[4][1]), (9, items[9][1]), (53, items[9][1].upper())]
     table = rows()
     for k, (_, text) in enumerate(items[:20]):
         filler = " ".join(words(rng, 10 * k, 10**6))
         table.append((500 + k, f"{filler} {text.upper()}, {text}; {filler}", "en", "a", 0))
+    table.append((601, " ".join(f"only{i}" for i in range(20)), "en", "a", 0))
     table.append((600, "x été — ÜBER naïve ß. Été über?naïve*ß", "fr", "a", 0))
     return table, items
 

@@ -11,8 +11,8 @@ Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z: digits
 outside ASCII.
 
 Defined cases: a null or empty text has no words and is never hit; items that repeat, also under
-several ids, all count; a null item text has no windows, a null item id none that counts; an empty
-benchmark hits nothing; columns of `docs` are all kept, the result is one struct column.
+several ids, all count; a null item text has no windows; an item with a null id hits words like any other, but
+has no name among the items; an empty benchmark hits nothing; columns of `docs` are all kept, the result is one struct column.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def windows(own: list[bytes], window: int) -> Iterator[str]:
 
 
 def patterns_of(benchmark: DataFrame, window: int) -> DataFrame:
-    """pattern, ids: every distinct pattern with the sorted ids of its items, written once."""
+    """pattern, ids: every distinct pattern with the sorted ids of its items (none if all are null), written once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -69,8 +69,7 @@ def patterns_of(benchmark: DataFrame, window: int) -> DataFrame:
                 if held:
                     yield pd.DataFrame({"item": item, "pattern": held})
 
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    items = items.select(F.col("item_id").cast("string").alias("item"), "text")
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
     made = items.mapInPandas(run, "item string, pattern string")
     return written(made.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("ids")), "patterns")
 
@@ -180,7 +179,10 @@ def joined(docs: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
     places = hits.groupBy("key").agg(F.collect_list(F.struct("at", "n")).alias("p"))
     ids = hits.select("key", "g").distinct().join(known.select("g", F.explode("ids").alias("item")), "g")
     ids = ids.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("__items"))
-    found = places.join(ids, "key").select(F.col("key").alias("__key"), F.col("p.at").alias("__at"), F.col("p.n").alias("__n"), "__items")
+    own_key, key, at, n, items = (unused(docs, f"__{c}") for c in ("own_key", "key", "at", "n", "items"))
+    found = places.join(ids, "key", "left").select(
+        F.col("key").alias(key), F.col("p.at").alias(at), F.col("p.n").alias(n), F.coalesce("__items", F.array()).alias(items)
+    )
     found = written(found, "found")
 
     @F.pandas_udf(RESULT)
@@ -194,11 +196,8 @@ def joined(docs: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
             rows.append((count, hit, list(own), [{"start": x, "end": y} for x, y in spans]))
         return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    key = F.md5(text_of(docs).cast("binary"))
-    out = docs.withColumn("__own_key", key).join(found, F.col("__own_key") == F.col("__key"), "left")
-    return out.withColumn(column, finish.asNondeterministic()("text", "__at", "__n", "__items")).drop(
-        "__own_key", "__key", "__at", "__n", "__items"
-    )
+    out = docs.withColumn(own_key, F.md5(text_of(docs).cast("binary"))).join(found, F.col(own_key) == F.col(key), "left")
+    return out.withColumn(column, finish.asNondeterministic()("text", at, n, items)).drop(own_key, key, at, n, items)
 
 
 def contaminated(found: Column, percent: int = 5) -> Column:
