@@ -81,7 +81,7 @@ def test_bounded_sample(spark, tables):
 
 def test_votes_are_those_of_all_cosines():
     rng = np.random.default_rng(1)
-    model = quality.Model(None, None, quality.unit(rng.normal(size=(50, 8)).astype("f4")), rng.integers(0, 2, 50).astype("f4"))
+    model = quality.Model(None, None, quality.unit(rng.normal(size=(50, 8)).astype("f4")), rng.integers(0, 2, 50).astype("f4"), np.arange(50))
     x = quality.unit(rng.normal(size=(20, 8)).astype("f4"))
     x[3] = 0
     got = quality.votes(model, x, 5, 2)
@@ -92,6 +92,22 @@ def test_votes_are_those_of_all_cosines():
         assert abs(got[k] - wanted) < 1e-4
 
 
+def test_ties_go_to_the_earlier_labelled_rows():
+    rng = np.random.default_rng(2)
+    vectors = quality.unit(rng.normal(size=(21, 8)).astype("f4"))
+    of = np.array([0] * 40 + list(range(1, 21)))
+    rng.shuffle(of)
+    model = quality.Model(None, None, vectors, rng.integers(0, 2, 60).astype("f4"), of)
+    x = quality.unit(rng.normal(size=(200, 8)).astype("f4"))
+    got = quality.votes(model, x, 25, 1)
+    similar = (x @ vectors.T)[:, of]
+    for k in range(200):
+        nearest = sorted(range(60), key=lambda j: (-similar[k, j], j))[:25]
+        weight = np.clip(similar[k, nearest], 0, 1)
+        wanted = (weight * model.labels[nearest]).sum() / weight.sum() if weight.sum() > 1e-9 else 0.0
+        assert abs(got[k] - wanted) < 1e-5
+
+
 def test_good_documents_keep_their_columns(spark, tables):
     docs, labels, _ = tables
     out = quality.good_documents(docs, labels)

@@ -82,8 +82,9 @@ def term_shares(text: str, known: dict[str, tuple[int, int]]) -> tuple[np.ndarra
 class Model:
     idf: np.ndarray  # TERMS
     projection: np.ndarray  # TERMS x dimensions
-    vectors: np.ndarray  # labelled rows x dimensions, of length 1
-    labels: np.ndarray
+    vectors: np.ndarray  # distinct labelled texts x dimensions, of length 1
+    labels: np.ndarray  # of the labelled rows
+    of: np.ndarray  # the vector of each labelled row
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -114,14 +115,24 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LAB
     matrix = unit(matrix * idf)
     values, vectors = np.linalg.eigh((matrix.T @ matrix).astype(np.float64))  # right singular vectors of the sample
     projection = np.ascontiguousarray(vectors[:, ::-1][:, : min(dimensions, len(rows))]).astype(np.float32)
-    return Model(idf, projection, unit(matrix @ projection), np.array([r[1] for r in rows], np.float32))
+    # rows with the same text share a vector, so that their similarities are equal to the last bit
+    places: dict[tuple, int] = {}
+    of = np.array([places.setdefault((tuple(at), tuple(share)), len(places)) for _, _, at, share in rows])
+    firsts = np.unique(of, return_index=True)[1]
+    return Model(idf, projection, unit(matrix[firsts] @ projection), np.array([r[1] for r in rows], np.float32), of)
 
 
 def votes(model: Model, vectors: np.ndarray, neighbours: int, power: int) -> np.ndarray:
     """Share of label 1 among the nearest, by similarity; 0 where nothing is similar."""
-    similar = vectors @ model.vectors.T
+    similar = (vectors @ model.vectors.T)[:, model.of]
     k = min(neighbours, similar.shape[1])
     nearest = np.argpartition(-similar, k - 1, axis=1)[:, :k]
+    # of rows that are as similar as the last one chosen, the earlier ones
+    last = np.take_along_axis(similar, nearest, axis=1).min(axis=1, keepdims=True)
+    above, even = similar > last, similar == last
+    for row in np.flatnonzero((above | even).sum(axis=1) > k):
+        chosen = np.flatnonzero(above[row])
+        nearest[row] = np.concatenate([chosen, np.flatnonzero(even[row])[: k - len(chosen)]])
     weight = np.clip(np.take_along_axis(similar, nearest, axis=1), 0, 1) ** power
     total = weight.sum(axis=1)
     return np.divide((weight * model.labels[nearest]).sum(axis=1), total, out=np.zeros_like(total), where=total > 1e-9)
