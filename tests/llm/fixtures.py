@@ -33,6 +33,11 @@ def rows(seed=1, n=60):
 
 
 EXTRA = ["score", "size", "key", "n", "shard", "__size", "__quality", "component_id", "taken", "pii", "block", "end", "d", "kept"]
+# Names that operators use inside.
+EXTRA += [f"__{n}" for n in (
+    "empty", "text_hash", "id", "hash", "c0", "d", "h", "kept", "u", "key", "own_key", "at", "n", "items", "bits", "own",
+    "fine0", "leaf0", "shard_bytes0", "tree", "contamination", "times", "copy", "0", "toxic",
+)]
 
 
 def documents(spark, own=None, extra=True):

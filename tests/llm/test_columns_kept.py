@@ -1,0 +1,41 @@
+"""Columns of the input, whatever their names, come out as they went in."""
+
+import pytest
+from fixtures import EXTRA, documents, rows
+from pyspark.sql import functions as F
+
+from wattline.llm import contamination, lines, merkle, mixing, neardup, pii, quality, sharding
+
+
+def benchmark(spark):
+    return spark.createDataFrame([(1, rows()[7][1]), (None, "w1 w2")], "item_id long, text string")
+
+
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+
+
+OPERATORS = {
+    "near_unique": lambda s, d: neardup.near_unique(d),
+    "without_similar_lines": lambda s, d: lines.without_similar_lines(d),
+    "with_contamination": lambda s, d: contamination.with_contamination(d, benchmark(s), "found"),
+    "joined contamination": lambda s, d: contamination.with_contamination(d, benchmark(s), "found", block_bytes=1),
+    "decontaminate": lambda s, d: contamination.decontaminate(d, benchmark(s)),
+    "mixed": lambda s, d: mixing.mixed(d),
+    "with_shards": lambda s, d: sharding.with_shards(d, 2000),
+    "with_fingerprint": lambda s, d: merkle.with_fingerprint(d, "text", "fingerprint"),
+    "redacted": lambda s, d: pii.redacted(d, pii.train(d)),
+    "good_documents": lambda s, d: quality.good_documents(d, labels(s)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_values_are_kept(spark, name):
+    docs = documents(spark)
+    out = OPERATORS[name](spark, docs)
+    added = [c for c in out.columns if c not in docs.columns]
+    changed = {"shard"} if name == "with_shards" else set()
+    assert [c for c in out.columns if c not in added and c not in changed] == [c for c in docs.columns if c not in changed]
+    wrong = [F.count_if(~F.col(f"`{c}`").eqNullSafe(F.lit(f"extra {c}"))).alias(c) for c in EXTRA if c not in changed]
+    found = out.agg(F.count(F.lit(1)).alias("all rows"), *wrong).first().asDict()
+    assert found.pop("all rows") > 0 and set(found.values()) == {0}

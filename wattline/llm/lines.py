@@ -237,12 +237,14 @@ def with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 def without_similar_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs` with the removed lines taken out of the texts; null texts stay null."""
-    own = keyed(docs)
+    names = {c: c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(docs.columns)}
+    own = keyed(docs.toDF(*names.values()))
     stays = F.filter(
         F.split("text", "\n"),
         lambda line, n: ~line.rlike(r"[^\x20\x09-\x0D]") | F.array_contains("__kept", n),
     )
-    return with_kept(own, kept_of(own, percent)).withColumn("text", F.array_join(stays, "\n")).select(*docs.columns)
+    found = with_kept(own, kept_of(own, percent)).withColumn("text", F.array_join(stays, "\n"))
+    return found.select(*names.values()).toDF(*names)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattline.llm.common import sent_whole, text_of, written
+from wattline.llm.common import sent_whole, text_of, unused, written
 
 PIECE = r"[^.!?]{1,64}[.!?]*|[.!?]+"
 BLOCK_BITS = 10
@@ -71,7 +71,8 @@ def fingerprint(tree: Column) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text: str, column: str) -> DataFrame:
-    return df.withColumn("__tree", pieces(F.col(text))).withColumn(column, fingerprint(F.col("__tree"))).drop("__tree")
+    own = unused(df, "__tree")
+    return df.withColumn(own, pieces(F.col(text))).withColumn(column, fingerprint(F.col(own))).drop(own)
 
 
 def piece_set(print_: Column) -> Column:

@@ -380,8 +380,11 @@ def near_unique(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     )
     stay = least.select(F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    own = docs.withColumn("__empty", text_of(docs).rlike(r"^[\x20\x09-\x0D]*\z")).withColumn("__text_hash", F.xxhash64(text_of(docs)))
-    own = own.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], "__empty", "__text_hash")
+    own = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+        text_of(docs).rlike(r"^[\x20\x09-\x0D]*\z").alias("__empty"),
+        F.xxhash64(text_of(docs)).alias("__text_hash"),
+    )
     kept = (
         own.where("not __empty")
         .join(stay, F.col(names["doc_id"]).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))

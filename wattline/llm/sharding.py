@@ -65,13 +65,21 @@ def leaves(keys: DataFrame, start: int, depth: int, limit: int) -> DataFrame:
     return fine.select("fine").join(found, "fine", "left").select("fine", "found.*")
 
 
+ADDED = ["n_bytes", "shard", "depth", "shard_bytes", "shard_rows"]
+
+
 def with_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """`docs` with n_bytes (UTF-8), shard (bits as text), depth, shard_bytes, shard_rows."""
-    added = ["n_bytes", "shard", "depth", "shard_bytes", "shard_rows"]
-    rest = docs.drop(*added)
+    kept = [c for c in docs.columns if c not in ADDED]
+    names = {c: c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(kept)}
+    out = _with_shards(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), limit_bytes)
+    return out.select(*names.values(), *ADDED).toDF(*names, *ADDED)
+
+
+def _with_shards(rest: DataFrame, limit_bytes: int) -> DataFrame:
     keyed = rest.withColumn("n_bytes", F.octet_length(text_of(rest)).cast("long")).withColumn("__bits", hash_bits(F.col("doc_id")))
     keys = written(
-        keyed.select(F.col("__bits").alias("bits"), "n_bytes").withColumn("own", F.xxhash64(F.monotonically_increasing_id())),
+        keyed.select(F.col("__bits").alias("bits"), "n_bytes"),
         "shard-keys",
     )
     total = keys.agg(F.sum("n_bytes")).first()[0] or 0
