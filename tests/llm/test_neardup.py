@@ -1,8 +1,10 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
-from fixtures import documents, empty, plain, rows
+from fixtures import documents, empty, plain, plan_of, rows
+from pyspark.sql import functions as F
 
 from wattline.llm import neardup
 from wattline.llm.components import components
@@ -70,6 +72,56 @@ def test_large_groups_and_crowded_regions(spark, monkeypatch, members, weight):
     assert got == sorted(brute_force(table, 3, 85), key=repr)
 
 
+@pytest.mark.parametrize("most", [2, 5, 40, 1000])
+def test_regions_are_cut_at_the_shortest_common_prefixes(most):
+    rng = np.random.default_rng(most)
+    values = rng.integers(0, 2, (300, neardup.REACH))
+    values = values[np.lexsort(values.T[::-1])]
+    common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
+    n = rng.integers(1, 9, 300)
+    blocks = neardup._cut(common, n, most, 100)
+    assert all(b - a > 1 and b - a <= most and n[a:b].sum() <= 100 for a, b, _ in blocks)
+    assert all(x[1] <= y[0] for x, y in zip(blocks, blocks[1:]))
+    for a, b, depth in blocks:
+        assert depth == common[a : b - 1].min()
+        if depth < neardup.REACH:  # no deeper than needed: with the neighbour it would not fit, or they share less
+            for x, y, edge in ((a - 1, b, a - 1), (a, b + 1, b - 1)):
+                if 0 <= x and y <= 300 and common[edge] >= depth:
+                    whole = [x, y]
+                    while whole[0] > 0 and common[whole[0] - 1] >= depth:
+                        whole[0] -= 1
+                    while whole[1] < 300 and common[whole[1] - 1] >= depth:
+                        whole[1] += 1
+                    assert whole[1] - whole[0] > most or n[whole[0] : whole[1]].sum() > 100
+
+
+def test_blocks_are_runs_of_sorted_orders_with_depths_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "MOST_MEMBERS", 10)
+    forest = Forest(3, 85)
+    found = neardup.summaries(documents(spark, chain(60, 1) + rows(), extra=False), forest)
+    classes = found.where("key is not null").dropDuplicates(["key"]).cache()
+    _, members = neardup._region_members(classes, forest)
+    crowded = F.col("members") > 10
+    blocks = neardup._ordered_blocks(members, classes, crowded)
+    plan = plan_of(blocks)
+    assert "rangepartitioning(tree" in plan and "Sort [tree" in plan
+    signatures = {bytes(r.key): bytes(r.signature) for r in classes.collect() if r.signature}
+    stretches, depths = defaultdict(list), {}
+    for r in blocks.collect():
+        at = r.tree * 4 * neardup.REACH
+        stretches[r.tree, r.block].append(signatures[bytes(r.key)][at : at + 4 * neardup.REACH])
+        depths[r.tree, r.block] = r.depth
+    for key, own in stretches.items():
+        shared = next((i for i in range(neardup.REACH) if len({x[4 * i : 4 * i + 4] for x in own}) > 1), neardup.REACH)
+        assert 2 <= len(own) <= 10 and shared == depths[key] >= neardup.DEPTH
+    assert len(set(depths.values())) > 2
+    order = sorted((t, min(own), max(own)) for (t, _), own in stretches.items())
+    assert all(a[0] != b[0] or a[2] <= b[1] for a, b in zip(order, order[1:]))  # runs of the order
+    whole = {(r.tree, bytes(r.prefix)): r["count"] for r in members.where(~crowded).groupBy("tree", "prefix").count().collect()}
+    for (tree, prefix), size in whole.items():
+        assert any(t == tree and own[0].startswith(prefix) and len(own) == size for (t, _), own in stretches.items())
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs with a similarity of exactly 0.85: 170 shingles of 200."""
     rng = random.Random(11)

@@ -1,14 +1,18 @@
-"""Near duplicates by MinHash and fixed bands of the signature.
+"""Near duplicates by MinHash and an LSH forest.
 
 A document's set is its distinct shingles of consecutive words (lower-cased A-Z, split at ASCII blanks).
 Documents with equal sets are one class. Each class has a MinHash signature, and each tree of the
-forest has its own stretch of `REACH` values of it. Classes that share a tree's first `DEPTH` values form a
-region: a band of fixed width, found by grouping. Nothing is sorted, no neighbours are taken by longest
-common prefix, and no region has a depth of its own. All pairs of a region are candidates, unless an
-earlier tree has them too. Depth only orders the comparisons: a region with too many members is first
-taken apart by longer common prefixes (up to `REACH` values), and what these have not joined is then
-compared in blocks, so every pair of a region is covered at any size. The price is work that grows with
-the square of a large region's members that hang together with none.
+forest has its own stretch of `REACH` values of it. A tree is a sorted order: its stretches are sorted
+over all tasks, so the classes that share the longest prefix with a class stand next to it. Neighbours with
+at least `DEPTH` values in common form a region. Each region is cut into blocks of a depth of its own: as a
+whole where it is small, else at the shortest common prefixes between neighbours, deeper and deeper, until a
+block fits in a task. Members of a block are candidates of each other.
+
+The first orders, and every order's crowded regions, are compared that way. Then every region of any
+order whose members hang together with different components is looked at again: all its pairs of different
+components are covered, at any size of the region (a crowded one is dealt to blocks that together have all of
+them), unless an earlier tree has them too. So depth decides what is compared first, and loses nothing. The
+price is work that grows with the square of a large region's members that hang together with none.
 
 Candidates whose lengths and signatures leave a link possible are confirmed on the full sets, best
 estimates first, and only where they would join two components: a task returns the components of its
@@ -42,7 +46,8 @@ from wattline.llm.components import components
 
 DEPTH, REACH = 3, 8  # values of a tree that a region shares, and that a tree has
 MISS = 1e-6
-FIRST_TREES = 4  # trees whose regions are compared before the others
+FIRST_TREES = 4  # orders whose regions are all compared before the others
+ORDER_ROWS = 250_000  # rows of an order that a task sorts
 MOST_MEMBERS, MOST_SHINGLES = 4096, 4_000_000  # of one block
 WORDS, PERCENT = 5, 80
 
@@ -255,23 +260,73 @@ def _stars(parts: list[pd.DataFrame], forest: Forest, known: dict) -> Iterator[p
     yield pd.DataFrame(out, columns=["a", "b"])
 
 
-def _crowded(crowded: DataFrame, signed: DataFrame) -> DataFrame:
-    """Members of crowded regions under the shortest longer prefix that is not crowded."""
-    deeper = (
-        crowded.select("key", "tree")
-        .join(signed.select("key", "n", "signature"), "key")
-        .withColumn("depth", F.explode(F.sequence(F.lit(DEPTH + 1), F.lit(REACH))))
-        .withColumn("sub", F.call_function("substring", F.col("signature"), F.col("tree") * (4 * REACH) + 1, F.col("depth") * 4))
-        .select("key", "n", "tree", "depth", "sub")
-    )
-    sizes = deeper.groupBy("tree", "depth", "sub").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
-    fits = sizes.where((F.col("m") <= MOST_MEMBERS) & (F.col("w") <= MOST_SHINGLES))
-    return (
-        deeper.join(fits, ["tree", "depth", "sub"])
-        .groupBy("key", "tree")
-        .agg(F.min(F.struct("depth", "sub")).alias("s"))
-        .select("key", "tree", F.xxhash64(F.lit("deep"), "tree", "s.depth", "s.sub").alias("block"))
-    )
+def _cut(common: np.ndarray, n: np.ndarray, members: int, shingles: int) -> list[tuple[int, int, int]]:
+    """(begin, end, depth) of the blocks of a region in sorted order; a block's members share `depth` values.
+
+    common: values that each member shares with the next. Blocks of one member are left out.
+    """
+    weight = np.concatenate(([0], np.cumsum(n)))
+    blocks, open_ = [], [(0, len(n))]
+    while open_:
+        begin, end = open_.pop()
+        inner = common[begin : end - 1]
+        if end - begin < 2:
+            continue
+        if end - begin <= members and weight[end] - weight[begin] <= shingles:
+            blocks.append((begin, end, int(inner.min())))
+        elif inner.min() < REACH:
+            edges = [begin, *(begin + 1 + np.flatnonzero(inner == inner.min())).tolist(), end]
+            open_ += list(zip(edges, edges[1:]))
+        else:  # equal stretches: as many as fit, one after the other
+            while begin < end:
+                fit = int(np.searchsorted(weight, weight[begin] + shingles, side="right")) - 1
+                stop = min(end, begin + members, max(fit, begin + 1))
+                if stop - begin > 1:
+                    blocks.append((begin, stop, REACH))
+                begin = stop
+    return sorted(blocks)
+
+
+def _ordered_blocks(members: DataFrame, signed: DataFrame, crowded) -> DataFrame:
+    """key, tree, block, depth: the members of regions, sorted by their stretches and cut into blocks.
+
+    A small region's rows have the same range key, so they meet in one task; a crowded one may lie in
+    several, by its order.
+    """
+    most = (MOST_MEMBERS, MOST_SHINGLES)
+    stretch = F.call_function("substring", F.col("signature"), F.col("tree") * (4 * REACH) + 1, F.lit(4 * REACH))
+    rows = members.withColumn("large", crowded).join(signed.select("key", "n", "signature"), "key")
+    rows = rows.select("key", "n", "tree", "prefix", "large", stretch.alias("stretch"))
+    tasks = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(members.count() / ORDER_ROWS))
+    ranges = ["tree", "prefix", *[F.when(F.col("large"), F.col(c)) for c in ("stretch", "key")]]
+    order = rows.repartitionByRange(tasks, *ranges).sortWithinPartitions("tree", "stretch", "key")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def blocks():
+            region = pd.concat(held)
+            values = np.frombuffer(b"".join(region["stretch"]), ">u4").reshape(-1, REACH)
+            common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
+            keys, tree = region["key"].tolist(), int(region["tree"].iloc[0])
+            out = [(k, tree, keys[a], depth) for a, b, depth in _cut(common, region["n"].values, *most) for k in keys[a:b]]
+            return pd.DataFrame(out, columns=["key", "tree", "head", "depth"])
+
+        for frame in frames:
+            other = (frame["tree"].values[1:] != frame["tree"].values[:-1]) | (frame["prefix"].values[1:] != frame["prefix"].values[:-1])
+            edges = [0, *(np.flatnonzero(other) + 1).tolist(), len(frame)]
+            for begin, end in zip(edges, edges[1:]):
+                part = frame.iloc[begin:end]
+                if held and (held[-1]["tree"].iloc[0] != part["tree"].iloc[0] or held[-1]["prefix"].iloc[0] != part["prefix"].iloc[0]):
+                    yield blocks()
+                    held.clear()
+                if len(part):
+                    held.append(part)
+        if held:
+            yield blocks()
+
+    found = order.drop("large").mapInPandas(run, "key binary, tree int, head binary, depth int")
+    return found.select("key", "tree", F.xxhash64(F.lit("order"), "tree", "head").alias("block"), "depth")
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -330,12 +385,9 @@ def near_components(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     texts = written(texts.join(needed.select("key", "n", "signature"), "key"), "texts")
 
     crowded = (F.col("members") > MOST_MEMBERS) | (F.col("weight") > MOST_SHINGLES)
-    calm = members.where(~crowded)
     block = F.xxhash64("tree", "prefix")
-    first = calm.where(F.col("tree") < FIRST_TREES).select("key", "tree", block.alias("block"))
     some_crowded = not regions.where(crowded).isEmpty()
-    if some_crowded:
-        first = first.unionByName(_crowded(members.where(crowded), texts))
+    first = _ordered_blocks(members.where(crowded | (F.col("tree") < FIRST_TREES)), texts, crowded).drop("depth")
     links = written(_links(first.withColumn("component", F.col("key")).join(texts, "key"), forest), "links")
     labels = written(components(links), "components")
 
@@ -397,3 +449,23 @@ def report(docs: DataFrame) -> DataFrame:
     found = near_components(docs.select("doc_id", "text"), Forest(words=3, percent=85))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+REPORT_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM t AS a JOIN t AS b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id, doc_id AS reached FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""

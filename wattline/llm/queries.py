@@ -63,7 +63,7 @@ def registered():
     return {
         "op1_mixing": (op1_mixing, mixing.REPORT_SQL),
         "op2_quality": (op2_quality, None),
-        "op3_near_duplicates": (op3_near_duplicates, None),
+        "op3_near_duplicates": (op3_near_duplicates, neardup.REPORT_SQL),
         "op4_toxicity": (op4_toxicity, None),
         "op5_chat": (op5_chat, chat.REPORT_SQL),
         "op6_pii": (op6_pii, None),
