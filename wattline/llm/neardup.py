@@ -48,6 +48,7 @@ DEPTH, REACH = 3, 8  # values of a tree that a region shares, and that a tree ha
 MISS = 1e-6
 FIRST_TREES = 4  # orders whose regions are all compared before the others
 ORDER_ROWS = 250_000  # rows of an order that a task sorts
+FRAME_ROWS = 20_000
 MOST_MEMBERS, MOST_SHINGLES = 4096, 4_000_000  # of one block
 WORDS, PERCENT = 5, 80
 
@@ -302,28 +303,36 @@ def _ordered_blocks(members: DataFrame, signed: DataFrame, crowded) -> DataFrame
     order = rows.repartitionByRange(tasks, *ranges).sortWithinPartitions("tree", "stretch", "key")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-
-        def blocks():
-            region = pd.concat(held)
-            values = np.frombuffer(b"".join(region["stretch"]), ">u4").reshape(-1, REACH)
-            common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
-            keys, tree = region["key"].tolist(), int(region["tree"].iloc[0])
-            out = [(k, tree, keys[a], depth) for a, b, depth in _cut(common, region["n"].values, *most) for k in keys[a:b]]
-            return pd.DataFrame(out, columns=["key", "tree", "head", "depth"])
+        names = ["key", "n", "stretch"]
+        held: dict[str, list] = {c: [] for c in names}
+        out: list[tuple] = []
+        region = None
+
+        def finish():
+            keys = held["key"]
+            if len(keys) > 1:
+                values = np.frombuffer(b"".join(held["stretch"]), ">u4").reshape(-1, REACH)
+                common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
+                for a, b, depth in _cut(common, np.array(held["n"]), *most):
+                    out.extend((k, region[0], keys[a], depth) for k in keys[a:b])
+            for own in held.values():
+                own.clear()
 
         for frame in frames:
-            other = (frame["tree"].values[1:] != frame["tree"].values[:-1]) | (frame["prefix"].values[1:] != frame["prefix"].values[:-1])
-            edges = [0, *(np.flatnonzero(other) + 1).tolist(), len(frame)]
-            for begin, end in zip(edges, edges[1:]):
-                part = frame.iloc[begin:end]
-                if held and (held[-1]["tree"].iloc[0] != part["tree"].iloc[0] or held[-1]["prefix"].iloc[0] != part["prefix"].iloc[0]):
-                    yield blocks()
-                    held.clear()
-                if len(part):
-                    held.append(part)
-        if held:
-            yield blocks()
+            regions = list(zip(frame["tree"].tolist(), frame["prefix"].tolist()))
+            edges = [i for i in range(len(regions)) if i == 0 or regions[i] != regions[i - 1]]
+            columns = [frame[c].tolist() for c in names]
+            for begin, end in zip(edges, [*edges[1:], len(regions)]):
+                if regions[begin] != region:
+                    finish()
+                    region = regions[begin]
+                for own, values in zip(held.values(), columns):
+                    own.extend(values[begin:end])
+            if len(out) > FRAME_ROWS:
+                yield pd.DataFrame(out, columns=["key", "tree", "head", "depth"])
+                out.clear()
+        finish()
+        yield pd.DataFrame(out, columns=["key", "tree", "head", "depth"])
 
     found = order.drop("large").mapInPandas(run, "key binary, tree int, head binary, depth int")
     return found.select("key", "tree", F.xxhash64(F.lit("order"), "tree", "head").alias("block"), "depth")
