@@ -54,9 +54,14 @@ def write_gold(df: DataFrame, base: str) -> None:
 
 
 def write_states(df: DataFrame, base: str) -> None:
-    """Write the states behind the figures by date; the dates that occur in `df` are replaced whole."""
+    """Write the states behind the figures by date; the dates that occur in `df` are replaced whole.
+
+    One file per date; dates are dealt out to tasks as in `write_gold`.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        gathered(df.select(*schema.names(schema.STATES)), "event_date")
+        df.select(*schema.names(schema.STATES))
+        .repartition(tasks, "event_date")
         .write.mode("overwrite")
         .options(**_writer_options(None))
         .partitionBy("event_date")
