@@ -100,6 +100,26 @@ def test_mixed_makes_all_copies_that_the_mix_takes(spark, most):
     assert found == wanted and max(wanted.values()) >= most
 
 
+def test_rows_without_an_id_and_copies_make_no_large_group(spark):
+    own = [(None, f"text {i}", "en", "a", 0) for i in range(2000)]
+    own += [(7, "the same row", "en", "a", 0)] * 2000 + [(i, f"own {i}", "en", "a", 0) for i in range(2000)]
+    sizes = mixing.numbered(mixing.document_sizes(documents(spark, own)), "key", "nth")
+    assert sizes.select("key", "nth").distinct().count() == len(own)
+    sources = mixing.source_targets(sizes)
+    largest = mixing.in_source_order(sizes, sources, 0).groupBy("rank", "bucket").count().agg({"count": "max"}).first()[0]
+    assert largest <= 3 * len(own) ** 0.5
+    assert mixing.mixed(documents(spark, own), share=1.0, most=1).count() == len(own)
+
+
+def test_sql_counterpart_on_hostile_rows(spark):
+    import duckdb
+
+    own = duckdb.connect()
+    own.register("documents", documents(spark, extra=False).toArrow())
+    wanted = own.sql(mixing.REPORT_SQL).fetchall()
+    assert sorted(wanted, key=repr) == plain(mixing.report(documents(spark)))
+
+
 def test_no_python_in_the_plan(spark):
     plan = plan_of(mixing.report(documents(spark)))
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattline.session import drop_dir, fresh_dir
@@ -79,6 +80,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows_per_la
     )
 
 
+def numbered(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """`rows` with `column`: a row's number, from 0, among the rows of its `key`.
+
+    Only rows whose key repeats are written and numbered: within stretches of 1024 of the written rows,
+    after the key's rows in the stretches before. So a key with a third of all rows is many small groups.
+    """
+    again = written(rows.groupBy(key).count().where("count > 1").select(key), "again")
+    n_again = again.count()
+    if not n_again:
+        return rows.withColumn(column, F.lit(0).cast("long"))
+    few = sent_whole(again, n_again, 64)
+    at, earlier = unused(rows, "__stretch"), unused(rows, "__earlier")
+    repeats = rows.join(few, key, "left_semi").withColumn(column, F.monotonically_increasing_id())
+    repeats = written(repeats, "repeats").withColumn(at, F.call_function("shiftright", column, F.lit(10)))
+    before = W.partitionBy(key).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
+    stretches = repeats.groupBy(key, at).agg(F.count(F.lit(1)).alias(earlier))
+    stretches = stretches.withColumn(earlier, F.coalesce(F.sum(earlier).over(before), F.lit(0)))
+    within = F.row_number().over(W.partitionBy(key, at).orderBy(column)) - 1
+    placed = repeats.withColumn(column, within).join(stretches, [key, at])
+    placed = placed.withColumn(column, F.col(column) + F.col(earlier)).select(*rows.columns, column)
+    return rows.join(few, key, "left_anti").withColumn(column, F.lit(0).cast("long")).unionByName(placed)
+
+
 def sent_whole(small: DataFrame, rows: int, row_bytes: int, most_bytes: int = 32 * 1024 * 1024) -> DataFrame:
     """`small` marked for broadcast if `rows` of `row_bytes` fit in `most_bytes`; else as it is, for a shuffled join."""
     return F.broadcast(small) if rows * row_bytes <= most_bytes else small

@@ -1,14 +1,15 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame operations only.
 
-Each source serves its documents in a shuffled order (md5 of seed and id), again from the start for a
-second epoch, at a rate proportional to its target. A document longer than `piece_words` is served in
+Each source serves its documents in a shuffled order (md5 of the seed and the row's source, id, text and
+number among equal rows), again from the start for a second epoch, at a rate proportional to its target. A document longer than `piece_words` is served in
 pieces. A piece has a virtual finish time, the words its source has served by then divided by the
 source's target; all pieces of all sources are sorted by finish time and cut where the words reach the
 budget. So every source ends within about one piece of its target, whatever its size.
 
 How it stays distributed: only ids and sizes travel. A running sum over a source is a sum within
 buckets of the shuffled order plus the sums of the buckets before; a source with n rows has about
-sqrt(n) buckets of sqrt(n) rows, so a source with a third of all rows is many small groups. The global
+sqrt(n) buckets of sqrt(n) rows, so a source with a third of all rows is many small groups, also where rows
+share an id, have none, or are copies. The global
 sort works alike over ranges of finish time, which hold about equally many words by construction.
 
 Defined cases: a null text has size 0; a document without words is never taken; null is a source of
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattline.llm.common import text_of, word_count, written
+from wattline.llm.common import numbered, text_of, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # words of the mix, as a multiple of all words
@@ -68,8 +69,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     )
 
 
+def row_key(source: Column, doc_id: Column, text: Column) -> Column:
+    """One key for rows of equal source, id and text."""
+    return F.md5(
+        F.concat(
+            F.coalesce(F.md5(source.cast("binary")), F.lit("null")), F.lit(":"),
+            F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"),
+            F.md5(text.cast("binary")),
+        ).cast("binary")
+    )
+
+
 def document_sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(text_of(docs)).alias("size"))
+    text = text_of(docs)
+    return docs.select("doc_id", "source", word_count(text).alias("size"), row_key(docs["source"], docs["doc_id"], text).alias("key"))
 
 
 def bucketed(hex_digest: Column, n: Column) -> Column:
@@ -78,8 +91,8 @@ def bucketed(hex_digest: Column, n: Column) -> Column:
 
 
 def in_source_order(sizes: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
-    """Every document with the words that its source serves before it in one epoch, and a key of its row."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
+    """Every document with the words that its source serves before it in one epoch."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), "key", F.col("nth").cast("string")).cast("binary"))
     placed = (
         sizes.alias("d")
         .join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
@@ -89,10 +102,9 @@ def in_source_order(sizes: DataFrame, sources: DataFrame, seed: int) -> DataFram
     )
     buckets = placed.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
     buckets = buckets.select("rank", "bucket", before("words", W.partitionBy("rank").orderBy("bucket")).alias("earlier"))
-    order = W.partitionBy("rank", "bucket").orderBy("digest", "doc_id", "size")
+    order = W.partitionBy("rank", "bucket").orderBy("digest")
     return (
-        placed.withColumn("row", F.row_number().over(order))
-        .withColumn("within", before("size", order))
+        placed.withColumn("within", before("size", order))
         .join(buckets, ["rank", "bucket"])
         .withColumn("served", F.col("earlier") + F.col("within"))
     )
@@ -109,9 +121,10 @@ def schedule(
     """The pieces in the order of the mix: doc_id, source, size, source_size, target, epoch, first_word,
     words, finish, position (words of the mix before the piece), taken (words of it that the mix takes).
 
-    Documents without words have one row with null epoch. `rank`, `bucket`, `row` name the input row.
+    Documents without words have one row with null epoch. `key` and `nth`, its
+    number among the rows of that key, name the input row.
     """
-    sizes = written(document_sizes(docs), "mix-sizes")
+    sizes = written(numbered(written(document_sizes(docs), "mix-sizes"), "key", "nth"), "mix-rows")
     sources = written(source_targets(sizes, weights, share, most), "mix-sources")
     ordered = in_source_order(sizes, sources, seed)
     pieces = F.ceil(F.col("size") / piece_words)
@@ -126,7 +139,7 @@ def schedule(
             / F.when(F.col("target") > 0, F.col("target")),
         )
         .select(
-            "rank", "bucket", "row", "digest", "doc_id", "source", "size", "source_size", "target",
+            "rank", "key", "nth", "digest", "doc_id", "source", "size", "source_size", "target",
             "epoch", "first_word", "words", "finish",
         )
     )
@@ -137,7 +150,7 @@ def schedule(
     sums = sums.select("range", before("total", W.orderBy("range")).alias("earlier"))  # about sqrt(pieces) rows
     # pieces that are never served would make one group: they are spread by their document's digest
     spread = F.when(F.col("range").isNull(), F.col("digest"))
-    order = W.partitionBy("range", spread).orderBy("finish", "rank", "digest", "doc_id", "row", "epoch", "first_word")
+    order = W.partitionBy("range", spread).orderBy("finish", "rank", "digest", "epoch", "first_word")
     budget = sources.agg(F.floor(F.sum("source_size") * F.lit(float(share)))).first()[0] or 0
     position = F.col("earlier") + F.col("within")
     return (
@@ -149,19 +162,23 @@ def schedule(
     )
 
 
-def mix(docs: DataFrame, **settings) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (repeats counted)."""
+def taken_rows(docs: DataFrame, **settings) -> DataFrame:
+    """`mix` with the key and number of the row."""
     return (
         schedule(docs, **settings)
-        .groupBy("rank", "bucket", "row")
+        .groupBy("key", "nth")
         .agg(
             *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")],
             F.sum("taken").cast("long").alias("taken"),
         )
-        .drop("rank", "bucket", "row")
     )
 
 
+def mix(docs: DataFrame, **settings) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken (repeats counted)."""
+    return taken_rows(docs, **settings).drop("key", "nth")
+
+
 def report(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -169,31 +186,19 @@ def report(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix, a document as often as its taken words are nearest to whole copies.
 
-    Rows that share an id and a size have their copies dealt among them by the text's hash order, so
-    the result has the input's columns and rows only. A null id is an id.
+    Of rows equal in source, id and text, which one gets which number of copies is open; the result has
+    the input's columns and rows only. A null id is an id.
     """
-    taken = mix(docs, **settings).where("taken > 0")
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    copies = (
-        taken.select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), times.alias("times"))
-        .where("times > 0")
-        .groupBy("m_id", "m_source", "m_size")
-        .agg(F.sort_array(F.collect_list("times"), asc=False).alias("m_times"))
-    )
+    copies = taken_rows(docs, **settings).where("taken > 0").select("key", "nth", times.alias("times")).where("times > 0")
+    copies = copies.withColumnsRenamed({c: f"__{c}" for c in copies.columns})
     named = {c: f"__{i}" for i, c in enumerate(docs.columns)}
     own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()])
-    own = own.withColumn("__size", word_count(F.coalesce(F.col(named["text"]), F.lit(""))))
-    joined = own.join(
-        copies,
-        F.col(named["doc_id"]).eqNullSafe(F.col("m_id"))
-        & F.col(named["source"]).eqNullSafe(F.col("m_source"))
-        & (F.col("__size") == F.col("m_size")),
-    )
-    nth = F.row_number().over(W.partitionBy("m_id", "m_source", "m_size").orderBy(F.xxhash64(named["text"])))
+    text = F.coalesce(F.col(named["text"]), F.lit(""))
+    own = own.withColumn("__key", row_key(F.col(named["source"]), F.col(named["doc_id"]), text))
     return (
-        joined.withColumn("__n", nth)
-        .withColumn("__times", F.try_element_at("m_times", F.col("__n")))
-        .where("__times > 0")
+        numbered(own, "__key", "__nth")
+        .join(copies, ["__key", "__nth"])
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
         .select(*[F.col(n).alias(c) for c, n in named.items()])
     )
@@ -202,7 +207,8 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
 REPORT_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS digest
+         md5('0:' || md5(coalesce(md5(source), 'null') || ':' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')))
+             || ':' || (row_number() OVER (PARTITION BY source, doc_id, coalesce(text, '')) - 1)) AS digest
   FROM documents),
 s0 AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
@@ -223,7 +229,7 @@ t AS (
 s AS (SELECT s1.source, s1.rank, s1.source_size, t.target FROM s1 JOIN t USING (rank)),
 o AS (
   SELECT d.*, s.rank, s.source_size, s.target,
-         sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.digest, d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS served
+         sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.digest ROWS UNBOUNDED PRECEDING) - d.size AS served
   FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 p AS (
   SELECT o.*, e.epoch, k.piece * 1000 AS first_word, least(1000, o.size - k.piece * 1000) AS words
@@ -231,9 +237,9 @@ p AS (
 q AS (
   SELECT *, ((epoch * source_size + served + first_word + words)::DOUBLE) / target AS finish FROM p WHERE target > 0),
 r AS (
-  SELECT *, sum(words) OVER (ORDER BY finish, rank, digest, doc_id, epoch, first_word ROWS UNBOUNDED PRECEDING) - words AS position FROM q),
+  SELECT *, sum(words) OVER (ORDER BY finish, rank, digest, epoch, first_word ROWS UNBOUNDED PRECEDING) - words AS position FROM q),
 z AS (
-  SELECT doc_id, sum(greatest(0, least(words, (SELECT floor(sum(source_size) * 1.5) FROM s0) - position)))::BIGINT AS taken
-  FROM r GROUP BY doc_id)
-SELECT o.doc_id, o.size, o.source_size, o.target, coalesce(z.taken, 0) AS taken FROM o LEFT JOIN z ON o.doc_id = z.doc_id
+  SELECT rank, digest, sum(greatest(0, least(words, (SELECT floor(sum(source_size) * 1.5) FROM s0) - position)))::BIGINT AS taken
+  FROM r GROUP BY rank, digest)
+SELECT o.doc_id, o.size, o.source_size, o.target, coalesce(z.taken, 0) AS taken FROM o LEFT JOIN z ON o.rank = z.rank AND o.digest = z.digest
 """
