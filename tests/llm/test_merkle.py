@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from fixtures import documents, empty, plan_of, rows
 from pyspark.sql import functions as F
 
@@ -16,15 +17,20 @@ def tree(text):
 
 
 def fingerprint(text):
-    t = tree(text)
-    root = sha("r" + "".join(sha("s" + "".join(sha("p" + "".join(p)) for p in s)) for s in t))
-    return root[:32] + ":" + "/".join(".".join("".join(x[:8] for x in p) for p in s) for s in t)
+    digests, prints = [], []
+    for section in tree(text):
+        own = [sha("p" + "".join(p)) for p in section]
+        digests.append(sha("s" + "".join(own)))
+        leaves = [d[:16] + "-" + "".join(x[:8] for x in p) for d, p in zip(own, section)]
+        prints.append(digests[-1][:16] + "=" + ".".join(leaves))
+    return sha("r" + "".join(digests))[:32] + ":" + "/".join(prints)
 
 
 def likeness(a, b):
     if a == b:
         return 1.0
-    x, y = (set(re.findall("[0-9a-f]{8}", p[33:])) for p in (a, b))
+    leaves = (re.sub("[0-9a-f]{16}[=-]", "", p[33:]) for p in (a, b))
+    x, y = (set(re.findall("[0-9a-f]{8}", p)) for p in leaves)
     return 2.0 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
 
 
@@ -58,6 +64,34 @@ def test_repeated_and_missing_ids(spark):
     assert lonely.near_next == 1.0
 
 
+def following(table):
+    """Every row with the text after it, by id (null last), the text's hash among rows of an id, first after last."""
+    order = sorted(table, key=lambda r: (r[0] is None, r[0] or 0, r[2], r[1]))
+    return sorted(((r[0], r[1], n[1]) for r, n in zip(order, order[1:] + order[:1])), key=repr)
+
+
+@pytest.mark.parametrize("crowded", ["none", "null ids", "one id", "copies"])
+def test_crowded_ids_are_cut_and_follow_one_another(spark, monkeypatch, crowded):
+    monkeypatch.setattr(merkle, "CELL_ROWS", 8)
+    table = [(i * 300, f"text {i}") for i in range(40)]
+    table += {"none": [], "null ids": [(None, f"n {i}") for i in range(100)], "one id": [(901, f"o {i}") for i in range(100)]}.get(
+        crowded, [(901, "a copy")] * 50 + [(None, None)] * 50 + [(901, "another")]
+    )
+    docs = documents(spark, [(i, t, "", "", 0) for i, t in table])
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit("")))).collect()
+    found = merkle.with_next(docs).collect()
+    assert sorted(((r.doc_id, r.text, r.next_text) for r in found), key=repr) == following([tuple(r) for r in hashed])
+    assert all(r.next_fingerprint == fingerprint(r.next_text) for r in found)
+
+
+def test_the_cells_of_a_crowded_block_are_small(spark):
+    own = documents(spark, [(None, f"n {i}", "", "", 0) for i in range(5000)]).select("doc_id", "text")
+    own = own.withColumn("block", merkle.block_of(F.col("doc_id"))).withColumn("hash", F.xxhash64("text"))
+    crowded = own.select("block", F.lit(True).alias("crowded")).distinct()
+    sizes = merkle.celled(own, crowded, 3).groupBy("cell").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 1000
+
+
 def test_successors_over_several_levels(spark):
     keys = sorted({0, 1, 5, 1023, 1024, 2**20, 2**20 + 1, 2**40, 2**62, -1, -(2**62), *range(3000, 9000, 7)})
     found = merkle.successors(spark.createDataFrame([(k,) for k in keys], "key long"))
