@@ -55,9 +55,18 @@ def pieces(text: Column) -> Column:
 
 
 def inner(kind: str, children: Column, between: str) -> Column:
-    """A node above others, which have a digest and a printed form: struct of digest, print."""
-    digest = node(kind, F.array_join(F.transform(children, lambda c: c["digest"]), ""))
-    return F.struct(digest.alias("digest"), F.array_join(F.transform(children, lambda c: c["print"]), between).alias("print"))
+    """A node above others, which have a digest and a printed form: struct of digest, print.
+
+    The children stand in an array of their own, as they would be made twice otherwise.
+    """
+    made = F.transform(
+        F.array(children),
+        lambda own: F.struct(
+            node(kind, F.array_join(F.transform(own, lambda c: c["digest"]), "")).alias("digest"),
+            F.array_join(F.transform(own, lambda c: c["print"]), between).alias("print"),
+        ),
+    )
+    return F.element_at(made, 1)
 
 
 def headed(nodes: Column, mark: str) -> Column:
@@ -77,8 +86,7 @@ def fingerprint(tree: Column) -> Column:
     def section(s):
         return inner("s", headed(F.transform(s, paragraph), "-"), ".")
 
-    # one tree in an array, so that its node is made once
-    top = F.transform(F.array(tree), lambda t: inner("r", headed(F.transform(t, section), "="), "/"))
+    top = F.array(inner("r", headed(F.transform(tree, section), "="), "/"))
     return F.element_at(F.transform(top, lambda r: F.concat(F.substring(r["digest"], 1, ROOT_DIGITS), F.lit(":"), r["print"])), 1)
 
 
