@@ -100,8 +100,10 @@ def sections_of(print_: Column) -> Column:
 
 
 def piece_set(print_: Column) -> Column:
-    pieces_only = F.regexp_replace(F.substring(print_, ROOT_DIGITS + 2, 2**31 - 1), f"[0-9a-f]{{{INNER_DIGITS}}}[=-]", "")
-    return F.array_distinct(F.regexp_extract_all(pieces_only, F.lit(f"[0-9a-f]{{{PIECE_DIGITS}}}"), F.lit(0)))
+    """The distinct pieces: what stands between a paragraph's `-` and the next `.` or `/`."""
+    after_heads = F.filter(F.split(print_, "-"), lambda x, i: i > 0)
+    pieces_only = F.transform(after_heads, lambda x: F.substring_index(F.substring_index(x, ".", 1), "/", 1))
+    return F.array_distinct(F.regexp_extract_all(F.array_join(pieces_only, ""), F.lit(f"[0-9a-f]{{{PIECE_DIGITS}}}"), F.lit(0)))
 
 
 def likeness(a: Column, b: Column) -> Column:
