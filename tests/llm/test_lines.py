@@ -63,9 +63,9 @@ def test_equals_brute_force(spark, table):
         assert (r.n_lines, r.n_removed) == (counts.get(d, 0), counts.get(d, 0) - len(own))
 
 
-@pytest.mark.parametrize("long", [0, 3, 20])
-def test_long_lists_of_a_word(spark, monkeypatch, long):
-    monkeypatch.setattr(lines, "LONG", long)
+@pytest.mark.parametrize("ends", [1, 3, 200])
+def test_few_or_many_classes_compared_first(spark, monkeypatch, ends):
+    monkeypatch.setattr(lines, "ENDS", ends)
     table = similar_lines(60)
     found = lines.kept_lines(documents(spark, table)).collect()
     assert {r.d: r.kept for r in found} == brute_force(table)

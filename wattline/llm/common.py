@@ -25,11 +25,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options) -> DataFrame:
     """Write a table to the shared work folder and read it: later steps then all see the same rows,
     and a lost executor costs no recomputation."""
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

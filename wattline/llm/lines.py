@@ -5,17 +5,19 @@ place in the text) has a Jaccard similarity of `percent` or more with it. Lines
 one class with its first occurrence; all later lines of a class go, and the first goes if a similar class
 began earlier.
 
+Texts are split once: every line's set is written as the sorted 64-bit hashes of its words, and all that follows
+reads that table. Words are told apart by their hash.
+
 The join: words are ordered by rarity (counts over all lines in 2 ** 16 buckets of word hashes; any order
 is exact, a rare first one is fast). Similar sets share a word among their rarest ones (prefix filter);
 pairs must fit in length, in the places of the shared word (positional filter) and in the bits of a
 64-bit parity of the words: each word that only one set has flips one bit. What is left is verified on
-the whole sets, words being told apart by 56 bits of their hash and their count's class.
+the whole sets.
 
-A class needs one earlier similar class, not all. Classes that share a rare word are found by a join on
-the word; where a word is among the rarest of more than `LONG` classes, as in a large group of near
-copies, first only the two before each class are taken. Candidates that share most rare words are
-verified first, which settles most lines; only classes that this leaves open are compared with further
-candidates, then all of them, and last with all earlier classes of their frequent words.
+A class needs one earlier similar class, not all. So each class is first compared with the earliest class
+that has the same three least or greatest hashes, which settles most lines of large groups of near copies
+without a pair of each two of them. Classes that this leaves open are joined with all earlier classes on
+their rare words; candidates that share most rare words are verified first, then further ones, then all.
 
 Defined cases: lines without words always stay and are not counted; null and empty texts have no lines; rows
 are in order of their id, null last; rows that share an id or have none are documents of their own, in order
@@ -36,14 +38,21 @@ from wattline.llm.common import discard, sent_whole, text_of, written
 PERCENT = 80
 BUCKETS = 2**16
 LAST = 2**63 - 1  # place of null ids
-LONG = 64
 ROUNDS = ((1, 1), (2, 8), (9, 2**31 - 1))  # candidates of a class by number of shared rare words
+ENDS = 3  # least and greatest hashes of a set under which its earliest class is looked up
+DICTIONARY = 8 * 1024 * 1024  # bytes of the distinct hashes of a file, which are then written once
 KEY = ["__d", "__h"]
 ID = ["d", "h", "l"]
 
 
 def words(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
+    """Sorted hashes of a line's distinct words; none if it has no words."""
+    other = F.lit(False)
+    for blank in "\t\x0b\x0c\r":
+        other = other | line.contains(blank)
+    own = F.when(other, F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    hashes = F.transform(F.split(own, " "), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit("")))))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -65,76 +74,78 @@ def lines_of(own: DataFrame) -> DataFrame:
     return own.select("d", "h", F.posexplode(F.split("text", "\n")).alias("l", "line"))
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """For each bucket of word hashes a class of its count over all texts, a fixed 64 KB.
+def sets_of(own: DataFrame) -> DataFrame:
+    """d, h, l, w (sorted hashes of the distinct words) of the lines with words, written once."""
+    lines = lines_of(own).select(*ID, words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    return written(lines, "sets", **{"parquet.dictionary.page.size": DICTIONARY})
+
+
+def bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def rarity(sets: DataFrame) -> list[int]:
+    """For each bucket of word hashes a class of its count over all lines, a fixed number of entries.
 
     Classes 0 to 127 divide the logarithm between the least and the greatest count of a bucket.
     """
-    all_words = docs.select(F.explode(words(F.translate(text_of(docs), "\n", " "))).alias("w"))
-    counts = all_words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).count()
+    counts = sets.select(F.explode("w").alias("x")).groupBy(bucket(F.col("x")).alias("bucket")).count()
     found = counts.collect()  # BUCKETS rows at most
-    out = bytearray(BUCKETS)
+    out = [0] * BUCKETS
     if found:
         least, most = (math.log(f(r["count"] for r in found)) for f in (min, max))
         for r in found:
             out[r["bucket"]] = int(127 * (math.log(r["count"]) - least) / max(most - least, 1e-9))
-    return bytes(out)
-
+    return out
 
-def tokens(line: Column, scales: bytes) -> Column:
-    """Distinct words as numbers, the rarest first: 7 bits of the count's class, then 56 bits of the hash."""
-    low = 2**56 - 1
 
-    def number(h):
-        at = F.pmod(h, F.lit(BUCKETS)).cast("int") + 1
-        scale = F.ascii(F.call_function("substring", F.lit(scales), at, F.lit(1)).cast("string"))
-        return F.call_function("shiftleft", scale.cast("long"), F.lit(56)).bitwiseOR(h.bitwiseAND(F.lit(low)))
+def by_rarity(w: Column, scales: list[int]) -> Column:
+    """The words as numbers, the rarest first: 7 bits of the count's class, then 56 bits of the hash."""
+    low, scale = F.lit(2**56 - 1), F.split(F.lit(",".join(map(str, scales))), ",").cast("array<bigint>")
+    number = lambda h: F.call_function("shiftleft", F.get(scale, bucket(h)), F.lit(56)).bitwiseOR(h.bitwiseAND(low))
+    return F.sort_array(F.transform(w, number))
 
-    hashes = F.transform(words(line), lambda w: F.xxhash64(w))
-    return F.sort_array(F.transform(F.array_distinct(hashes), number))
 
-
-def classes_of(own: DataFrame, scales: bytes, percent: int) -> DataFrame:
-    """Classes of lines with equal sets: d, h, l (first occurrence), n (words), bits, prefix."""
+def classes_of(sets: DataFrame, percent: int) -> DataFrame:
+    """Classes of lines with equal sets: d, h, l (first occurrence), n (words), bits, prefix, ends (two hashes)."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    lines = lines_of(own).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(*ID, tokens(F.col("line"), scales).alias("t"))
-    n = F.size("t")
-    lines = lines.select(
+    n = F.size("w")
+    lines = sets.select(
         *ID, n.alias("n"),
-        F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2"),
-        F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias("bits"),
-        F.slice("t", 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1).alias("prefix"),
+        F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), "w").alias("k2"),
+        F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias("bits"),
+        F.slice(by_rarity(F.col("w"), rarity(sets)), 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1).alias("prefix"),
+        F.array(F.xxhash64(F.slice("w", 1, ENDS)), F.xxhash64(F.slice("w", F.greatest(n - ENDS + 1, F.lit(1)), ENDS), F.lit(1))).alias("ends"),
     )
+    values = ("n", "bits", "prefix", "ends")
     return (
         lines.groupBy("k1", "k2")
-        .agg(F.min(F.struct(*ID)).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        .select("at.*", "n", "bits", "prefix")
+        .agg(F.min(F.struct(*ID)).alias("at"), *[F.first(c).alias(c) for c in values])
+        .select("at.*", *values)
     )
 
 
-def possible(x, y, percent: int) -> Column:
-    """Whether two sets that share the word at their places can be similar."""
+def fitting(x, y, percent: int) -> tuple[Column, Column]:
+    """The words that two sets must share to be similar, and whether their lengths and parities allow it."""
     both = x("n") + y("n")
     needed = F.floor((both * percent + 99 + percent) / F.lit(100 + percent))
-    return (
+    return needed, (
         (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent)
-        & (F.least(x("pos"), y("pos")) + F.least(x("n") - x("pos"), y("n") - y("pos")) >= needed)
         & (F.bit_count(x("bits").bitwiseXOR(y("bits"))) <= both - 2 * needed)
     )
 
 
-def word_sets(pairs: DataFrame, own: DataFrame, scales: bytes) -> DataFrame:
-    """(id, w) of every line that is a side of the pairs: its whole set, read again from the texts."""
-    sides = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*")
-    sides = written(sides, "sides")
-    rows = written(sides.select(F.col("d").alias("__d"), F.col("h").alias("__h")).distinct(), "rows")
-    lines = lines_of(own.join(sent_whole(rows, rows.count(), 32), KEY, "left_semi"))
-    sets = (
-        lines.join(sent_whole(sides, sides.count(), 32), ID)
-        .select(F.struct(*ID).alias("id"), tokens(F.col("line"), scales).alias("w"))
-        .dropDuplicates(["id"])
-    )
-    return written(sets, "sets")
+def possible(x, y, percent: int) -> Column:
+    """Whether two sets that share the word at their places can be similar."""
+    needed, fits = fitting(x, y, percent)
+    return fits & (F.least(x("pos"), y("pos")) + F.least(x("n") - x("pos"), y("n") - y("pos")) >= needed)
+
+
+def sides_of(pairs: DataFrame, sets: DataFrame, shared: bool) -> DataFrame:
+    """id, w of every line that is a side of the pairs; `shared` says that rows can share their keys."""
+    sides = written(pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct().select("x.*"), "sides")
+    found = sets.join(sent_whole(sides, sides.count(), 32), ID, "left_semi").select(F.struct(*ID).alias("id"), "w")
+    return written(found.dropDuplicates(["id"]) if shared else found, "sides")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -149,59 +160,56 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def none_yet(ranked: DataFrame) -> DataFrame:
-    """An empty table of classes."""
-    return ranked.select("x.*").limit(0)
+def compared(classes: DataFrame, percent: int) -> DataFrame:
+    """x, y: each class with the earliest class that shares its least or its greatest hashes, if that can be similar."""
+    ends = classes.select(F.explode("ends").alias("end"), *ID, "n", "bits")
+    member = F.struct(*ID, "n", "bits")
+    firsts = ends.groupBy("end").agg(F.min(member).alias("y"), F.count(F.lit(1)).alias("size")).where("size > 1").select("end", "y")
+    firsts = written(firsts, "firsts")
+    _, fits = fitting(F.col, lambda c: F.col(f"y.{c}"), percent)
+    id_x, id_y = F.struct(*ID), F.struct(*[F.col(f"y.{c}").alias(c) for c in ID])
+    return ends.join(sent_whole(firsts, firsts.count(), 64), "end").where((id_y < id_x) & fits).select(id_x.alias("x"), id_y.alias("y")).distinct()
+
+
+def sharing(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
+    """x, y, words: classes that are not gone with the earlier classes that share rare words and can be similar.
+
+    Both sides of the join are the same rows, so they are shuffled once: what is gone is left out after it.
+    """
+    rare = classes.select(*ID, "n", "bits", F.posexplode("prefix").alias("pos", "token"))
+
+    def side(name):
+        return rare.select("token", *[F.col(c).alias(f"{name}_{c}") for c in (*ID, "n", "bits", "pos")])
+
+    fits = possible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent)
+    id_x, id_y = (F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ID]) for name in "xy")
+    found = side("x").join(side("y"), "token").where((id_y < id_x) & fits).select(id_x.alias("x"), id_y.alias("y"))
+    settled = gone.select(F.struct(*ID).alias("x"), F.lit(True).alias("settled"))
+    found = found.join(sent_whole(settled, gone.count(), 32), "x", "left").where(F.col("settled").isNull())
+    return found.groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
 
 
 def kept_classes(own: DataFrame, percent: int = PERCENT) -> DataFrame:
     """First occurrences (d, h, l) of the classes that stay, of a table with keys."""
-    scales = rarity(own)
-    classes = written(classes_of(own, scales, percent), "classes")
-    rare = classes.select(*ID, "n", "bits", F.posexplode("prefix").alias("pos", "token"))
-    frequent = written(rare.groupBy("token").count().where(F.col("count") > LONG).select("token"), "frequent")
-    few = sent_whole(frequent, frequent.count(), 16)
-
-    def side(df, name):
-        return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in (*ID, "n", "bits", "pos")])
-
-    def pairs(seekers, targets):
-        fits = possible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent)
-        id_x, id_y = (F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ID]) for name in "xy")
-        return side(seekers, "x").join(side(targets, "y"), "token").where((id_y < id_x) & fits).select(id_x.alias("x"), id_y.alias("y"))
-
-    short = rare.join(few, "token", "left_anti")
-    long = written(rare.join(few, "token", "left_semi"), "long")
-    order = W.partitionBy("token").orderBy(*ID)
-    member = F.struct(*ID, "n", "bits", "pos")
-    near = [
-        long.withColumn("y", F.lag(member, k).over(order))
-        .where(possible(F.col, lambda c: F.col(f"y.{c}"), percent))
-        .select(F.struct(*ID).alias("x"), F.struct(*[F.col(f"y.{c}").alias(c) for c in ID]).alias("y"))
-        for k in (1, 2)
-    ]
-    shared = pairs(short, short).unionByName(near[0]).unionByName(near[1]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("words"))
-    shared = written(shared, "shared")
+    sets = sets_of(own)
+    repeated = not sets.where(F.octet_length("h") > 0).isEmpty()
+    classes = written(classes_of(sets, percent), "classes")
+    near = written(compared(classes, percent), "near")
+    gone = written(verified(near, sides_of(near, sets, repeated), percent), "gone")
+    shared = written(sharing(classes, gone, percent), "shared")
     places = written(classes.select(*ID), "places")
-    sets = word_sets(shared, own, scales)
-
-    likely = F.row_number().over(W.partitionBy("x").orderBy(F.col("words").desc(), "y"))  # over some hundreds at most
-    ranked = written(shared.select("x", "y", likely.alias("rank")), "ranked")
     discard(classes)
+    wanted = sides_of(shared, sets, repeated)
+    discard(sets)
+    likely = F.row_number().over(W.partitionBy("x").orderBy(F.col("words").desc(), "y"))
+    ranked = written(shared.select("x", "y", likely.alias("rank")), "ranked")
     discard(shared)
-    gone = none_yet(ranked)
     for low, high in ROUNDS:
         done = sent_whole(gone, gone.count(), 32).select(F.struct(*ID).alias("x"))
         tried = ranked.where(F.col("rank").between(low, high)).select("x", "y").join(done, "x", "left_anti")
-        gone = written(gone.unionByName(verified(tried, sets, percent)), "gone")
-
+        gone = written(gone.unionByName(verified(tried, wanted, percent)), "gone")
     discard(ranked)
-    discard(sets)
-    done = sent_whole(gone, gone.count(), 32)
-    far = written(pairs(long.join(done, ID, "left_anti"), long).distinct(), "far")
-    gone = written(gone.unionByName(verified(far, word_sets(far, own, scales), percent)), "gone")
-    for table in (frequent, long, far):
-        discard(table)
+    discard(wanted)
     return places.join(gone, ID, "left_anti")
 
 
