@@ -30,6 +30,29 @@ def test_parse_utc(spark, settings, zone):
     assert seconds == [1741487400, 1741491000] + [None] * 8
 
 
+PLAIN = ["2025-08-01T00:00:00Z", "0000-01-01T00:00:00Z", "9999-12-31T23:59:59Z", "2024-02-29T12:30:30Z", "1582-10-10T00:00:00Z"]
+NONE = ["2023-02-29T00:00:00Z", "2024-01-01T24:00:00Z", "2024-01-01T23:59:60Z", "2024-13-01T00:00:00Z", " 2024-01-01T00:00:00Z",
+        "2024-01-01T00:00:00Z\n", "2024-01-01 00:00:00Z", "2024-01-01T00:00Z", "12024-01-01T00:00:00Z", "+2024-01-01T00:00:00Z",
+        "\u0662024-01-01T00:00:00Z", "2024-01-01T00:00:00\u017f", "bad 2024-01-01T00:00:00Z"]
+OTHER = ["2024-01-01t00:00:00z", "+12024-01-01T00:00:00Z", "-2024-01-01T00:00:00Z"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_parse_utc_reads_what_the_pattern_reads(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
+    texts = PLAIN + NONE + OTHER
+    by_pattern = column(spark, texts, "string", lambda c: F.unix_seconds(F.try_to_timestamp(c, F.lit(t._ISO_OFFSET))))
+    assert column(spark, texts, "string", lambda c: F.unix_seconds(t.parse_utc(c))) == by_pattern
+    assert [x is None for x in by_pattern] == [False] * len(PLAIN) + [True] * len(NONE) + [False] * len(OTHER)
+
+
+def test_plain_times_need_no_pattern(spark, monkeypatch):
+    seconds = lambda texts: column(spark, texts, "string", lambda c: F.unix_seconds(t.parse_utc(c)))
+    wanted = seconds(PLAIN)
+    monkeypatch.setattr(t, "_ISO_OFFSET", "'never'")
+    assert seconds(PLAIN + OTHER) == wanted + [None] * len(OTHER)
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
 def test_utc_date(spark, settings, zone):
     settings(spark__sql__session__timeZone=zone)

@@ -458,6 +458,18 @@ def test_many_figures_are_written_by_many_tasks(spark, tmp_path):
     assert lake.read_gold(spark, str(tmp_path)).count() == 400 and len(tasks) == 8
 
 
+def test_few_figures_are_not_dealt_to_a_task_per_shuffle_partition(spark, settings, tmp_path):
+    settings(spark__sql__shuffle__partitions="500")
+    rows = spark.range(400).selectExpr(
+        "date'2025-08-01' AS event_date", "concat('s', id) AS site_id", "1.0D AS energy_wh", "2.0D AS power_w",
+        "3.0D AS temperature_c", "'OK' AS status"
+    )
+    lake.write_gold(site_daily(rows), str(tmp_path))
+    tasks = {p.name.split("-")[1] for p in tmp_path.rglob("part-*.parquet")}
+    assert lake.read_gold(spark, str(tmp_path)).count() == 400
+    assert 1 < len(tasks) <= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_figures_take_one_shuffle(spark, raw):
     fill(raw, DAYS[0])
     run_day(spark, raw.paths, DAYS[0])

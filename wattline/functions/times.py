@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Fixed value: the text form of a reading's time, whole seconds and a closing Z.
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 _ISO_OFFSET = "yyyy-MM-dd'T'HH:mm:ssXXX"
+# The agreed form with four digits of the year, which a cast reads as the pattern does.
+_PLAIN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z\z"
+# All that the pattern can read, and more: letters in either case, signs and longer years.
+_READABLE = r"^[+-]?[0-9]{4,}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}[Zz]\z"
 _DAY_SECONDS = 86_400
 
 
@@ -15,10 +19,12 @@ def parse_utc(text: Column) -> Column:
     """`2025-08-01T00:00:00Z` to an instant; any other text to NULL, never an error.
 
     The zone is read from the text, so two texts never become one instant in a session whose
-    zone has a daylight-saving gap. Texts with a numeric offset are refused.
+    zone has a daylight-saving gap. Texts with a numeric offset are refused. The pattern is slow, and
+    slower where it fails, so it sees only texts that a cast doesn't read and that it may.
     """
     text = text.cast("string")
-    return F.when(F.upper(text).endswith("Z"), F.try_to_timestamp(text, F.lit(_ISO_OFFSET)))
+    by_pattern = F.when(text.rlike(_READABLE), F.try_to_timestamp(text, F.lit(_ISO_OFFSET)))
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp")).otherwise(by_pattern)
 
 
 def utc_date(ts: Column) -> Column:

@@ -46,7 +46,9 @@ def read_raw_days(
     # exactly one folder level (the site) lies between a day and its files
     tail = F.substring_index("_metadata.file_path", "/", -segments)
     day = F.substring(tail, 1, len(days[0]))
-    process_date = F.translate(F.right(day, F.lit(len("2025-08-01"))), "/", "-")
+    process_date = F.right(day, F.lit(len("2025-08-01")))
+    if "/" in days[0]:
+        process_date = F.translate(process_date, "/", "-")
     return load_or_empty(
         spark,
         f"{schema.TELEMETRY}, process_date string",

@@ -13,6 +13,8 @@ from wattline.session import drop_dir
 from wattline.sources.paths import folder_name, folders, gathered, load_or_empty
 
 
+# Tasks for each core that write small files.
+_TASKS_PER_CORE = 4
 # Size that a file of readings should have.
 FILE_BYTES = 128 * 1024 * 1024
 
@@ -39,10 +41,10 @@ def write_gold(df: DataFrame, base: str) -> None:
     """Write daily figures by date and site.
 
     Each partition is one row, so the cost is the number of files and not of bytes. Dealing the rows
-    out to a fixed number of tasks keeps adaptive execution from merging the few bytes into one task
+    out to `small_file_tasks` keeps adaptive execution from merging the few bytes into one task
     that writes all files one after the other.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = small_file_tasks(df.sparkSession)
     (
         df.select(*schema.names(schema.GOLD))
         .repartition(tasks)
@@ -53,12 +55,18 @@ def write_gold(df: DataFrame, base: str) -> None:
     )
 
 
+def small_file_tasks(spark: SparkSession) -> int:
+    """Number of tasks for a write of many small files: enough for all cores, and not more than a shuffle has."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(configured, _TASKS_PER_CORE * max(1, spark.sparkContext.defaultParallelism))
+
+
 def write_states(df: DataFrame, base: str) -> None:
     """Write the states behind the figures by date; the dates that occur in `df` are replaced whole.
 
     One file per date; dates are dealt out to tasks as in `write_gold`.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = small_file_tasks(df.sparkSession)
     (
         df.select(*schema.names(schema.STATES))
         .repartition(tasks, "event_date")
