@@ -71,6 +71,49 @@ def test_few_or_many_classes_compared_first(spark, monkeypatch, ends):
     assert {r.d: r.kept for r in found} == brute_force(table)
 
 
+@pytest.mark.parametrize("percent", [50, 66, 67, 75, 90, 100])
+def test_other_percents(spark, percent):
+    table = similar_lines(40) + [(500, "a b c d e\na b c d\na b c d e f\na b\na b c", "", "", 0)]
+    found = lines.kept_lines(documents(spark, table), percent).collect()
+    assert {r.d: r.kept for r in found} == brute_force(table, percent)
+
+
+@pytest.mark.parametrize("percent", [67, 80, 95])
+def test_similar_sets_share_neighbours_among_their_rarest_words(spark, percent):
+    """For each number of words the sets that differ most, by any words: the first, the last or scattered ones."""
+    rng, table = random.Random(5), []
+    for n in range(2, 41):
+        for m in range(-(-n * percent // 100), n + 1):
+            both = -(-percent * (n + m) // (100 + percent))
+            for _ in range(3):
+                own = [f"{len(table)}_{i}" for i in range(n + m - both)]
+                rng.shuffle(own)
+                table += [(2 * len(table), " ".join(own[:n]), "", "", 0), (2 * len(table) + 1, " ".join(own[n - both:]), "", "", 0)]
+    sets = lines.sets_of(lines.keyed(documents(spark, table)))
+    keys = lines.keys_of(sets, lines.rarity(sets), percent).join(sets, "u").select("d", "key").collect()
+    under = {}
+    for r in keys:
+        under.setdefault(r.d, set()).add(r.key)
+    for x, y in zip(table[::2], table[1::2]):
+        if set(x[1].split()) != set(y[1].split()):
+            assert under[x[0]] & under[y[0]], (x, y)
+
+
+def test_lines_are_split_and_keys_shuffled_once(spark, monkeypatch):
+    plans = {}
+
+    def written(df, label, **options):
+        plans.setdefault(label, []).append(plan_of(df))
+        return kept(df, label, **options)
+
+    kept = lines.written
+    monkeypatch.setattr(lines, "written", written)
+    table = similar_lines(60)
+    assert {r.d: r.kept for r in lines.kept_lines(documents(spark, table)).collect()} == brute_force(table)
+    assert plans["sets"][0].count("transform(") == 1
+    assert "ShuffledHashJoin" in plans["members"][0] and "SortMergeJoin" not in plans["members"][0]
+
+
 def test_texts_without_the_removed_lines(spark):
     table = [(1, "a b c d e\n\nx", "", "", 0), (2, "x\nnew line\n \na b c d e", "", "", 0), (3, None, "", "", 0)]
     docs = documents(spark, table)
