@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from fixtures import documents, empty, rows
 
 from wattline.llm import pii
@@ -123,6 +124,52 @@ def test_every_wide_form_is_a_candidate():
     assert all((t.index(w), t.index(w) + len(w)) in {s[1:] for s in pii.wide_spans(t)} for t, w in WIDE_FORMS)
 
 
+def test_training_sees_every_example_of_every_text(spark, monkeypatch):
+    """More texts than 4000, one of them with more than 200 examples, texts without a digit, a long address."""
+    few = [(i, f"u{i} met at noon. Then u{i}@a.co and {i % 300}.2.3.4 or room {1000 + i} {i}", "en", "a", 0) for i in range(4200)]
+    one = " ".join(f"a{i}@b.co" for i in range(400)) + " " + " ".join(r[1] for r in training_rows(60))
+    more = [(5000, one, "en", "a", 0), (5001, "look at noon. Then", "en", "a", 0), (5002, "x" * 90 + "@a.co", "en", "a", 0), (None, None, "", "", 0)]
+    wanted = set()
+    for _, text, *_ in few + more:
+        x, y, _ = pii.examples(text or "")
+        wanted |= {(tuple(a), b, len(text or "") % 3 == 0) for a, b in zip(x, y)}
+    docs = documents(spark, few + more, extra=False)
+    assert {(tuple(r.x), r.y, r.held) for r in pii.all_examples(docs).collect()} == wanted
+    given, boost = [], pii.boost
+
+    def counted(bins, y, rows, edges):
+        given.append((rows.sum(), (y * rows).sum()))
+        return boost(bins, y, rows, edges)
+
+    monkeypatch.setattr(pii, "boost", counted)
+    pii.train(docs)
+    assert given == [(sum(not held for *_, held in wanted), sum(y for _, y, held in wanted if not held))]
+
+
+def test_forms_far_behind_in_a_text_are_learnt(spark):
+    """Each text has 250 addresses ahead of its cards."""
+    table = []
+    for i, (_, text, *_) in enumerate(training_rows(60)):
+        ahead = " ".join(f"a{i}b{j}@c{j % 9}.example.com" for j in range(250))
+        table.append((i, f"{ahead}{' ' * (i % 3)} {text}", "en", "a", 0))
+    model = pii.train(documents(spark, table, extra=False))
+    (_, spans), (_, none) = pii.find(["visa 4111.1111.1111.1111 was used", "on 2024-05-06 there were 1200 300 and 45 of 9000"], model)
+    assert spans == [("card", 5, 24)] and none == []
+
+
+def test_quantiles_of_counted_values():
+    rng = np.random.default_rng(4)
+    shares = np.linspace(0.02, 0.98, 33)
+    for n in (1, 2, 7, 500):
+        own = rng.integers(0, 20, n).astype(float)
+        assert np.allclose(pii.quantiles(*np.unique(own, return_counts=True), shares), np.quantile(own, shares))
+
+
+def test_a_threshold_does_not_cut_equal_scores():
+    scores, y, rows = np.array([0.0, 1.0, 1.0]), np.array([0.0, 0.0, 1.0]), np.array([5.0, 5.0, 50.0])
+    assert pii.calibrated(scores, y, rows, 0.95) == float("inf") and pii.calibrated(scores, y, rows, 0.9) == 1.0
+
+
 def test_redaction(spark):
     model = pii.Trees(thresholds={k: float("inf") for k in pii.KINDS})
     docs = documents(spark, [(1, "a u@b.co and 1.2.3.4!", "", "", 0), (2, None, "", "", 0), (3, "clean", "", "", 0)])
