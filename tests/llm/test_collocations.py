@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from fixtures import documents, empty, plan_of, rows
+from pyspark.sql import functions as F
 
 from wattline.llm import collocations
 
@@ -73,6 +74,39 @@ def test_large_dictionaries_are_joined(spark, monkeypatch):
     assert plain(collocations.collocations(documents(spark, table), 5, 4, 100)) == wanted
 
 
+def test_words_that_share_a_hash(spark, monkeypatch):
+    table = prose()
+    monkeypatch.setattr(collocations, "_key", lambda: F.pmod(F.xxhash64("lang", "token"), F.lit(5)).alias("key"))
+    assert plain(collocations.collocations(documents(spark, table), 5, 4, 100)) == brute_force(table, 5, 4, 100)
+
+
+def test_many_phrases_are_sent_and_nothing_is_sorted(spark, monkeypatch):
+    """600,000 frequent phrases (32 MiB held 524,288) meet the occurrences without a shuffle; a step sorts nothing."""
+    plans, asked, written, sent = [], [], collocations.Relations.write, collocations.sent_whole
+
+    def write(self, rows, dealt):
+        plans.append((dealt, plan_of(rows)))
+        return written(self, rows, dealt)
+
+    def sent_whole(small, rows, *limits):
+        asked.append(sent(small, 600_000, *limits) is not small)
+        return sent(small, 600_000, *limits)
+
+    monkeypatch.setattr(collocations.Relations, "write", write)
+    monkeypatch.setattr(collocations, "sent_whole", sent_whole)
+    table = prose()
+    assert plain(collocations.collocations(documents(spark, table), 5, 4, 100)) == brute_force(table, 5, 4, 100)
+    assert asked and all(asked) and all(dealt for dealt, _ in plans)
+    assert not any("Sort " in plan or "Exchange hash" in plan for _, plan in plans[1:])
+
+
+def test_numbers_are_dense(spark):
+    phrases = spark.range(0, 1000, 1, 7).select(F.col("id").cast("string").alias("phrase"))
+    found = collocations._numbered(phrases).collect()
+    assert sorted(r.id for r in found) == list(range(1000)) and len({r.phrase for r in found}) == 1000
+    assert collocations._numbered(phrases.where("false")).count() == 0
+
+
 def test_products_beyond_64_bits(spark):
     counts = spark.createDataFrame(
         [("en", "a b", 10**15, [3 * 10**15, 10**15], [10**15 + 1, 10**15], 1, 2, 9)],
